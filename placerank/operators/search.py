@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import attach_stats, clean_keywords, keyword_hits, min_max_scaled
 from ..functions.columns import desc_keys
 from ..schema import require_columns
+from ..session import spread_if_small
 
 # Fixed values of the reference's keyword ranking.
 RELEVANCE_WEIGHT = 0.8
@@ -87,7 +88,8 @@ def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
         raise ValueError("group_filter_stage must be 'after' or 'before'")
     threshold = MIN_DENSITY_PER_KEYWORD * len(kws)
 
-    per_post = posts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws).alias("_hits"))
+    texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "grp", "text") if c in posts.columns]))
+    per_post = texts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws).alias("_hits"))
     grouped = per_post.groupBy("item", "grp").agg(
         F.count(F.lit(1)).alias("review_count"),
         F.coalesce(F.sum("_hits"), F.lit(0)).cast("double").alias("keyword_freq"),

@@ -30,7 +30,7 @@ from ..functions import (
     tokens,
 )
 from ..schema import require_columns
-from ..session import materialize
+from ..session import materialize, spread_if_small
 
 TFIDF_DECIMALS = 6  # reported precision of tf-idf scores
 
@@ -39,7 +39,8 @@ def top_words(posts: DataFrame, n: int = 20) -> DataFrame:
     """Most frequent words: (word, frequency). Words are the lowercased text split on
     single blanks, longer than three characters, not in the fixed stop list."""
     require_columns(posts, "text")
-    words = posts.select(F.explode(blank_split_words("text")).alias("word"))
+    texts = spread_if_small(posts.select(*[c for c in ("post_id", "text") if c in posts.columns]))
+    words = texts.select(F.explode(blank_split_words("text")).alias("word"))
     kept = words.where(
         (F.length("word") > F.lit(FREQUENCY_MIN_LENGTH)) & ~F.col("word").isin(*FREQUENCY_STOP_WORDS)
     )
@@ -55,7 +56,8 @@ def word_frequency_map(words: DataFrame) -> DataFrame:
 
 
 def _terms(posts: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:
-    exploded = posts.select("item", F.explode(tokens("text")).alias("term"))
+    texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "text") if c in posts.columns]))
+    exploded = texts.select("item", F.explode(tokens("text")).alias("term"))
     return exploded.where((F.col("term") != F.lit("")) & ~F.col("term").isin(*stop_words))
 
 
@@ -70,7 +72,11 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     require_columns(posts, "item", "text")
     stop = english_stop_words() if stop_words is None else tuple(stop_words)
     tf = _terms(posts, stop).groupBy("item", "term").agg(F.count(F.lit(1)).alias("tf"))
-    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    # Counted as sum(least(tf, 1)) (= the number of items, tf >= 1) rather than count(*):
+    # the (item, term) aggregate then keeps its count in both branches, stays identical,
+    # and its exchange is reused instead of tokenising the text a second time (Catalyst
+    # prunes an unused count, and rewrites count(tf) of a non-null column to count(*)).
+    doc_freq = tf.groupBy("term").agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("doc_freq"))
     n_docs = posts.agg(count_values_with_null("item").alias("_m"))
     joined = attach_stats(tf.join(doc_freq, "term"), n_docs)
     idf = F.log((F.col("_m").cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0))
@@ -105,7 +111,10 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
     """
     require_columns(posts, "item", "text")
     stop = list(english_stop_words() if stop_words is None else stop_words) + [""]
-    docs = posts.select("item", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    cols = [c for c in ("post_id", "item", "text") if c in posts.columns]
+    docs = spread_if_small(posts.select(*cols)).select(
+        "item", F.coalesce(F.col("text"), F.lit("")).alias("text")
+    )
     words = Tokenizer(inputCol="text", outputCol="_words").transform(docs)
     kept = StopWordsRemover(inputCol="_words", outputCol="_terms", stopWords=stop).transform(words)
     hashed = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=num_features).transform(kept)

@@ -1,8 +1,9 @@
-"""Session construction for tests and the bench, and lineage helpers.
+"""Session construction for tests and the bench, and execution-layout helpers.
 
-Library operators never build a session: callers pass DataFrames in. This module is for
-the local entry points (tests, bench, scripts) and for the two helpers that decide how to
-cut lineage before an iterative MLlib fit.
+Library operators never build a session: callers pass DataFrames in. ``local_session`` is
+for the local entry points (tests, bench, scripts); ``spread_if_small`` and
+``materialize`` are used by operators to lay out small inputs over all cores and to cut
+lineage before an iterative MLlib fit.
 """
 
 from __future__ import annotations
@@ -61,6 +62,46 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # statistics unavailable: leave the layout alone
+        return None
+
+
+def spread_if_small(df: DataFrame, key: str = "post_id") -> DataFrame:
+    """Spread a small input over all cores before expensive per-row work (tokenising,
+    substring counting).
+
+    A file split is at most one parquet row group, so a small table written as one row
+    group is read by one task, and everything up to the first shuffle (split, explode,
+    partial aggregation) would run on one core. When the optimizer's size estimate is
+    below ``maxPartitionBytes x defaultParallelism`` -- the input cannot fill the cores
+    anyway -- the rows are hash-partitioned on ``key`` (deterministic, no sort needed)
+    into ``defaultParallelism`` parts; the shuffle is bounded by that same size. Larger
+    inputs, which already have at least that many splits, are returned unchanged.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    max_part = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    limit = _parse_bytes(max_part) * cores
+    size = _estimated_bytes(df)
+    if size is None or size >= limit or cores <= 1:
+        return df
+    if key in df.columns:
+        return df.repartition(cores, key)
+    return df.repartition(cores)
+
+
+def _parse_bytes(value: str) -> int:
+    """'134217728', '134217728b', '128m' or '128mb' -> bytes."""
+    v = value.strip().lower().removesuffix("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if v and v[-1] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(v)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` before it is scanned several times (iterative fits).
 
