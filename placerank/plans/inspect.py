@@ -17,7 +17,15 @@ def executed_plan(df: DataFrame) -> str:
     return its final, AQE-adjusted form as text."""
     qe = df._jdf.queryExecution()
     qe.toRdd().count()
-    return qe.executedPlan().toString()
+    return final_section(qe.executedPlan().toString())
+
+
+def final_section(plan: str) -> str:
+    """The ``== Final Plan ==`` part of an adaptive plan (the plan itself otherwise)."""
+    if "== Final Plan ==" not in plan:
+        return plan
+    body = plan.split("== Final Plan ==", 1)[1]
+    return body.split("== Initial Plan ==", 1)[0]
 
 
 def count_nodes(plan: str, node: str) -> int:

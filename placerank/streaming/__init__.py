@@ -1,0 +1,3 @@
+from .counts import read_documents_stream, read_posts_stream, running_counts, start_counts
+
+__all__ = ["read_documents_stream", "read_posts_stream", "running_counts", "start_counts"]
