@@ -51,7 +51,10 @@ def local_session(
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the session, if any."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server's checkpoint configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -82,9 +85,12 @@ def spread_if_small(df: DataFrame, key: str = "post_id") -> DataFrame:
     inputs, which already have at least that many splits, are returned unchanged.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    max_part = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    limit = _parse_bytes(max_part) * cores
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        max_part = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+        limit = _parse_bytes(max_part) * cores
+    except Exception:  # no JVM-side context (e.g. a remote session): keep the layout
+        return df
     size = _estimated_bytes(df)
     if size is None or size >= limit or cores <= 1:
         return df
