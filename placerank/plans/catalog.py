@@ -32,7 +32,10 @@ HYBRID_ARGS = ("Any", 2, 4.0, 10)  # room type, guests, min stars, n
 ROOM_RANKING_N = 10
 KMEANS_K = 4
 SAMPLES_N = 5
-FIXED_CLUSTER_MOD = 4  # deterministic cluster ids for the label/summary oracle checks
+SCORE_BAND_WIDTH = 25.0  # deterministic cluster ids (score bands) for the label oracle checks
+SCORE_BANDS = 4
+GROUP_FILTER = "de"  # a group of the documents table, for the group-filtered variants
+GROUP_FIRST_FILTER = "fr"  # a group outside the overall top-n, filtered before the top-n
 
 
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +57,12 @@ def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales popularity with deterministic cluster ids, to check the labelling operators
+    """Sales popularity with deterministic cluster ids -- equal-width bands of the score,
+    a fixed one-dimensional grouping -- to check the labelling and summary operators
     against SQL independently of K-Means' numeric result."""
     pop = op.popularity_score(bindings.sales(spark, sf_dir))
-    with_ids = pop.withColumn("prediction", (F.col("review_count") % FIXED_CLUSTER_MOD).cast("int"))
+    band = F.least(F.floor(F.col("popularity_score") / F.lit(SCORE_BAND_WIDTH)), F.lit(SCORE_BANDS - 1))
+    with_ids = pop.withColumn("prediction", band.cast("int"))
     return op.label_clusters(with_ids.select("item", "grp", "review_count", "popularity_score", "prediction"))
 
 
@@ -78,6 +83,9 @@ QUERIES: dict[str, Query] = {
     "browse_popular": lambda s, d: op.browse_popular(
         op.popularity_score(bindings.posts(s, d)), None, BROWSE_MIN_SCORE, BROWSE_N
     ),
+    "browse_popular_in_group": lambda s, d: op.browse_popular(
+        op.popularity_score(bindings.posts(s, d)), GROUP_FILTER, BROWSE_MIN_SCORE, BROWSE_N
+    ),
     "avg_popularity_by_group": lambda s, d: op.avg_popularity_by_group(op.popularity_score(bindings.posts(s, d))),
     # words and TF-IDF
     "top_words": lambda s, d: op.top_words(bindings.posts(s, d), TOP_WORDS_N),
@@ -89,6 +97,15 @@ QUERIES: dict[str, Query] = {
     "tfidf_vectors": lambda s, d: op.tfidf_vectors(bindings.posts(s, d)),
     # keyword ranking and its result summaries
     "keyword_ranking": _keyword_result,
+    "keyword_ranking_item_join": lambda s, d: op.keyword_ranking(
+        bindings.posts(s, d), KEYWORDS, n=RANKING_N, join_keys=("item",)
+    ),
+    "keyword_ranking_in_group": lambda s, d: op.keyword_ranking(
+        bindings.posts(s, d), KEYWORDS, n=RANKING_N, grp=GROUP_FILTER
+    ),
+    "keyword_ranking_group_first": lambda s, d: op.keyword_ranking(
+        bindings.posts(s, d), KEYWORDS, n=RANKING_N, grp=GROUP_FIRST_FILTER, group_filter_stage="before"
+    ),
     "ranking_summary": lambda s, d: op.ranking_summary(_keyword_result(s, d)),
     "score_by_group": lambda s, d: op.score_by_group(_keyword_result(s, d)),
     "top_recommendation": lambda s, d: op.top_recommendation(_keyword_result(s, d)),

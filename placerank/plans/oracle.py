@@ -73,7 +73,7 @@ def _hits(kw: str) -> str:
 
 
 _KW_THRESHOLD = 0.05 * len(q.KEYWORDS)
-KW = (
+KW_BASE = (
     "kp AS (SELECT item, grp, " + " + ".join(_hits(k) for k in q.KEYWORDS) + " AS hits FROM posts), "
     "kg AS (SELECT item, grp, count(*) AS review_count, CAST(coalesce(sum(hits), 0) AS DOUBLE) AS keyword_freq "
     "FROM kp GROUP BY item, grp), "
@@ -88,12 +88,41 @@ KW = (
     )
     + " AS pop, "
     + sround(f"density / greatest(maxd, {d(0.001)}) * {d(100)}", 2)
-    + f" AS relevance_score FROM kd, ks WHERE density >= {d(_KW_THRESHOLD)}), "
-    "kf AS (SELECT item, grp, review_count, keyword_freq, relevance_score, "
-    + sround(f"relevance_score * {d(0.8)} + coalesce(pop, {d(0)}) * {d(0.2)}", 2)
-    + " AS final_score FROM kk), "
-    f"kr AS (SELECT * FROM kf ORDER BY final_score DESC NULLS LAST, item ASC NULLS FIRST, "
-    f"grp ASC NULLS FIRST LIMIT {q.RANKING_N})"
+    + f" AS relevance_score, density >= {d(_KW_THRESHOLD)} AS kept FROM kd, ks)"
+)
+
+
+def _kw_final(source: str) -> str:
+    return (
+        "kf AS (SELECT item, grp, review_count, keyword_freq, relevance_score, "
+        + sround(f"relevance_score * {d(0.8)} + coalesce(pop, {d(0)}) * {d(0.2)}", 2)
+        + f" AS final_score FROM {source}), "
+    )
+
+
+_KR_ORDER = "ORDER BY final_score DESC NULLS LAST, item ASC NULLS FIRST, grp ASC NULLS FIRST"
+
+# Default: popularity of the same (item, grp) pair.
+KW = (
+    KW_BASE + ", kj AS (SELECT * FROM kk WHERE kept), " + _kw_final("kj")
+    + f"kr AS (SELECT * FROM kf {_KR_ORDER} LIMIT {q.RANKING_N})"
+)
+# The reference's join: kept pairs joined to every pair's popularity on the item only.
+KW_ITEM_JOIN = (
+    KW_BASE + ", kj AS (SELECT k.item, k.grp, k.review_count, k.keyword_freq, k.relevance_score, p.pop "
+    "FROM (SELECT * FROM kk WHERE kept) k LEFT JOIN kk p ON k.item = p.item), "
+    + _kw_final("kj")
+    + f"kr AS (SELECT * FROM kf {_KR_ORDER} LIMIT {q.RANKING_N})"
+)
+# Group filter after the top-n (the page's order) and before it.
+KW_IN_GROUP = (
+    KW_BASE + ", kj AS (SELECT * FROM kk WHERE kept), " + _kw_final("kj")
+    + f"kt AS (SELECT * FROM kf {_KR_ORDER} LIMIT {q.RANKING_N}), "
+    f"kr AS (SELECT * FROM kt WHERE grp = '{q.GROUP_FILTER}')"
+)
+KW_GROUP_FIRST = (
+    KW_BASE + f", kj AS (SELECT * FROM kk WHERE kept AND grp = '{q.GROUP_FIRST_FILTER}'), " + _kw_final("kj")
+    + f"kr AS (SELECT * FROM kf {_KR_ORDER} LIMIT {q.RANKING_N})"
 )
 
 LISTINGS = (
@@ -157,7 +186,8 @@ def _fixed_cluster_ctes() -> str:
     return (
         POP.format(src="sales") + ", "
         f"fc AS (SELECT item, grp, review_count, popularity_score, "
-        f"CAST(review_count % {q.FIXED_CLUSTER_MOD} AS INTEGER) AS prediction FROM popr), "
+        f"CAST(least(floor(popularity_score / {d(q.SCORE_BAND_WIDTH)}), {q.SCORE_BANDS - 1}) AS INTEGER) "
+        "AS prediction FROM popr), "
         "fm AS (SELECT prediction, avg(popularity_score) AS m FROM fc GROUP BY prediction "
         "HAVING avg(popularity_score) IS NOT NULL), "
         "fhot AS (SELECT prediction AS hot FROM fm ORDER BY m DESC, prediction ASC LIMIT 1), "
@@ -240,6 +270,9 @@ ORACLE: dict[str, str] = {
     "top_popular": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP} LIMIT {q.TOP_POPULAR_N}",
     "browse_popular": f"{W}, {POP.format(src='posts')} SELECT * FROM popr "
     f"WHERE popularity_score >= {d(q.BROWSE_MIN_SCORE)} ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}",
+    "browse_popular_in_group": f"{W}, {POP.format(src='posts')} SELECT * FROM popr "
+    f"WHERE grp = '{q.GROUP_FILTER}' AND popularity_score >= {d(q.BROWSE_MIN_SCORE)} "
+    f"ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}",
     "avg_popularity_by_group": f"{W}, {POP.format(src='posts')} SELECT grp, "
     + sround("avg(popularity_score)", 4)
     + " AS avg_popularity FROM popr GROUP BY grp ORDER BY avg_popularity DESC NULLS LAST, grp ASC NULLS FIRST",
@@ -252,6 +285,9 @@ ORACLE: dict[str, str] = {
     f"(PARTITION BY item ORDER BY tfidf DESC, term ASC) AS INTEGER) AS term_rank FROM tt) "
     f"WHERE term_rank <= {q.TOP_TERMS_N}",
     "keyword_ranking": f"{W}, {KW} SELECT * FROM kr ORDER BY final_score DESC, item, grp",
+    "keyword_ranking_item_join": f"{W}, {KW_ITEM_JOIN} SELECT * FROM kr",
+    "keyword_ranking_in_group": f"{W}, {KW_IN_GROUP} SELECT * FROM kr",
+    "keyword_ranking_group_first": f"{W}, {KW_GROUP_FIRST} SELECT * FROM kr",
     "ranking_summary": f"{W}, {KW} SELECT count(*) AS result_count, "
     + sround("avg(relevance_score)", 4)
     + " AS avg_score, count(DISTINCT grp) AS groups_covered FROM kr",
