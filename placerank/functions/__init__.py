@@ -12,6 +12,8 @@ from .text import (
     FREQUENCY_STOP_WORDS,
     blank_split_words,
     english_stop_words,
+    not_in_words,
+    sql_string,
     tokens,
 )
 
@@ -27,7 +29,9 @@ __all__ = [
     "english_stop_words",
     "keyword_hits",
     "min_max_scaled",
+    "not_in_words",
     "null_or_empty",
+    "sql_string",
     "substring_hits",
     "tokens",
 ]

@@ -43,6 +43,17 @@ def english_stop_words() -> tuple[str, ...]:
     return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 
 
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def not_in_words(column: str, words: tuple[str, ...]) -> Column:
+    """``column NOT IN (words)`` as one SQL expression: built in one call however long the
+    list, and planned as a hash-set lookup (InSet)."""
+    return F.expr(f"NOT `{column}` IN ({', '.join(sql_string(w) for w in words)})")
+
+
 def blank_split_words(text: str | Column) -> Column:
     """Lowercase, then split on every single blank (punctuation stays in the word)."""
     text = F.col(text) if isinstance(text, str) else text

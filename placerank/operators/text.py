@@ -27,6 +27,7 @@ from ..functions import (
     blank_split_words,
     count_values_with_null,
     english_stop_words,
+    not_in_words,
     tokens,
 )
 from ..schema import require_columns
@@ -42,7 +43,7 @@ def top_words(posts: DataFrame, n: int = 20) -> DataFrame:
     texts = spread_if_small(posts.select(*[c for c in ("post_id", "text") if c in posts.columns]))
     words = texts.select(F.explode(blank_split_words("text")).alias("word"))
     kept = words.where(
-        (F.length("word") > F.lit(FREQUENCY_MIN_LENGTH)) & ~F.col("word").isin(*FREQUENCY_STOP_WORDS)
+        (F.length("word") > F.lit(FREQUENCY_MIN_LENGTH)) & not_in_words("word", FREQUENCY_STOP_WORDS)
     )
     counts = kept.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
     return counts.orderBy(F.col("frequency").desc(), F.col("word")).limit(n)
@@ -58,7 +59,7 @@ def word_frequency_map(words: DataFrame) -> DataFrame:
 def _terms(posts: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:
     texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "text") if c in posts.columns]))
     exploded = texts.select("item", F.explode(tokens("text")).alias("term"))
-    return exploded.where((F.col("term") != F.lit("")) & ~F.col("term").isin(*stop_words))
+    return exploded.where((F.col("term") != F.lit("")) & not_in_words("term", stop_words))
 
 
 def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) -> DataFrame:

@@ -39,6 +39,9 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Python call-site capture for error messages costs several py4j round trips per
+        # Column function call while a plan is being built; off for tests and the bench.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("PLACERANK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

@@ -12,6 +12,7 @@ source tables hold no NULL or empty values; every source row is kept.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 POSTS_EXPRS = [
     "doc_id AS post_id",
@@ -57,8 +58,19 @@ def sales_exprs(dialect: str) -> list[str]:
     ]
 
 
+# Footer schemas of the shared (read-only) tables, read once per process: later reads pass
+# the schema and skip Spark's schema-reading job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
