@@ -3,7 +3,7 @@ the hybrid score, and the summaries a results page shows.
 
 All per-request statistics (min/max stars of the candidate set, totals) are one-row
 global aggregates broadcast back to the candidate rows, so each request is one lazy plan
-and one job; top-k is TakeOrderedAndProject with ``listing_id`` as the last tie-break.
+and one action; top-k is TakeOrderedAndProject with ``listing_id`` as the last tie-break.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import attach_scalars, attach_stats, min_max_scaled
+from ..functions import attach_scalars, min_max_scaled
 from ..schema import require_columns
 from .aggregate import value_options
 
@@ -167,31 +167,35 @@ def listing_feature_columns(listings: DataFrame) -> DataFrame:
 
     ``stars_normalised`` is min-max over all listings (NULL when all stars are equal).
     ``room_type_index`` follows ``StringIndexer``: labels by frequency descending, ties
-    alphabetical, NULL (unseen) -> the number of labels. The label dictionary is one row
-    per distinct room type; numbering it is a window over that small table, the same bound
-    as the label array a fitted ``StringIndexer`` holds on the driver.
+    alphabetical, NULL (unseen) -> the number of labels.
+
+    One aggregate per room type (count, min and max stars; a NULL type is one row) is the
+    label dictionary. Its numbering and the global min/max are windows over that small
+    table -- the same bound as the label array a fitted ``StringIndexer`` holds on the
+    driver -- and the dictionary is joined back null-safely (every listing matches one
+    entry; AQE broadcasts it by its measured size). The listings are read twice.
     """
     require_columns(listings, *LISTING_COLUMNS)
-    labels = (
-        listings.where(F.col("room_type").isNotNull())
-        .groupBy("room_type")
-        .agg(F.count(F.lit(1)).alias("_freq"))
+    labels = listings.groupBy("room_type").agg(
+        F.count(F.lit(1)).alias("_freq"), F.min("stars").alias("_lmin"), F.max("stars").alias("_lmax")
     )
-    numbered = labels.select(
+    everything = Window.partitionBy()
+    by_frequency = Window.orderBy(F.col("room_type").isNull(), F.col("_freq").desc(), F.col("room_type"))
+    dictionary = labels.select(
         F.col("room_type").alias("_label"),
-        (F.row_number().over(Window.orderBy(F.col("_freq").desc(), F.col("room_type"))) - 1)
+        F.when(F.col("room_type").isNull(), F.count("room_type").over(everything))
+        .otherwise(F.row_number().over(by_frequency) - 1)
         .cast("int")
         .alias("_index"),
+        F.min("_lmin").over(everything).alias("_min_s"),
+        F.max("_lmax").over(everything).alias("_max_s"),
     )
-    n_labels = labels.agg(F.count(F.lit(1)).cast("int").alias("_n_labels"))
-    with_stats = attach_scalars(listings, F.min("stars").alias("_min_s"), F.max("stars").alias("_max_s"))
-    indexed = with_stats.join(numbered, with_stats["room_type"] == numbered["_label"], "left")
-    indexed = attach_stats(indexed, n_labels)
+    indexed = listings.join(dictionary, listings["room_type"].eqNullSafe(dictionary["_label"]), "inner")
     return indexed.select(
         "listing_id",
         guest_bucket(F.col("guests")).alias("guest_bucket"),
         min_max_scaled(F.col("stars"), F.col("_min_s"), F.col("_max_s")).alias("stars_normalised"),
-        F.coalesce(F.col("_index"), F.col("_n_labels")).alias("room_type_index"),
+        F.col("_index").alias("room_type_index"),
     )
 
 
