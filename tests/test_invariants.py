@@ -89,3 +89,25 @@ def test_tfidf_vectors_shape(posts):
 def test_top_tfidf_terms_at_most_n_per_item(posts):
     top = op.top_tfidf_terms(op.tfidf_terms(posts), 3)
     assert top.groupBy("item").count().where("count > 3").count() == 0
+
+
+def test_tfidf_vectors_equal_concatenated_pipeline(posts):
+    """Per-post hashed vectors summed per item equal the MLlib pipeline run on each item's
+    concatenated tokens (empty tokens dropped on both sides)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import HashingTF, StopWordsRemover
+
+    ours = {r.item: r.tfidf for r in op.tfidf_vectors(posts, num_features=1000).collect()}
+    stop = list(english_stop_words()) + [""]
+    docs = posts.groupBy("item").agg(
+        F.flatten(F.collect_list(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s"))).alias("words")
+    )
+    model = Pipeline(stages=[
+        StopWordsRemover(inputCol="words", outputCol="terms", stopWords=stop),
+        HashingTF(inputCol="terms", outputCol="tf", numFeatures=1000),
+        IDF(inputCol="tf", outputCol="x", minDocFreq=0),
+    ]).fit(docs)
+    theirs = {r.item: r.x.toArray() for r in model.transform(docs).select("item", "x").collect()}
+    assert set(ours) == set(theirs)
+    for item, vec in ours.items():
+        assert all(abs(a - b) <= 1e-9 * max(1.0, abs(b)) for a, b in zip(vec, theirs[item])), item
