@@ -1,5 +1,6 @@
 from .columns import (
     clean_keywords,
+    count_distinct_values,
     count_values_with_null,
     desc_keys,
     keyword_hits,
@@ -24,6 +25,7 @@ __all__ = [
     "attach_stats",
     "blank_split_words",
     "clean_keywords",
+    "count_distinct_values",
     "count_values_with_null",
     "desc_keys",
     "english_stop_words",

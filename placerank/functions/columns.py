@@ -20,11 +20,22 @@ def null_or_empty(c: str | Column) -> Column:
     return c.isNull() | (c.cast("string") == F.lit(""))
 
 
-def count_values_with_null(c: str | Column) -> Column:
+def count_distinct_values(c: str | Column, approx_rsd: float | None = None) -> Column:
+    """``count(DISTINCT c)`` (NULL not counted); with ``approx_rsd`` a HyperLogLog++ sketch
+    of that relative standard deviation, merged partially per task instead of shuffling
+    every distinct value."""
+    c = col_(c)
+    if approx_rsd is None:
+        return F.count_distinct(c)
+    return F.approx_count_distinct(c, rsd=approx_rsd)
+
+
+def count_values_with_null(c: str | Column, approx_rsd: float | None = None) -> Column:
     """``count(DISTINCT c)`` plus one when a NULL is present: the value count that
     ``select(c).distinct().count()`` gives, as one aggregate expression."""
     c = col_(c)
-    return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)).cast("long")
+    has_null = F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)).cast("long")
+    return count_distinct_values(c, approx_rsd) + has_null
 
 
 def desc_keys(score: str, *keys: str) -> list[Column]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import attach_stats
+from ..functions import attach_stats, count_distinct_values
 from ..functions.columns import desc_keys
 from ..schema import require_columns
 
@@ -55,13 +55,13 @@ def period_trend(posts: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("period").asc_nulls_first())
 
 
-def distinct_items_per_group(posts: DataFrame) -> DataFrame:
+def distinct_items_per_group(posts: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Number of different items per group (NULL items not counted): (grp, unique_items).
     Catalyst plans the single distinct count as a dedup aggregate on (grp, item) followed
     by a count per grp; both have partial steps, so a hot pair or group is reduced before
-    each shuffle."""
+    each shuffle. ``approx_rsd`` uses a HyperLogLog++ sketch per group instead."""
     require_columns(posts, "grp", "item")
-    counts = posts.groupBy("grp").agg(F.count_distinct("item").alias("unique_items"))
+    counts = posts.groupBy("grp").agg(count_distinct_values("item", approx_rsd).alias("unique_items"))
     return counts.orderBy(*desc_keys("unique_items", "grp"))
 
 

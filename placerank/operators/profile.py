@@ -1,5 +1,10 @@
 """Profiles and overviews: several statistics of a table in one aggregate (one job, one
-scan per input), instead of one action per number."""
+scan per input), instead of one action per number.
+
+Distinct counts are exact by default (as in the reference). ``approx_rsd`` switches them to
+HyperLogLog++ sketches, which merge partially per task: at scale an exact distinct count
+shuffles every distinct value (and several in one aggregate expand the rows once per
+column), a sketch shuffles a few kilobytes per task."""
 
 from __future__ import annotations
 
@@ -14,7 +19,8 @@ from ..schema import require_columns
 PROFILE_METRICS = ("Total Rows", "Null Values", "Unique Destinations", "Unique Districts")
 
 
-def profile(posts: DataFrame, item_col: str = "item", grp_col: str = "grp") -> DataFrame:
+def profile(posts: DataFrame, item_col: str = "item", grp_col: str = "grp",
+            approx_rsd: float | None = None) -> DataFrame:
     """One row: total_rows, null_values (NULL-or-empty cells over every column),
     unique_items and unique_groups (a NULL counts as one value)."""
     require_columns(posts, item_col, grp_col)
@@ -25,19 +31,18 @@ def profile(posts: DataFrame, item_col: str = "item", grp_col: str = "grp") -> D
     return posts.agg(
         F.count(F.lit(1)).alias("total_rows"),
         (null_cells if null_cells is not None else F.lit(0)).cast("long").alias("null_values"),
-        count_values_with_null(item_col).alias("unique_items"),
-        count_values_with_null(grp_col).alias("unique_groups"),
+        count_values_with_null(item_col, approx_rsd).alias("unique_items"),
+        count_values_with_null(grp_col, approx_rsd).alias("unique_groups"),
     )
 
 
-def compare_profiles(raw: DataFrame, clean: DataFrame) -> DataFrame:
+def compare_profiles(raw: DataFrame, clean: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """The raw-against-clean comparison: (metric, raw_value, clean_value), four rows in
     the fixed metric order. Each side is one global aggregate (one row); the two rows are
     put side by side and unpivoted with ``stack``."""
-    r = profile(raw).select([F.col(c).alias(f"r_{c}") for c in
-                             ("total_rows", "null_values", "unique_items", "unique_groups")])
-    c = profile(clean).select([F.col(x).alias(f"c_{x}") for x in
-                               ("total_rows", "null_values", "unique_items", "unique_groups")])
+    fields = ("total_rows", "null_values", "unique_items", "unique_groups")
+    r = profile(raw, approx_rsd=approx_rsd).select([F.col(x).alias(f"r_{x}") for x in fields])
+    c = profile(clean, approx_rsd=approx_rsd).select([F.col(x).alias(f"c_{x}") for x in fields])
     both = r.crossJoin(F.broadcast(c))
     m = PROFILE_METRICS
     stacked = both.selectExpr(
@@ -51,24 +56,24 @@ def compare_profiles(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return stacked.orderBy("metric_order").select("metric", "raw_value", "clean_value")
 
 
-def posts_overview(posts: DataFrame) -> DataFrame:
+def posts_overview(posts: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """One row: total_posts, total_items, total_groups, total_periods (NULL is a value)."""
     require_columns(posts, "item", "grp", "period")
     return posts.agg(
         F.count(F.lit(1)).alias("total_posts"),
-        count_values_with_null("item").alias("total_items"),
-        count_values_with_null("grp").alias("total_groups"),
-        count_values_with_null("period").alias("total_periods"),
+        count_values_with_null("item", approx_rsd).alias("total_items"),
+        count_values_with_null("grp", approx_rsd).alias("total_groups"),
+        count_values_with_null("period", approx_rsd).alias("total_periods"),
     )
 
 
-def listings_overview(listings: DataFrame) -> DataFrame:
+def listings_overview(listings: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """One row: total_listings, unique_room_types (NULL is a value), avg_stars (rounded to
     2; NULL when there are no listings), max_guests."""
     require_columns(listings, "room_type", "stars", "guests")
     return listings.agg(
         F.count(F.lit(1)).alias("total_listings"),
-        count_values_with_null("room_type").alias("unique_room_types"),
+        count_values_with_null("room_type", approx_rsd).alias("unique_room_types"),
         F.round(F.avg(F.col("stars").cast("double")), 2).alias("avg_stars"),
         F.max("guests").alias("max_guests"),
     )

@@ -157,3 +157,18 @@ def test_label_clusters_single_cluster_is_hidden_gem(spark):
     df = spark.createDataFrame([("a", "g", 1, 10.0, 0)],
                                "item string, grp string, review_count long, popularity_score double, prediction int")
     assert rows(op.label_clusters(df), "cluster_label")[0][0].endswith("Hidden Gem")
+
+
+def test_approximate_distinct_counts(spark):
+    from placerank.sources import bindings
+
+    from .conftest import SF_SMALL
+
+    posts = bindings.posts(spark, SF_SMALL)
+    exact = op.posts_overview(posts).collect()[0]
+    approx = op.posts_overview(posts, approx_rsd=0.02).collect()[0]
+    for field in ("total_items", "total_groups", "total_periods"):
+        assert abs(approx[field] - exact[field]) <= max(1, 0.05 * exact[field])
+    e = dict(rows(op.distinct_items_per_group(posts), "grp", "unique_items"))
+    a = dict(rows(op.distinct_items_per_group(posts, approx_rsd=0.02), "grp", "unique_items"))
+    assert set(a) == set(e) and all(abs(a[g] - e[g]) <= max(1, 0.05 * e[g]) for g in e)
