@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import attach_scalars, min_max_scaled
 from ..schema import require_columns
 from .aggregate import value_options
+from .ordering import ordinal
 
 # Fixed values of the reference's recommender.
 ANY_ROOM_TYPE = "Any"  # the room-type choice that disables the type filter
@@ -169,28 +170,21 @@ def listing_feature_columns(listings: DataFrame) -> DataFrame:
     ``room_type_index`` follows ``StringIndexer``: labels by frequency descending, ties
     alphabetical, NULL (unseen) -> the number of labels.
 
-    One aggregate per room type (count, min and max stars; a NULL type is one row) is the
-    label dictionary. Its numbering and the global min/max are windows over that small
-    table -- the same bound as the label array a fitted ``StringIndexer`` holds on the
-    driver -- and the dictionary is joined back null-safely (every listing matches one
-    entry; AQE broadcasts it by its measured size). The listings are read twice.
+    The label dictionary is one aggregate row per room type. It is numbered with
+    ``ordinal`` (range partitions plus per-partition offsets, no single-task window) in
+    the order (NULL last, frequency descending, label): the NULL row then gets exactly the
+    number of labels. It is joined back null-safely, so every listing matches one entry;
+    AQE broadcasts the dictionary when its measured size allows. Min/max stars are a
+    one-row aggregate broadcast back.
     """
     require_columns(listings, *LISTING_COLUMNS)
-    labels = listings.groupBy("room_type").agg(
-        F.count(F.lit(1)).alias("_freq"), F.min("stars").alias("_lmin"), F.max("stars").alias("_lmax")
+    labels = listings.groupBy("room_type").agg(F.count(F.lit(1)).alias("_freq"))
+    order = [F.col("room_type").isNull().asc(), F.col("_freq").desc(), F.col("room_type").asc()]
+    dictionary = ordinal(labels, order, "_position").select(
+        F.col("room_type").alias("_label"), F.col("_position").cast("int").alias("_index")
     )
-    everything = Window.partitionBy()
-    by_frequency = Window.orderBy(F.col("room_type").isNull(), F.col("_freq").desc(), F.col("room_type"))
-    dictionary = labels.select(
-        F.col("room_type").alias("_label"),
-        F.when(F.col("room_type").isNull(), F.count("room_type").over(everything))
-        .otherwise(F.row_number().over(by_frequency) - 1)
-        .cast("int")
-        .alias("_index"),
-        F.min("_lmin").over(everything).alias("_min_s"),
-        F.max("_lmax").over(everything).alias("_max_s"),
-    )
-    indexed = listings.join(dictionary, listings["room_type"].eqNullSafe(dictionary["_label"]), "inner")
+    with_stats = attach_scalars(listings, F.min("stars").alias("_min_s"), F.max("stars").alias("_max_s"))
+    indexed = with_stats.join(dictionary, with_stats["room_type"].eqNullSafe(dictionary["_label"]), "inner")
     return indexed.select(
         "listing_id",
         guest_bucket(F.col("guests")).alias("guest_bucket"),

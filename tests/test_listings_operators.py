@@ -102,3 +102,16 @@ def test_recommendation_summary_and_distribution(listings):
     assert rows(op.room_type_distribution(recs), "room_type", "listing_count") == [
         ("Entire villa", 2), ("Private room", 1)
     ]
+
+
+def test_null_room_type_gets_number_of_labels(spark):
+    from placerank.schema import LISTINGS
+
+    df = spark.createDataFrame(
+        [(1, "a", "Villa", 2, 4.0), (2, "b", "Villa", 2, 5.0), (3, "c", "Room", 1, 3.0), (4, "d", None, 3, 4.5)],
+        schema=LISTINGS,
+    )
+    got = dict(rows(op.listing_feature_columns(df), "listing_id", "room_type_index"))
+    assert got == {1: 0, 2: 0, 3: 1, 4: 2}
+    vec = {r.listing_id: r.room_type_index for r in op.listing_feature_arrays(df).collect()}
+    assert vec == got

@@ -43,3 +43,16 @@ def test_materialize_checkpoints_into_configured_folder(spark):
     assert out.count() == 100
     written = [os.path.join(d, f) for d, _, files in os.walk(folder.replace("file:", "")) for f in files]
     assert written, "no checkpoint files under spark.checkpoint.dir"
+
+
+def test_ordinal_equals_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from placerank.operators.ordering import ordinal
+
+    df = spark.range(500).selectExpr("id", "(id * 7919) % 37 AS freq", "concat('k', id % 101) AS label")
+    order = [F.col("freq").desc(), F.col("label").asc(), F.col("id").asc()]
+    ours = {r.id: r.pos for r in ordinal(df, order, "pos", partitions=7).collect()}
+    ref = {r.id: r.pos for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order)) - 1).collect()}
+    assert ours == ref
