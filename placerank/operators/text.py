@@ -49,11 +49,14 @@ def top_words(posts: DataFrame, n: int = 20) -> DataFrame:
     return counts.orderBy(F.col("frequency").desc(), F.col("word")).limit(n)
 
 
-def word_frequency_map(words: DataFrame) -> DataFrame:
-    """A (word, frequency) table -- already limited, e.g. ``top_words(posts, 100)`` -- as
-    one row holding a ``map<string, bigint>`` sorted by word: (word_freq)."""
+def word_frequency_map(words: DataFrame, n: int = 100) -> DataFrame:
+    """The ``n`` most frequent entries of a (word, frequency) table, e.g. ``top_words``, as
+    one row holding a ``map<string, bigint>`` sorted by word: (word_freq). The top-n is
+    taken first, so the single row -- and the one task that builds it -- holds at most
+    ``n`` entries whatever the input size."""
+    top = words.orderBy(F.col("frequency").desc(), F.col("word")).limit(n)
     entries = F.array_sort(F.collect_list(F.struct(F.col("word"), F.col("frequency"))))
-    return words.agg(F.map_from_entries(entries).alias("word_freq"))
+    return top.agg(F.map_from_entries(entries).alias("word_freq"))
 
 
 def _terms(posts: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:

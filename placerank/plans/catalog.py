@@ -90,7 +90,7 @@ QUERIES: dict[str, Query] = {
     # words and TF-IDF
     "top_words": lambda s, d: op.top_words(bindings.posts(s, d), TOP_WORDS_N),
     "word_frequency_map": lambda s, d: op.word_frequency_map(
-        op.top_words(bindings.posts(s, d), WORD_MAP_N)
+        op.top_words(bindings.posts(s, d), WORD_MAP_N), WORD_MAP_N
     ).select(F.to_json("word_freq").alias("word_freq_json")),
     "tfidf_terms": lambda s, d: op.tfidf_terms(bindings.posts(s, d)),
     "top_tfidf_terms": lambda s, d: op.top_tfidf_terms(op.tfidf_terms(bindings.posts(s, d)), TOP_TERMS_N),
