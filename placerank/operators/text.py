@@ -70,8 +70,9 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
 
     ``tf`` -- occurrences of the term in the item's posts; ``doc_freq`` -- items whose
     posts contain it; ``tfidf = tf * ln((m + 1) / (doc_freq + 1))`` rounded to 6 decimals.
-    Plan: partial+final aggregate on (item, term); a second aggregate on term; join on
-    term (AQE splits a term present in most items); ``m`` is a one-row aggregate.
+    Plan: partial+final aggregate on (item, term); a second aggregate on term, which gets
+    the idf (``m`` is a one-row aggregate attached per term); join on term (AQE splits a
+    term present in most items).
     """
     require_columns(posts, "item", "text")
     stop = english_stop_words() if stop_words is None else tuple(stop_words)
@@ -81,15 +82,17 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     # and its exchange is reused instead of tokenising the text a second time (Catalyst
     # prunes an unused count, and rewrites count(tf) of a non-null column to count(*)).
     doc_freq = tf.groupBy("term").agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("doc_freq"))
+    # The document count is attached to the per-term table, so the idf is computed once
+    # per term and the (item, term) rows only multiply.
     n_docs = posts.agg(count_values_with_null("item").alias("_m"))
-    joined = attach_stats(tf.join(doc_freq, "term"), n_docs)
     idf = F.log((F.col("_m").cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0))
-    return joined.select(
+    per_term = attach_stats(doc_freq, n_docs).select("term", "doc_freq", idf.alias("_idf"))
+    return tf.join(per_term, "term").select(
         "item",
         "term",
         "tf",
         "doc_freq",
-        F.round(F.col("tf").cast("double") * idf, TFIDF_DECIMALS).alias("tfidf"),
+        F.round(F.col("tf").cast("double") * F.col("_idf"), TFIDF_DECIMALS).alias("tfidf"),
     )
 
 
