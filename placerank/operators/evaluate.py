@@ -1,7 +1,7 @@
 """Evaluation of any recommendation list: Precision@K, counts and catalogue coverage.
 
 One aggregate over the recommendations (count, conditional count) and one over the
-catalogue (count), each a single row, side by side: one job.
+catalogue (count), each a single row, side by side: one action.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Profiles and overviews: several statistics of a table in one aggregate (one job, one
+"""Profiles and overviews: several statistics of a table in one aggregate (one action, one
 scan per input), instead of one action per number.
 
 Distinct counts are exact by default (as in the reference). ``approx_rsd`` switches them to

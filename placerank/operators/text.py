@@ -4,7 +4,8 @@ vectors.
 No operator concatenates the texts of an item into one value: every text is tokenised on
 its own and counts are summed per item (partial aggregation before each shuffle), so a hot
 item costs one partial row per (term, task), not one giant string in one task. Stop words
-are removed before the first shuffle.
+and empty tokens are removed before the first aggregation shuffle (small inputs are first
+spread over all cores, see ``session.spread_if_small``).
 
 Document model of TF-IDF (as in the reference): one document per item (a NULL item is one
 document), made of all its posts. Tokens follow MLlib ``Tokenizer`` (lowercase, split on
