@@ -20,6 +20,7 @@ def local_session(
     shuffle_partitions: int = 8,
     app_name: str = "placerank",
     scratch_dir: str | None = None,
+    extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """A local session configured the way the tests and bench expect.
 
@@ -44,6 +45,8 @@ def local_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("PLACERANK_DRIVER_MEMORY", "8g"))
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):
