@@ -54,3 +54,18 @@ def test_top_k_is_take_ordered(spark):
 def test_per_group_top_n_uses_window_group_limit(spark):
     plan = executed_plan(QUERIES["top_tfidf_terms"](spark, SF_SMALL))
     assert count_nodes(plan, "WindowGroupLimit") >= 1
+
+
+def test_typed_listings_push_predicates_into_the_scan(spark, tmp_path):
+    """Cleaned listings written as parquet: the hybrid filters reach the row groups."""
+    from placerank import operators as op
+    from placerank.sources import bindings, write_table
+    from placerank.schema import LISTINGS
+
+    path = str(tmp_path / "listings")
+    write_table(op.clean_listings(bindings.listings_raw(spark, SF_SMALL)), path)
+    typed = spark.read.schema(LISTINGS).parquet(path)
+    plan = executed_plan(op.hybrid_recommendations(typed, "Any", 2, 4.0, 10))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert pushed and all("GreaterThanOrEqual(stars,4.0)" in p and "GreaterThanOrEqual(guests,2)" in p
+                          for p in pushed), pushed
