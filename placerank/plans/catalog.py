@@ -29,6 +29,7 @@ TOP_TERMS_N = 10
 RANKING_N = 10
 CONTENT_ARGS = ("small", 2, 10)  # room type, guests, n
 HYBRID_ARGS = ("Any", 2, 4.0, 10)  # room type, guests, min stars, n
+HYBRID_TYPED_ARGS = ("small", 3, 3.5, 10)  # with a room-type filter
 ROOM_RANKING_N = 10
 KMEANS_K = 4
 SAMPLES_N = 5
@@ -125,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "content_recommendations": _content,
     "room_type_ranking": lambda s, d: op.room_type_ranking(_listings(s, d), ROOM_RANKING_N),
     "hybrid_recommendations": _hybrid,
+    "hybrid_recommendations_typed": lambda s, d: op.hybrid_recommendations(_listings(s, d), *HYBRID_TYPED_ARGS),
     "score_breakdown": lambda s, d: op.score_breakdown(_listings(s, d), *HYBRID_ARGS),
     "recommendation_summary": lambda s, d: op.recommendation_summary(_hybrid(s, d)),
     "room_type_distribution": lambda s, d: op.room_type_distribution(_hybrid(s, d)),

@@ -332,6 +332,8 @@ ORACLE: dict[str, str] = {
     f"ORDER BY avg_stars DESC NULLS LAST, room_type ASC NULLS FIRST LIMIT {q.ROOM_RANKING_N}",
     "hybrid_recommendations": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
     "SELECT listing_id, name, room_type, guests, stars, guest_match_score, hybrid_score FROM hr",
+    "hybrid_recommendations_typed": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_TYPED_ARGS)} "
+    "SELECT listing_id, name, room_type, guests, stars, guest_match_score, hybrid_score FROM hr",
     "score_breakdown": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
     f"SELECT listing_id, name, stars_norm * {d(0.7)} AS stars_part, guest_match_score * {d(0.3)} AS match_part, "
     "hybrid_score FROM hr",
