@@ -72,8 +72,8 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     ``tf`` -- occurrences of the term in the item's posts; ``doc_freq`` -- items whose
     posts contain it; ``tfidf = tf * ln((m + 1) / (doc_freq + 1))`` rounded to 6 decimals.
     Plan: partial+final aggregate on (item, term); a second aggregate on term, which gets
-    the idf (``m`` is a one-row aggregate attached per term); join on term (AQE splits a
-    term present in most items).
+    the idf (``m`` is a one-row aggregate attached per term); sort-merge join on term (AQE
+    splits a term present in most items).
     """
     require_columns(posts, "item", "text")
     stop = english_stop_words() if stop_words is None else tuple(stop_words)
@@ -88,7 +88,10 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     n_docs = posts.agg(count_values_with_null("item").alias("_m"))
     idf = F.log((F.col("_m").cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0))
     per_term = attach_stats(doc_freq, n_docs).select("term", "doc_freq", idf.alias("_idf"))
-    return tf.join(per_term, "term").select(
+    # The per-term table grows with the vocabulary, which has no size bound: join it with a
+    # sort-merge join (it spills; AQE splits a skewed term) rather than let it be broadcast.
+    # Even at sf0.1 the broadcast (collected and hashed on the driver) was the slower plan.
+    return tf.join(per_term.hint("merge"), "term").select(
         "item",
         "term",
         "tf",
