@@ -155,21 +155,20 @@ def score_by_group(result: DataFrame, score_col: str = "final_score") -> DataFra
     return out.orderBy(*desc_keys("total_score", "grp"))
 
 
-SCORE_PREFERENCE = ("final_score", "relevance_score", "popularity_score")
+SCORE_PREFERENCE = ("final_score", "relevance_score", "popularity_score", "hybrid_score", "stars")
+TIE_KEYS = ("item", "grp", "listing_id")
 
 
 def top_recommendation(result: DataFrame, score_cols: Sequence[str] = SCORE_PREFERENCE) -> DataFrame:
-    """The single best row, scored by the first of ``score_cols`` the result has:
-    (item, grp, score, review_count)."""
+    """The single best row of a ranking or recommendation result, with ``score`` = the
+    first of ``score_cols`` the result has (final -> relevance -> popularity for place
+    rankings, hybrid score or stars for listings); ties broken on the key columns."""
     present = [c for c in score_cols if c in result.columns]
     if not present:
         raise ValueError(f"none of {list(score_cols)} in {result.columns}")
-    score = F.col(present[0]).cast("double")
-    return (
-        result.select("item", "grp", score.alias("score"), "review_count")
-        .orderBy(*desc_keys("score", "item", "grp"))
-        .limit(1)
-    )
+    keys = [k for k in TIE_KEYS if k in result.columns]
+    scored = result.withColumn("score", F.col(present[0]).cast("double"))
+    return scored.orderBy(*desc_keys("score", *keys)).limit(1)
 
 
 def display_columns(result: DataFrame, kind: str) -> DataFrame:

@@ -109,7 +109,9 @@ QUERIES: dict[str, Query] = {
     ),
     "ranking_summary": lambda s, d: op.ranking_summary(_keyword_result(s, d)),
     "score_by_group": lambda s, d: op.score_by_group(_keyword_result(s, d)),
-    "top_recommendation": lambda s, d: op.top_recommendation(_keyword_result(s, d)),
+    "top_recommendation": lambda s, d: op.top_recommendation(_keyword_result(s, d)).select(
+        "item", "grp", "score", "review_count"
+    ),
     "display_columns": lambda s, d: op.display_columns(_keyword_result(s, d), "keyword"),
     # clustering
     "cluster_items": lambda s, d: op.cluster_items(op.popularity_score(bindings.sales(s, d)), KMEANS_K),
@@ -129,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "hybrid_recommendations_typed": lambda s, d: op.hybrid_recommendations(_listings(s, d), *HYBRID_TYPED_ARGS),
     "score_breakdown": lambda s, d: op.score_breakdown(_listings(s, d), *HYBRID_ARGS),
     "recommendation_summary": lambda s, d: op.recommendation_summary(_hybrid(s, d)),
+    "top_listing": lambda s, d: op.top_recommendation(_hybrid(s, d)).select(
+        "listing_id", "name", "room_type", "guests", "stars", "score"
+    ),
     "room_type_distribution": lambda s, d: op.room_type_distribution(_hybrid(s, d)),
     "evaluate_hybrid": lambda s, d: op.evaluate_recommendations(_hybrid(s, d), _listings(s, d), HYBRID_ARGS[1]),
     "evaluate_content": lambda s, d: op.evaluate_recommendations(_content(s, d), _listings(s, d), CONTENT_ARGS[1]),

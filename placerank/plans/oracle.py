@@ -337,6 +337,9 @@ ORACLE: dict[str, str] = {
     "score_breakdown": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
     f"SELECT listing_id, name, stars_norm * {d(0.7)} AS stars_part, guest_match_score * {d(0.3)} AS match_part, "
     "hybrid_score FROM hr",
+    "top_listing": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
+    "SELECT listing_id, name, room_type, guests, stars, hybrid_score AS score FROM hr "
+    "ORDER BY hybrid_score DESC NULLS LAST, listing_id ASC LIMIT 1",
     "recommendation_summary": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
     "SELECT count(*) AS total_recommendations, "
     + sround("avg(CAST(stars AS DOUBLE))", 2)

@@ -115,3 +115,12 @@ def test_null_room_type_gets_number_of_labels(spark):
     assert got == {1: 0, 2: 0, 3: 1, 4: 2}
     vec = {r.listing_id: r.room_type_index for r in op.listing_feature_arrays(df).collect()}
     assert vec == got
+
+
+def test_top_recommendation_for_listings(listings):
+    from placerank.operators import top_recommendation
+
+    best = top_recommendation(op.hybrid_recommendations(listings, "Any", 2, 4.0)).collect()
+    assert [(r.listing_id, r.score) for r in best] == [(2, 0.9986)]
+    by_stars = top_recommendation(op.content_recommendations(listings, "room", 2)).collect()
+    assert [(r.listing_id, r.score) for r in by_stars] == [(3, 4.5)]
