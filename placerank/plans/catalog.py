@@ -87,6 +87,14 @@ QUERIES: dict[str, Query] = {
     "browse_popular_in_group": lambda s, d: op.browse_popular(
         op.popularity_score(bindings.posts(s, d)), GROUP_FILTER, BROWSE_MIN_SCORE, BROWSE_N
     ),
+    "browse_summary": lambda s, d: op.ranking_summary(
+        op.browse_popular(op.popularity_score(bindings.posts(s, d)), None, BROWSE_MIN_SCORE, BROWSE_N),
+        "popularity_score",
+    ),
+    "browse_score_by_group": lambda s, d: op.score_by_group(
+        op.browse_popular(op.popularity_score(bindings.posts(s, d)), None, BROWSE_MIN_SCORE, BROWSE_N),
+        "popularity_score",
+    ),
     "avg_popularity_by_group": lambda s, d: op.avg_popularity_by_group(op.popularity_score(bindings.posts(s, d))),
     # words and TF-IDF
     "top_words": lambda s, d: op.top_words(bindings.posts(s, d), TOP_WORDS_N),

@@ -273,6 +273,16 @@ ORACLE: dict[str, str] = {
     "browse_popular_in_group": f"{W}, {POP.format(src='posts')} SELECT * FROM popr "
     f"WHERE grp = '{q.GROUP_FILTER}' AND popularity_score >= {d(q.BROWSE_MIN_SCORE)} "
     f"ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}",
+    "browse_summary": f"{W}, {POP.format(src='posts')}, br AS (SELECT * FROM popr "
+    f"WHERE popularity_score >= {d(q.BROWSE_MIN_SCORE)} ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}) "
+    "SELECT count(*) AS result_count, "
+    + sround("avg(popularity_score)", 4)
+    + " AS avg_score, count(DISTINCT grp) AS groups_covered FROM br",
+    "browse_score_by_group": f"{W}, {POP.format(src='posts')}, br AS (SELECT * FROM popr "
+    f"WHERE popularity_score >= {d(q.BROWSE_MIN_SCORE)} ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}) "
+    "SELECT grp, "
+    + sround("sum(popularity_score)", 2)
+    + " AS total_score FROM br GROUP BY grp",
     "avg_popularity_by_group": f"{W}, {POP.format(src='posts')} SELECT grp, "
     + sround("avg(popularity_score)", 4)
     + " AS avg_popularity FROM popr GROUP BY grp ORDER BY avg_popularity DESC NULLS LAST, grp ASC NULLS FIRST",
