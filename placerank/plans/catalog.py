@@ -143,6 +143,8 @@ QUERIES: dict[str, Query] = {
         "listing_id", "name", "room_type", "guests", "stars", "score"
     ),
     "room_type_distribution": lambda s, d: op.room_type_distribution(_hybrid(s, d)),
+    "content_summary": lambda s, d: op.recommendation_summary(_content(s, d)),
+    "content_room_type_distribution": lambda s, d: op.room_type_distribution(_content(s, d)),
     "evaluate_hybrid": lambda s, d: op.evaluate_recommendations(_hybrid(s, d), _listings(s, d), HYBRID_ARGS[1]),
     "evaluate_content": lambda s, d: op.evaluate_recommendations(_content(s, d), _listings(s, d), CONTENT_ARGS[1]),
 }

@@ -359,6 +359,12 @@ ORACLE: dict[str, str] = {
     "room_type_distribution": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)} "
     "SELECT room_type, count(*) AS listing_count FROM hr GROUP BY room_type "
     "ORDER BY listing_count DESC, room_type ASC NULLS FIRST",
+    "content_summary": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)} "
+    "SELECT count(*) AS total_recommendations, "
+    + sround("avg(CAST(stars AS DOUBLE))", 2)
+    + " AS avg_stars, max(stars) AS top_stars, CAST(NULL AS DOUBLE) AS avg_hybrid_score FROM cr",
+    "content_room_type_distribution": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)} "
+    "SELECT room_type, count(*) AS listing_count FROM cr GROUP BY room_type",
     "evaluate_hybrid": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)}, {_evaluate('hr', _guests)}",
     "evaluate_content": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)}, {_evaluate('cr', _cguests)}",
 }
