@@ -121,6 +121,10 @@ QUERIES: dict[str, Query] = {
         "item", "grp", "score", "review_count"
     ),
     "display_columns": lambda s, d: op.display_columns(_keyword_result(s, d), "keyword"),
+    "display_columns_popularity": lambda s, d: op.display_columns(
+        op.browse_popular(op.popularity_score(bindings.posts(s, d)), None, BROWSE_MIN_SCORE, BROWSE_N),
+        "popularity",
+    ),
     # clustering
     "cluster_items": lambda s, d: op.cluster_items(op.popularity_score(bindings.sales(s, d)), KMEANS_K),
     "label_clusters": _fixed_clusters,

@@ -234,8 +234,8 @@ def _profile(src: str, prefix: str) -> str:
     )
 
 
-def _display_select() -> str:
-    return ", ".join(f'{c} AS "{label}"' for c, label in DISPLAY_NAMES["keyword"].items())
+def _display_select(kind: str = "keyword") -> str:
+    return ", ".join(f'{c} AS "{label}"' for c, label in DISPLAY_NAMES[kind].items())
 
 
 _room, _guests, _min_stars, _n = q.HYBRID_ARGS
@@ -307,6 +307,9 @@ ORACLE: dict[str, str] = {
     "top_recommendation": f"{W}, {KW} SELECT item, grp, final_score AS score, review_count FROM kr "
     "ORDER BY final_score DESC NULLS LAST, item ASC NULLS FIRST, grp ASC NULLS FIRST LIMIT 1",
     "display_columns": f"{W}, {KW} SELECT {_display_select()} FROM kr",
+    "display_columns_popularity": f"{W}, {POP.format(src='posts')}, br AS (SELECT * FROM popr "
+    f"WHERE popularity_score >= {d(q.BROWSE_MIN_SCORE)} ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}) "
+    f"SELECT {_display_select('popularity')} FROM br",
     "label_clusters": f"{W}, {_fixed_cluster_ctes()} SELECT * FROM fl",
     "cluster_summary": f"{W}, {_fixed_cluster_ctes()} SELECT cluster_label, count(*) AS item_count, "
     + sround("avg(popularity_score)", 2)
