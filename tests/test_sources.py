@@ -12,21 +12,21 @@ def _write(path, text):
 def test_reviews_csv_with_bom_quotes_and_newlines(spark, tmp_path):
     csv = (
         '\ufeff"Destination","District","Timespan","Review"\n'
-        'Ella,Badulla,2 years ago,"Great view,\nsecond line"\n'
-        'Kandy,Kandy,a year ago,"She said ""wow"""\n'
-        'Galle,,3 months ago,\n'
-        'Mirissa,Matara,"",ok\n'
+        'Lakeside,North,2 years ago,"Great view,\nsecond line"\n'
+        'Hilltop,Hilltop,a year ago,"She said ""wow"""\n'
+        'Harbour,,3 months ago,\n'
+        'Bay,South,"",ok\n'
     )
     path = str(tmp_path / "reviews.csv")
     _write(path, csv)
     df = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS)
     assert df.columns == ["post_id", "item", "grp", "period", "text"]
     got = {r.item: r for r in df.collect()}
-    assert set(got) == {"Ella", "Kandy", "Galle", "Mirissa"}
-    assert got["Ella"].text == "Great view,\nsecond line"
-    assert got["Kandy"].text == 'She said "wow"'
-    assert got["Galle"].grp is None and got["Galle"].text is None
-    assert got["Mirissa"].period in (None, "")
+    assert set(got) == {"Lakeside", "Hilltop", "Harbour", "Bay"}
+    assert got["Lakeside"].text == "Great view,\nsecond line"
+    assert got["Hilltop"].text == 'She said "wow"'
+    assert got["Harbour"].grp is None and got["Harbour"].text is None
+    assert got["Bay"].period in (None, "")
     assert df.select("post_id").distinct().count() == 4
 
 
