@@ -27,9 +27,13 @@ LISTING_COLUMNS = {
     "stars": "stars_raw",
 }
 
+# multiLine: a quoted review may span lines. It also makes each CSV file one split (a file
+# cannot be cut at an arbitrary newline), so large CSV inputs should be converted to
+# parquet once (read, then ``write_table``), or read with ``multiline=False`` when the
+# files hold no embedded newlines.
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",  # a quoted review may span lines
+    "multiLine": "true",
     "quote": '"',
     "escape": '"',  # "" inside a quoted field is one quote
     "mode": "PERMISSIVE",
@@ -46,9 +50,12 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_header(c) for c in df.columns])
 
 
-def _load(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None) -> DataFrame:
+def _load(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None,
+          multiline: bool = True) -> DataFrame:
     reader = spark.read.format(fmt)
     opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
+    if fmt == "csv" and not multiline:
+        opts["multiLine"] = "false"
     opts.update(options or {})
     if opts:
         reader = reader.options(**opts)
@@ -78,14 +85,15 @@ def _conform(df: DataFrame, schema: T.StructType, columns: Mapping[str, str] | N
 
 def read_posts(spark: SparkSession, path: str, fmt: str = "parquet",
                columns: Mapping[str, str] | None = None,
-               options: Mapping[str, str] | None = None) -> DataFrame:
-    """Read a posts table. For the reference's CSV layout pass ``columns=REVIEW_COLUMNS``."""
-    return _conform(_load(spark, path, fmt, options), POSTS, columns, "post_id")
+               options: Mapping[str, str] | None = None, multiline: bool = True) -> DataFrame:
+    """Read a posts table. For the reference's CSV layout pass ``columns=REVIEW_COLUMNS``;
+    ``multiline=False`` lets large CSV files be split (only without embedded newlines)."""
+    return _conform(_load(spark, path, fmt, options, multiline), POSTS, columns, "post_id")
 
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet",
                   columns: Mapping[str, str] | None = None,
-                  options: Mapping[str, str] | None = None) -> DataFrame:
+                  options: Mapping[str, str] | None = None, multiline: bool = True) -> DataFrame:
     """Read an uncleaned listings table (``listings_raw``); clean it with ``clean_listings``.
     For the reference's CSV layout pass ``columns=LISTING_COLUMNS``."""
-    return _conform(_load(spark, path, fmt, options), LISTINGS_RAW, columns, "listing_id")
+    return _conform(_load(spark, path, fmt, options, multiline), LISTINGS_RAW, columns, "listing_id")

@@ -59,3 +59,18 @@ def test_json_reader(spark, posts, tmp_path):
     write_table(posts, path, fmt="json")
     back = read_posts(spark, path, fmt="json")
     assert back.count() == 5 and back.schema == posts.schema
+
+
+def test_single_line_csv_is_splittable(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    lines = ["Destination,District,Timespan,Review"] + [f"p{i % 7},d{i % 3},1 day ago,text {i}" for i in range(20000)]
+    _write(path, "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        split = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS, multiline=False)
+        whole = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS)
+        assert split.rdd.getNumPartitions() > 1 and whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
