@@ -15,6 +15,7 @@ terms. ``idf = ln((m + 1) / (df + 1))`` with ``m`` documents, as in MLlib ``IDF`
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -114,8 +115,8 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
                   stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """MLlib TF-IDF vectors, one per item: (item, n_terms, tfidf).
 
-    Each post goes through ``Tokenizer`` -> ``StopWordsRemover`` (empty tokens removed
-    too) -> ``HashingTF(num_features)``; the per-post vectors are summed per item with
+    Each post goes through a ``Pipeline`` of ``Tokenizer`` -> ``StopWordsRemover`` (empty
+    tokens removed too) -> ``HashingTF(num_features)``; the per-post vectors are summed per item with
     ``Summarizer.sum`` (a partial aggregate: no text concatenation); ``IDF`` is fitted on
     the per-item vectors, which are checkpointed first because the fit and the transform
     both scan them. The vector is returned as ``array<double>``.
@@ -126,9 +127,14 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
     docs = spread_if_small(posts.select(*cols)).select(
         "item", F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
-    words = Tokenizer(inputCol="text", outputCol="_words").transform(docs)
-    kept = StopWordsRemover(inputCol="_words", outputCol="_terms", stopWords=stop).transform(words)
-    hashed = HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=num_features).transform(kept)
+    per_post = Pipeline(
+        stages=[
+            Tokenizer(inputCol="text", outputCol="_words"),
+            StopWordsRemover(inputCol="_words", outputCol="_terms", stopWords=stop),
+            HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=num_features),
+        ]
+    ).fit(docs)  # stateless stages: fitting runs no job
+    hashed = per_post.transform(docs)
     per_item = hashed.groupBy("item").agg(Summarizer.sum(F.col("_tf")).alias("tf"))
     per_item = materialize(per_item)
     model = IDF(inputCol="tf", outputCol="_tfidf", minDocFreq=0).fit(per_item)
