@@ -118,9 +118,8 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
     Each post goes through a ``Pipeline`` of ``Tokenizer`` -> ``StopWordsRemover`` (empty
     tokens removed too) -> ``HashingTF(num_features)``; the per-post vectors are summed per
     item with ``Summarizer.sum`` (a partial aggregate: no text concatenation); ``IDF`` is
-    fitted on
-    the per-item vectors, which are checkpointed first because the fit and the transform
-    both scan them. The vector is returned as ``array<double>``.
+    fitted on the per-item vectors, which are checkpointed first because the fit and the
+    transform both scan them. The vector is returned as ``array<double>``.
     """
     require_columns(posts, "item", "text")
     stop = list(english_stop_words() if stop_words is None else stop_words) + [""]
