@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYWORDS = ("und", "pour")
 TOP_ITEMS_N = 15
 TOP_POPULAR_N = 15
+TOP_POPULAR_WIDE_N = 50  # the dashboard's scatter of the first 50
 BROWSE_MIN_SCORE = 10.0
 BROWSE_N = 10
 TOP_WORDS_N = 20
@@ -81,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "popularity_score": lambda s, d: op.popularity_score(bindings.posts(s, d)),
     "popularity_score_sales": lambda s, d: op.popularity_score(bindings.sales(s, d)),
     "top_popular": lambda s, d: op.top_popular(op.popularity_score(bindings.posts(s, d)), TOP_POPULAR_N),
+    "top_popular_50": lambda s, d: op.top_popular(op.popularity_score(bindings.posts(s, d)), TOP_POPULAR_WIDE_N),
     "browse_popular": lambda s, d: op.browse_popular(
         op.popularity_score(bindings.posts(s, d)), None, BROWSE_MIN_SCORE, BROWSE_N
     ),

@@ -268,6 +268,8 @@ ORACLE: dict[str, str] = {
     "popularity_score": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP}",
     "popularity_score_sales": f"{W}, {POP.format(src='sales')} SELECT * FROM popr ORDER BY {ORDER_POP}",
     "top_popular": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP} LIMIT {q.TOP_POPULAR_N}",
+    "top_popular_50": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP} "
+    f"LIMIT {q.TOP_POPULAR_WIDE_N}",
     "browse_popular": f"{W}, {POP.format(src='posts')} SELECT * FROM popr "
     f"WHERE popularity_score >= {d(q.BROWSE_MIN_SCORE)} ORDER BY {ORDER_POP} LIMIT {q.BROWSE_N}",
     "browse_popular_in_group": f"{W}, {POP.format(src='posts')} SELECT * FROM popr "
