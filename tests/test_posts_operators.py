@@ -172,3 +172,8 @@ def test_approximate_distinct_counts(spark):
     e = dict(rows(op.distinct_items_per_group(posts), "grp", "unique_items"))
     a = dict(rows(op.distinct_items_per_group(posts, approx_rsd=0.02), "grp", "unique_items"))
     assert set(a) == set(e) and all(abs(a[g] - e[g]) <= max(1, 0.05 * e[g]) for g in e)
+
+
+def test_keyword_ranking_min_final_score(posts):
+    assert rows(op.keyword_ranking(posts, ["beach"], min_final_score=90.0), "item", "final_score") == [("A", 100.0)]
+    assert op.keyword_ranking(posts, ["beach"], min_final_score=0.0).count() == 2
