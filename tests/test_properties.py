@@ -101,3 +101,61 @@ def test_clean_listings_matches_brute_force(spark, rows):
     assert set(got) == set(want)
     for i, (t, g, s) in got.items():
         assert (t, g) == want[i][:2] and math.isclose(s, want[i][2], rel_tol=1e-6)
+
+
+tokens_st = st.sampled_from(["Sun", "sun", "the", "and", "Beach", "x", "tea-time", "don't", "i'll", "café"])
+seps = st.sampled_from([" ", "  ", "\t", "\n", "\x0b", "\f", "\r\n", " \t "])
+
+
+@st.composite
+def messy_text(draw):
+    if draw(st.booleans()) and draw(st.booleans()):
+        return None
+    parts = draw(st.lists(st.tuples(tokens_st, seps), max_size=8))
+    lead = draw(st.sampled_from(["", " ", "\n"]))
+    return lead + "".join(t + s for t, s in parts)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), messy_text()), min_size=1, max_size=12))
+def test_tfidf_terms_matches_brute_force(spark, rows):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from placerank.functions import english_stop_words
+
+    stop = set(english_stop_words())
+    df = spark.createDataFrame([(i, it, "g", "p", t) for i, (it, t) in enumerate(rows)], schema=POSTS)
+    tf = {}
+    for it, t in rows:
+        for tok in re.split(r"[ \t\n\x0b\f\r]", t.lower()) if t is not None else []:
+            if tok and tok not in stop:
+                tf[(it, tok)] = tf.get((it, tok), 0) + 1
+    m = len({it for it, _ in rows})
+    dfreq = {}
+    for (it, tok) in tf:
+        dfreq[tok] = dfreq.get(tok, 0) + 1
+
+    def r6(x):
+        return float(Decimal(repr(x)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP))
+
+    want = {k: (n, dfreq[k[1]], r6(n * math.log((m + 1.0) / (dfreq[k[1]] + 1.0)))) for k, n in tf.items()}
+    got = {(r.item, r.term): (r.tf, r.doc_freq, r.tfidf) for r in op.tfidf_terms(df).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) <= 1e-6, (k, got[k], want[k])
+
+
+@SETTINGS
+@given(texts=st.lists(messy_text(), min_size=1, max_size=12))
+def test_top_words_matches_brute_force(spark, texts):
+    from placerank.functions import FREQUENCY_STOP_WORDS
+
+    df = spark.createDataFrame([(i, "A", "g", "p", t) for i, t in enumerate(texts)], schema=POSTS)
+    counts = {}
+    for t in texts:
+        for w in t.lower().split(" ") if t is not None else []:
+            if len(w) > 3 and w not in FREQUENCY_STOP_WORDS:
+                counts[w] = counts.get(w, 0) + 1
+    want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0].encode("utf-8")))[:20]
+    got = [(r.word, r.frequency) for r in op.top_words(df, 20).collect()]
+    assert got == want
