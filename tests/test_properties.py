@@ -159,3 +159,49 @@ def test_top_words_matches_brute_force(spark, texts):
     want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0].encode("utf-8")))[:20]
     got = [(r.word, r.frequency) for r in op.top_words(df, 20).collect()]
     assert got == want
+
+
+listing_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["Entire villa", "Private room", "Hotel room"]),
+        st.integers(min_value=1, max_value=8),
+        st.sampled_from([0.0, 3.5, 3.9, 4.0, 4.2, 4.5, 4.8, 4.9, 5.0]),
+    ),
+    max_size=25,
+)
+
+
+@SETTINGS
+@given(rows=listing_rows, room=st.sampled_from(["Any", "room", "villa", "castle"]),
+       guests=st.integers(min_value=1, max_value=5), min_stars=st.sampled_from([0.0, 4.0, 4.5]))
+def test_hybrid_and_evaluation_match_brute_force(spark, rows, room, guests, min_stars):
+    import numpy as np
+
+    from placerank.schema import LISTINGS
+
+    df = spark.createDataFrame([(i, f"n{i}", t, g, float(s)) for i, (t, g, s) in enumerate(rows)], schema=LISTINGS)
+    stars32 = {i: float(np.float32(s)) for i, (_, _, s) in enumerate(rows)}
+    cand = [i for i, (t, g, s) in enumerate(rows)
+            if (room == "Any" or room in t.lower()) and stars32[i] >= min_stars and g >= guests]
+    lo = min((stars32[i] for i in cand), default=None)
+    hi = max((stars32[i] for i in cand), default=None)
+    lo = 0.0 if not lo else lo
+    hi = 5.0 if not hi else hi
+    scored = []
+    for i in cand:
+        g = rows[i][1]
+        match = 1.0 if g == guests else (0.8 if g <= guests + 2 else 0.5)
+        norm = (stars32[i] - lo) / (hi - lo + 0.001)
+        scored.append((i, _spark_round(norm * 0.7 + match * 0.3, 4)))
+    want = sorted(scored, key=lambda r: (-r[1], r[0]))[:10]
+    recs = op.hybrid_recommendations(df, room, guests, min_stars, 10)
+    assert [(r.listing_id, r.hybrid_score) for r in recs.collect()] == want
+
+    ev = op.evaluate_recommendations(recs, df, guests).collect()[0]
+    relevant = sum(1 for i, _ in want if stars32[i] >= 4.0 and rows[i][1] >= guests)
+    assert (ev.total_recommended, ev.relevant_count) == (len(want), relevant)
+    if want:
+        assert ev.precision_at_k == _spark_round(relevant / len(want), 2)
+        assert ev.coverage == _spark_round(len(want) / len(rows) * 100.0, 2)
+    else:
+        assert (ev.precision_at_k, ev.coverage) == (0.0, 0.0)
