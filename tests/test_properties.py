@@ -205,3 +205,17 @@ def test_hybrid_and_evaluation_match_brute_force(spark, rows, room, guests, min_
         assert ev.coverage == _spark_round(len(want) / len(rows) * 100.0, 2)
     else:
         assert (ev.precision_at_k, ev.coverage) == (0.0, 0.0)
+
+
+@SETTINGS
+@given(types=st.lists(st.one_of(st.none(), st.sampled_from(["b", "a", "c", "d", "Aa", "é"])), min_size=1, max_size=30))
+def test_room_type_index_equals_string_indexer(spark, types):
+    from pyspark.ml.feature import StringIndexer
+
+    from placerank.schema import LISTINGS
+
+    df = spark.createDataFrame([(i, "n", t, 2, 4.0) for i, t in enumerate(types)], schema=LISTINGS)
+    ours = {r.listing_id: r.room_type_index for r in op.listing_feature_columns(df).collect()}
+    model = StringIndexer(inputCol="room_type", outputCol="idx", handleInvalid="keep").fit(df)
+    theirs = {r.listing_id: int(r.idx) for r in model.transform(df).collect()}
+    assert ours == theirs
