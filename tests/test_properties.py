@@ -219,3 +219,36 @@ def test_room_type_index_equals_string_indexer(spark, types):
     model = StringIndexer(inputCol="room_type", outputCol="idx", handleInvalid="keep").fit(df)
     theirs = {r.listing_id: int(r.idx) for r in model.transform(df).collect()}
     assert ours == theirs
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.sampled_from([0.0, 12.5, 50.0, 87.25, 100.0]),
+                               st.integers(1, 9)), min_size=1, max_size=20))
+def test_cluster_labels_summary_samples_match_brute_force(spark, rows):
+    data = [(f"i{n}", "g", c, s, p) for n, (p, s, c) in enumerate(rows)]
+    df = spark.createDataFrame(data, "item string, grp string, review_count long, popularity_score double, "
+                                     "prediction int")
+    means = {}
+    for _, _, _, s, p in data:
+        means.setdefault(p, []).append(s)
+    avg = {p: sum(v) / len(v) for p, v in means.items()}
+    hot = min(avg, key=lambda p: (-avg[p], p))
+    gem = min(avg, key=lambda p: (avg[p], p))
+    label = {p: ("Hidden Gem" if p == gem else "Popular Hotspot" if p == hot else "Regular Destination") for p in avg}
+    labelled = op.label_clusters(df)
+    got = {r.item: r.cluster_label for r in labelled.collect()}
+    assert all(got[it].endswith(label[p]) for it, _, _, _, p in data)
+
+    summary = {r.cluster_label: (r.item_count, r.avg_popularity) for r in op.cluster_summary(labelled).collect()}
+    by_label = {}
+    for it, _, c, s, p in data:
+        by_label.setdefault(got[it], []).append((s, c, it))
+    assert set(summary) == set(by_label)
+    for lab, members in by_label.items():
+        assert summary[lab][0] == len(members)
+        assert summary[lab][1] == _spark_round(sum(s for s, _, _ in members) / len(members), 2)
+
+    samples = op.cluster_samples(labelled, 2).collect()
+    for lab, members in by_label.items():
+        want = [it for _, _, it in sorted(members, key=lambda m: (-m[0], m[2]))[:2]]
+        assert [r.item for r in sorted((r for r in samples if r.cluster_label == lab), key=lambda r: r.sample_rank)] == want
