@@ -5,6 +5,7 @@ from .columns import (
     desc_keys,
     keyword_hits,
     null_or_empty,
+    pattern_hits,
     substring_hits,
 )
 from .scalars import attach_scalars, attach_stats, min_max_scaled
@@ -33,6 +34,7 @@ __all__ = [
     "min_max_scaled",
     "not_in_words",
     "null_or_empty",
+    "pattern_hits",
     "sql_string",
     "substring_hits",
     "tokens",

@@ -51,9 +51,22 @@ def substring_hits(text: str | Column, keyword: str) -> Column:
     return (removed / F.lit(max(len(keyword), 1))).cast("long")
 
 
-def keyword_hits(text: str | Column, keywords: Sequence[str]) -> Column:
-    """Total hits of all keywords in one text; NULL text gives NULL (ignored by ``sum``)."""
-    terms = [substring_hits(text, k) for k in keywords]
+def pattern_hits(text: str | Column, pattern: str) -> Column:
+    """Characters removed by deleting every match of ``pattern`` (a Java regular
+    expression), divided by the pattern's length: the reference's keyword frequency when
+    keywords are taken as patterns (a fraction when matches differ in length)."""
+    text = col_(text)
+    removed = F.length(text) - F.length(F.regexp_replace(text, F.lit(pattern), F.lit("")))
+    return removed / F.lit(float(max(len(pattern), 1)))
+
+
+def keyword_hits(text: str | Column, keywords: Sequence[str], match: str = "literal") -> Column:
+    """Total hits of all keywords in one text; NULL text gives NULL (ignored by ``sum``).
+    ``match="regex"`` takes each keyword as a regular expression (``pattern_hits``)."""
+    if match not in ("literal", "regex"):
+        raise ValueError("match must be 'literal' or 'regex'")
+    one = substring_hits if match == "literal" else pattern_hits
+    terms = [one(text, k) for k in keywords]
     total = terms[0]
     for t in terms[1:]:
         total = total + t

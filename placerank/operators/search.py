@@ -64,7 +64,8 @@ def _empty_ranking(posts: DataFrame) -> DataFrame:
 def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
                     grp: str | None = None, group_filter_stage: str = "after",
                     min_final_score: float | None = None,
-                    join_keys: Sequence[str] = ("item", "grp")) -> DataFrame:
+                    join_keys: Sequence[str] = ("item", "grp"),
+                    keyword_match: str = "literal") -> DataFrame:
     """(item, grp, review_count, keyword_freq, relevance_score, final_score), best first.
 
     * hits of a keyword in a post: non-overlapping literal, case-insensitive occurrences
@@ -77,7 +78,9 @@ def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
     * ``grp`` filters to one group, after the top-n (default, as the reference's page does)
       or before it (``group_filter_stage="before"``); ``min_final_score`` drops lower rows.
     * ``join_keys=("item",)`` reproduces the reference's popularity join on the item only
-      (an item in several groups then repeats with each group's popularity).
+      (an item in several groups then repeats with each group's popularity);
+    * ``keyword_match="regex"`` reproduces its keyword-as-pattern counting (removed
+      characters / keyword length) instead of literal occurrences.
     Keywords are trimmed and lowercased; no keywords gives an empty result.
     """
     require_columns(posts, "item", "grp", "text")
@@ -89,7 +92,7 @@ def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
     threshold = MIN_DENSITY_PER_KEYWORD * len(kws)
 
     texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "grp", "text") if c in posts.columns]))
-    per_post = texts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws).alias("_hits"))
+    per_post = texts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws, keyword_match).alias("_hits"))
     grouped = per_post.groupBy("item", "grp").agg(
         F.count(F.lit(1)).alias("review_count"),
         F.coalesce(F.sum("_hits"), F.lit(0)).cast("double").alias("keyword_freq"),

@@ -177,3 +177,13 @@ def test_approximate_distinct_counts(spark):
 def test_keyword_ranking_min_final_score(posts):
     assert rows(op.keyword_ranking(posts, ["beach"], min_final_score=90.0), "item", "final_score") == [("A", 100.0)]
     assert op.keyword_ranking(posts, ["beach"], min_final_score=0.0).count() == 2
+
+
+def test_keyword_regex_mode_reproduces_pattern_counting(spark):
+    df = spark.createDataFrame([(1, "A", "X", None, "a.c abc"), (2, "B", "X", None, "xyz")], schema=POSTS)
+    literal = dict(rows(op.keyword_ranking(df, ["a.c"]), "item", "keyword_freq"))
+    regex = dict(rows(op.keyword_ranking(df, ["a.c"], keyword_match="regex"), "item", "keyword_freq"))
+    assert literal == {"A": 1.0} and regex == {"A": 2.0}
+    # Matches shorter than the pattern give fractions, as in the reference: "a+" on "aaa" removes 3 chars / 2.
+    df2 = spark.createDataFrame([(1, "A", "X", None, "aaa")], schema=POSTS)
+    assert rows(op.keyword_ranking(df2, ["a+"], keyword_match="regex"), "keyword_freq") == [(1.5,)]
