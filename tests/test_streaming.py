@@ -34,3 +34,20 @@ def test_stream_counts_to_parquet_snapshot(spark, tmp_path):
     snap = spark.read.parquet(out)
     want = op.item_counts(bindings.posts(spark, SF_SMALL))
     assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_popularity_from_the_streamed_snapshot_equals_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    src = tmp_path / "incoming"
+    src.mkdir()
+    shutil.copy(os.path.join(SF_SMALL, "documents.parquet"), src / "part-0.parquet")
+    out = str(tmp_path / "pair_counts")
+    q = start_counts(running_counts(read_documents_stream(spark, str(src)), ("item", "grp")),
+                     str(tmp_path / "ckpt"), "pairs_for_popularity", sink="parquet", path=out)
+    q.awaitTermination(120)
+    scored = op.rank_within(op.scored_counts(spark.read.parquet(out)), "grp", "popularity_score", "group_rank")
+    streamed = scored.select("item", "grp", "review_count", "popularity_score", "group_rank")
+    batch = op.popularity_score(bindings.posts(spark, SF_SMALL))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+    assert streamed.where(F.col("group_rank") < 1).count() == 0
