@@ -69,3 +69,10 @@ def test_typed_listings_push_predicates_into_the_scan(spark, tmp_path):
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     assert pushed and all("GreaterThanOrEqual(stars,4.0)" in p and "GreaterThanOrEqual(guests,2)" in p
                           for p in pushed), pushed
+
+
+@pytest.mark.parametrize("name", ["top_popular", "browse_popular", "top_popular_50"])
+def test_consumers_do_not_pay_for_the_popularity_order(spark, name):
+    plan = executed_plan(QUERIES[name](spark, SF_SMALL))
+    assert "rangepartitioning" not in plan
+    assert count_nodes(plan, "TakeOrderedAndProject") == 1
