@@ -74,3 +74,11 @@ def test_single_line_csv_is_splittable(spark, tmp_path):
         assert split.count() == whole.count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_orc_round_trip(spark, posts, tmp_path):
+    path = str(tmp_path / "posts_orc")
+    write_table(posts, path, fmt="orc")
+    back = read_posts(spark, path, fmt="orc")
+    assert back.schema == posts.schema
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, posts.collect()))
