@@ -46,20 +46,28 @@ def main() -> None:
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": events}
     spark = local_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), scratch_dir=scratch,
                           extra_conf=extra)
+    errors = {}
     for name in names:
-        run_once(spark, name, sf_dir)
+        try:
+            run_once(spark, name, sf_dir)
+        except Exception as e:  # report the failure in the JSON line instead of no line at all
+            errors[name] = str(e).splitlines()[0][:300]
     per_query = {}
     for name in names:
+        if name in errors:
+            per_query[name] = None
+            continue
         per_query[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeat)), 4)
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_median_sum",
-        "value": round(sum(per_query.values()), 4),
+        "value": round(sum(v for v in per_query.values() if v is not None), 4),
         "unit": "sec",
         "queries": per_query,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
         "repeat": repeat,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
