@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,22 +20,28 @@ FREQUENCY_MIN_LENGTH = 3
 WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
 
 
-@functools.lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark MLlib's default English stop-word list (``StopWordsRemover``).
-
-    Read from the MLlib jar that ships with PySpark, so no JVM is needed and the oracle SQL
-    can embed exactly the list the Spark side uses; falls back to the JVM loader."""
-    import pyspark
+# MLlib's default English stop words (``StopWordsRemover``), in its order. A plain
+# list, so that neither a JVM nor a jar is needed to build a query or its oracle SQL.
+ENGLISH_STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+    she her hers herself it its itself they them their theirs themselves what which who whom
+    this that these those am is are was were be been being have has had having do does did doing
+    a an the and but if or because as until while of at by for with about against between into
+    through during before after above below to from up down in out on off over under again
+    further then once here there when where why how all any both each few more most other some
+    such no nor not only own same so than too very s t can will just don should now i'll you'll
+    he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+    they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+    doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+    how's let's ought that's there's what's when's where's who's why's would
+    """.split()
+)
 
-    pattern = os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")
-    for jar in sorted(glob.glob(pattern)):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-        return tuple(w for w in data.decode("utf-8").split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover
 
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+def english_stop_words() -> tuple[str, ...]:
+    """MLlib's default English stop words."""
+    return ENGLISH_STOP_WORDS
 
 
 def sql_string(value: str) -> str:

@@ -1,11 +1,17 @@
 """The driver contract, and every registered query against its DuckDB oracle at sf0.001."""
 
+import glob
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from placerank.plans.catalog import QUERIES
+from placerank.plans.oracle import oracle_queries
 
 from .conftest import SF_SMALL
 
@@ -21,8 +27,31 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(oracle_queries()) == ROWS_ONLY
     assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
+
+
+def test_entry_imports_from_the_pyspark_archive_without_a_jvm():
+    """The module must import, and give its queries and SQL, where PySpark is loaded from
+    pyspark.zip (no jars folder beside it) and no session exists."""
+    import pyspark
+
+    lib = os.path.join(os.path.dirname(pyspark.__file__), "python", "lib")
+    archives = sorted(glob.glob(os.path.join(lib, "*.zip")))
+    if not archives:
+        pytest.skip("this PySpark has no pyspark.zip")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import __spark_entry__ as e, pyspark; assert '.zip' in pyspark.__file__, pyspark.__file__; "
+        "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
+        "print(len(e.queries()), len(e.oracle_sql()))"
+    )
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([*reversed(archives), here])}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd="/", capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    n_queries, n_sql = map(int, done.stdout.split()[-2:])
+    assert n_queries >= len(QUERIES) and n_sql >= len(oracle_queries())
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +70,7 @@ def _key(row):
     return tuple((x is None, str(type(x)), x) for x in row)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = queries()[name](spark, SF_SMALL)
     rel = con.sql(oracle_sql()[name])

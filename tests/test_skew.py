@@ -8,7 +8,7 @@ import pytest
 
 from placerank.plans.catalog import KEYWORDS, RANKING_N, TOP_ITEMS_N, TOP_TERMS_N
 from placerank.plans.inspect import executed_plan
-from placerank.plans.oracle import ORACLE
+from placerank.plans.oracle import oracle_queries
 from placerank import operators as op
 from placerank.sources import bindings
 
@@ -35,7 +35,7 @@ def con():
 def _oracle(con, name):
     plain = "WITH posts AS (SELECT " + ", ".join(bindings.POSTS_EXPRS) + " FROM documents)"
     hot = "WITH posts AS (SELECT " + ", ".join(SKEWED) + " FROM documents)"
-    sql = ORACLE[name]
+    sql = oracle_queries()[name]
     assert plain in sql
     return con.sql(sql.replace(plain, hot, 1))
 
