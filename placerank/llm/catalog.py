@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, new_path, written
+from .language import identify, language_samples, remainder
 from .mixing import mix
 from .packing import pack_documents
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
+from .toxicity import classify, labelled_sample, train
 
 # Weights of a document by its quality label; documents without a label weigh 1.
 GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
@@ -28,6 +30,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    return identify(docs, language_samples(docs, held_out), held_out)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -38,10 +46,24 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_starts(written(digests(read_token_ids(spark, path)), "token-digests"))
 
 
+def toxicity_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
+    """The machine trained on the labelled documents of ``docs`` that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    sample = labelled_sample(docs, labels, remainder(F.col("doc_id"), 5) == 0)
+    return train([t for t, _ in sample], [y for _, y in sample])
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return classify(docs, toxicity_model(docs, spark, sf_dir), remainder(F.col("doc_id"), 5) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op6_packing": op6_packing,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 # DuckDB SQL where SQL can express a query exactly.
