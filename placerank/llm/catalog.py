@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, new_path, written
+from .fingerprint import edited_fingerprints
 from .language import identify, language_samples, remainder
 from .mixing import mix
 from .packing import pack_documents
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
+from .topk import top_k
 from .toxicity import classify, labelled_sample, train
 
 # Weights of a document by its quality label; documents without a label weigh 1.
@@ -36,6 +38,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, language_samples(docs, held_out), held_out)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"))
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -61,6 +72,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_topk": op5_topk,
     "op6_packing": op6_packing,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
