@@ -12,6 +12,7 @@ from .common import documents, new_path, written
 from .fingerprint import edited_fingerprints
 from .language import identify, language_samples, remainder
 from .mixing import mix
+from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
@@ -51,6 +52,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     write_token_ids(documents(spark, sf_dir), path, tokenizer_path("byte_bpe_50k.json"))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_topk": op5_topk,
     "op6_packing": op6_packing,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
 }

@@ -100,7 +100,7 @@ _M2 = np.uint64(0x94D049BB133111EB)
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """The SplitMix64 finaliser, a bijection on 64-bit values."""
-    x = np.asarray(x, dtype=np.uint64)
+    x = np.atleast_1d(np.asarray(x, dtype=np.uint64))
     x = (x ^ (x >> np.uint64(30))) * _M1
     x = (x ^ (x >> np.uint64(27))) * _M2
     return x ^ (x >> np.uint64(31))
