@@ -14,6 +14,7 @@ from .language import identify, language_samples, remainder
 from .mixing import mix
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
+from .substring_dedup import digests as kept_digests
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
 from .topk import top_k
@@ -56,6 +57,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digests(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     write_token_ids(documents(spark, sf_dir), path, tokenizer_path("byte_bpe_50k.json"))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": op5_topk,
     "op6_packing": op6_packing,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
 }
