@@ -15,6 +15,7 @@ from .mixing import mix
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import digests as kept_digests
+from .suffix_tree import score_documents
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
 from .topk import top_k
@@ -29,6 +30,10 @@ def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", F.when(F.col("quality") == 1, GOOD_WEIGHT).otherwise(POOR_WEIGHT).alias("weight"))
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), remainder(F.col("doc_id"), 7) == 2)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir), quality=quality_weights(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -80,6 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
     "op4_fingerprints": op4_fingerprints,
