@@ -305,11 +305,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column, rows:
     return [(t.encode(), label[i]) for i, t in found]
 
 
-class _Margins(dict):
-    """Margins of words that this worker has met, emptied when full."""
+_KNOWN: dict[int, dict[bytes, float]] = {}
 
 
-_KNOWN: dict[int, _Margins] = {}
+def document_scores(machine: Model, tag: int, texts: list[str | None]) -> np.ndarray:
+    """Scores of whole texts; the margins of words that a worker has met are remembered."""
+    if tag not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[tag] = {}
+    known = _KNOWN[tag]
+    bags = [units_of((t or "").encode()) for t in texts]
+    if len(known) > MOST_REMEMBERED:
+        known.clear()
+    new = sorted(set().union(*bags).difference(known))
+    known.update(zip(new, machine.margins(new).tolist(), strict=True))
+    return machine.score(np.array([max(map(known.__getitem__, bag), default=machine.least) for bag in bags]))
 
 
 def classify(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
@@ -318,19 +328,8 @@ def classify(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
     tag = hash(model.vector.tobytes())
 
     def score(batches):
-        machine = shared.value
-        if tag not in _KNOWN:
-            _KNOWN.clear()
-            _KNOWN[tag] = _Margins()
-        known = _KNOWN[tag]
         for batch in small_batches(batches, most_bytes=2 << 20):
-            bags = [units_of((t or "").encode()) for t in batch.column("text").to_pylist()]
-            if len(known) > MOST_REMEMBERED:
-                known.clear()
-            new = sorted(set().union(*bags) - known.keys())
-            known.update(zip(new, machine.margins(new).tolist(), strict=True))
-            top = np.array([max(map(known.__getitem__, bag), default=machine.least) for bag in bags])
-            p = machine.score(top)
+            p = document_scores(shared.value, tag, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
@@ -339,3 +338,16 @@ def classify(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     return map_batches(rows, score, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    tag = hash(model.vector.tobytes())
+
+    def keep(batches):
+        for batch in small_batches(batches, most_bytes=2 << 20):
+            p = document_scores(shared.value, tag, batch.column("text").to_pylist())
+            yield batch.filter(pa.array(p < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
