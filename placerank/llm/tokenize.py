@@ -11,8 +11,8 @@ The strings of special tokens in a text are ordinary text (``encode_special_toke
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import unicodedata
+from array import array
 
 # A blank between two other white-space characters joins them into one run for the byte-level
 # pattern, so that such a text is not cut at its blanks alone.
@@ -27,15 +27,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# Stands for a line end at which a text was cut.
+_LINE = "\x00"
+
+
 def byte_level_pieces(text: str) -> list[str]:
-    """Pieces whose ids in a row are the text's ids under a byte-level pre-tokenizer: every
-    piece but the first starts with the blank before it."""
+    """A text cut at blanks and line ends, for a byte-level pre-tokenizer: each piece but the
+    first belongs with the blank before it, or with a line end if it starts with ``_LINE``."""
     odd = any(c in text for c in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
-    if odd or text.endswith(" "):
-        parts = _SAFE_BLANK.split(text)
-    else:
-        parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
+    if odd or text.endswith(" ") or _LINE in text:
+        return _SAFE_BLANK.split(text)
+    if "\n" in text and "\n\n" not in text and " \n" not in text and text[0] != "\n" and text[-1] != "\n":
+        text = text.replace("\n", " " + _LINE)
+    return text.split(" ")
 
 
 def word_end_pieces(text: str) -> list[bytes]:
@@ -44,39 +48,104 @@ def word_end_pieces(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-class PieceEncoder:
-    """Token ids of texts through a memory of encoded pieces. ``kind`` names the cut:
-    'byte_level' or 'word_end'."""
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 for
+    itself, the other bytes, in order, for the letters from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+_BYTE_LETTERS = _byte_letters()
+# Letters (to be checked) and then ASCII signs: two pre-tokens for either cut, as long as no
+# apostrophe makes more.
+_LETTERS_SIGNS = re.compile(r"(\w+)([!-&(-/:-@\[-^{-~]*)")
+
 
-    def __init__(self, path: str, kind: str, most: int = 500_000):
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
+class _Pieces(dict):
+    """Piece -> ids as little-endian unsigned 32-bit integers, encoded when first met. Two
+    generations bound the memory: when the newer one is full it becomes the older one, from
+    which pieces still in use are taken over."""
+
+    def __init__(self, path: str, blank: bool, most: int):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = {"byte_level": byte_level_pieces, "word_end": word_end_pieces}[kind]
-        self.most = most
-        self.known: dict = {}
-
-    def _learn(self, pieces: set) -> None:
-        if len(self.known) + len(pieces) > self.most:
-            self.known = {}
-        todo = sorted(pieces - self.known.keys())
-        for i in range(0, len(todo), 4096):
-            part = todo[i : i + 4096]
-            texts = [p.decode() if isinstance(p, bytes) else p for p in part]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(e.ids, dtype="<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.blank, self.most, self.older = blank, most, {}
+        self.lead = _BYTE_LETTERS[0x20] if blank else ""
+        self.line = self.alone("\n") if blank else b""
+
+    def __missing__(self, piece) -> bytes:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._encode(piece if isinstance(piece, str) else piece.decode())
+        self[piece] = ids
+        return ids
+
+    def _encode(self, text: str) -> bytes:
+        lead, plain = self.lead, text
+        if self.blank and text[:1] == _LINE:
+            lead, plain = "", text[1:]
+        # Pieces that are one or two pre-tokens for certain go straight to the model.
+        signs = ""
+        if plain.isalpha():
+            letters = plain
+        elif (found := _LETTERS_SIGNS.fullmatch(plain)) and found[1].isalpha():
+            letters, signs = found.groups()
+        else:
+            letters = ""
+        if not letters or not (self.blank or self._settled(plain)):
+            return self.alone(("\n" if self.blank and not lead else " " if lead else "") + plain)
+        ids = self._tokens(lead, letters if self.blank else letters.lower())
+        if signs:
+            ids += self._tokens("", signs)
+        return self.line + ids if self.blank and not lead else ids
+
+    @staticmethod
+    def _settled(word: str) -> bool:
+        """Whether the tokenizer's normal form of a word is its plain lower-case form."""
+        return word.isascii() or (unicodedata.is_normalized("NFC", word) and "\u03a3" not in word and word.lower().rstrip(_SIGNS).isalpha())
+
+    def _tokens(self, lead: str, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(lead + letters)]).tobytes()
+
+    def alone(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+class PieceEncoder:
+    """Token ids of texts through a memory of encoded pieces. ``kind`` names the cut:
+    'byte_level' or 'word_end'."""
+
+    def __init__(self, path: str, kind: str, most: int = 350_000):
+        self.blank = {"byte_level": True, "word_end": False}[kind]
+        self.cut = byte_level_pieces if self.blank else word_end_pieces
+        self.pieces = _Pieces(path, self.blank, most)
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Each text's ids and then ``end_id``, as little-endian unsigned 32-bit integers."""
-        cut = [self.cut(t) if t else [] for t in texts]
-        new: set = set()
-        for pieces in cut:
-            new.update(pieces)
-        self._learn(new)
-        get = self.known.__getitem__
-        end = np.array([end_id], dtype="<u4").tobytes()
-        return [b"".join(map(get, pieces)) + end for pieces in cut]
+        get, alone, out = self.pieces.__getitem__, self.pieces.alone, []
+        end = array("I", [end_id]).tobytes()
+        for text in texts:
+            if not text:
+                out.append(end)
+                continue
+            pieces = self.cut(text)
+            # Nothing stands before the first piece of a byte-level text.
+            first = alone(pieces[0]) if self.blank else b""
+            out.append(b"".join([first, *map(get, pieces[1:] if self.blank else pieces), end]))
+        return out
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
