@@ -23,7 +23,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from placerank.plans.catalog import QUERIES  # noqa: E402
 from placerank.session import local_session  # noqa: E402
 
-HEADLINE = ["top_items", "popularity_score_sales", "tfidf_terms", "keyword_ranking", "hybrid_recommendations"]
+HEADLINE = [
+    "top_items", "popularity_score_sales", "tfidf_terms", "top_tfidf_terms", "keyword_ranking",
+    "keyword_ranking_item_join", "hybrid_recommendations", "evaluate_hybrid", "listing_feature_columns",
+    "cluster_items", "tfidf_vectors",
+]
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

@@ -13,6 +13,7 @@ from .text import (
     FREQUENCY_MIN_LENGTH,
     FREQUENCY_STOP_WORDS,
     blank_split_words,
+    ENGLISH_STOP_WORDS,
     english_stop_words,
     not_in_words,
     sql_string,
@@ -29,6 +30,7 @@ __all__ = [
     "count_distinct_values",
     "count_values_with_null",
     "desc_keys",
+    "ENGLISH_STOP_WORDS",
     "english_stop_words",
     "keyword_hits",
     "min_max_scaled",

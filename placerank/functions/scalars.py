@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 def attach_scalars(df: DataFrame, *aggs: Column) -> DataFrame:
     """``df`` with the columns of ``df.agg(*aggs)`` appended to every row."""
-    stats = df.agg(*aggs)
-    return df.crossJoin(F.broadcast(stats))
+    return attach_stats(df, df, *aggs)
 
 
-def attach_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Append a one-row statistics DataFrame (a global aggregate) to every row of ``df``."""
-    return df.crossJoin(F.broadcast(stats))
+def attach_stats(df: DataFrame, source: DataFrame, *aggs: Column) -> DataFrame:
+    """``df`` with the columns of ``source.agg(*aggs)``, one row by construction, appended to
+    every row."""
+    return df.crossJoin(F.broadcast(source.agg(*aggs)))
 
 
 def min_max_scaled(value: Column, lo: Column, hi: Column, scale: float = 1.0) -> Column:

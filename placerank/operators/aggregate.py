@@ -37,8 +37,7 @@ def group_shares(posts: DataFrame) -> DataFrame:
     a window over the whole table (which would put every group in one task)."""
     require_columns(posts, "grp")
     counts = posts.groupBy("grp").agg(F.count(F.lit(1)).alias("review_count"))
-    total = counts.agg(F.sum("review_count").alias("_total"))
-    shares = attach_stats(counts, total).select(
+    shares = attach_stats(counts, counts, F.sum("review_count").alias("_total")).select(
         "grp",
         "review_count",
         (F.col("review_count").cast("double") * F.lit(100.0) / F.col("_total").cast("double"))

@@ -34,6 +34,4 @@ def clean_listings(raw: DataFrame) -> DataFrame:
         F.when(digits != F.lit(""), digits.try_cast(T.IntegerType())).alias("guests"),
         F.when(stars_txt.rlike(STARS_PATTERN), stars_txt.try_cast(T.FloatType())).alias("stars"),
     )
-    return typed.where(
-        F.col("stars").isNotNull() & F.col("guests").isNotNull() & (F.col("guests") > F.lit(0))
-    )
+    return typed.where(F.col("stars").isNotNull() & (F.col("guests") > F.lit(0)))

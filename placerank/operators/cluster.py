@@ -23,20 +23,21 @@ HOTSPOT_LABEL = "🔥 Popular Hotspot"
 HIDDEN_GEM_LABEL = "💎 Hidden Gem"
 REGULAR_LABEL = "📍 Regular Destination"
 
+LAYOUT_PARTITIONS = 32  # of the fit's input
 FEATURES = ("review_count", "popularity_score")  # the two K-Means inputs
 OUTPUT = ["item", "grp", "review_count", "popularity_score", "prediction"]
 
 
 def cluster_items(popularity: DataFrame, k: int = 4, seed: int = 42,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
     """K-Means on (review_count, popularity_score), then labelled:
-    (item, grp, review_count, popularity_score, prediction, cluster_label)."""
+    (item, grp, review_count, popularity_score, prediction, cluster_label). The layout, and
+    with it the result, depends on ``partitions`` and ``seed`` only, not on the session's
+    settings; pass more partitions for a pair table of many gigabytes."""
     require_columns(popularity, "item", "grp", *FEATURES)
-    spark = popularity.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = (
         popularity.select("item", "grp", "review_count", "popularity_score")
-        .repartition(parts, "item", "grp")
+        .repartition(partitions, "item", "grp")
         .sortWithinPartitions("item", "grp")
     )
     # A NULL score (all counts equal) enters the vector as 0.0: the assembler rejects NULL.
@@ -61,24 +62,25 @@ def label_clusters(clustered: DataFrame) -> DataFrame:
         .agg(F.avg("popularity_score").alias("_mean"))
         .where(F.col("_mean").isNotNull())
     )
-    chosen = means.agg(
+    labelled = attach_stats(
+        clustered,
+        means,
         F.max(F.struct(F.col("_mean"), (-F.col("prediction")).alias("_neg_id"))).alias("_hot"),
         F.min(F.struct(F.col("_mean"), F.col("prediction").alias("_id"))).alias("_gem"),
-    ).select((-F.col("_hot._neg_id")).alias("_hot_id"), F.col("_gem._id").alias("_gem_id"))
-    labelled = attach_stats(clustered, chosen)
+    )
     label = (
-        F.when(F.col("prediction") == F.col("_gem_id"), F.lit(HIDDEN_GEM_LABEL))
-        .when(F.col("prediction") == F.col("_hot_id"), F.lit(HOTSPOT_LABEL))
+        F.when(F.col("prediction") == F.col("_gem._id"), F.lit(HIDDEN_GEM_LABEL))
+        .when(F.col("prediction") == -F.col("_hot._neg_id"), F.lit(HOTSPOT_LABEL))
         .otherwise(F.lit(REGULAR_LABEL))
     )
-    return labelled.withColumn("cluster_label", label).drop("_hot_id", "_gem_id")
+    return labelled.withColumn("cluster_label", label).drop("_hot", "_gem")
 
 
 def cluster_summary(labelled: DataFrame) -> DataFrame:
     """Per label: (cluster_label, item_count, avg_popularity, avg_reviews), means rounded
-    to 2 decimals."""
+    to 2 decimals. As in pandas' ``count``, NULL items are not counted."""
     out = labelled.groupBy("cluster_label").agg(
-        F.count(F.lit(1)).alias("item_count"),
+        F.count("item").alias("item_count"),
         F.round(F.avg("popularity_score"), 2).alias("avg_popularity"),
         F.round(F.avg(F.col("review_count").cast("double")), 2).alias("avg_reviews"),
     )

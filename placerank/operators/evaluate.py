@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import attach_stats
 from ..schema import require_columns
+from .recommend import CATALOGUE_SIZE
 
 # Fixed values of the reference's evaluation and its precision gauge.
 RELEVANT_MIN_STARS = 4.0
@@ -18,11 +20,13 @@ PRECISION_BANDS = ((40.0, "0-40"), (70.0, "40-70"))  # upper bound (exclusive),
 TOP_BAND = "70-100"
 
 
-def evaluate_recommendations(recs: DataFrame, listings: DataFrame, num_guests: int,
+def evaluate_recommendations(recs: DataFrame, listings: DataFrame | None, num_guests: int,
                              min_stars: float = RELEVANT_MIN_STARS,
                              room_type: str | None = None) -> DataFrame:
     """One row: precision_at_k, total_recommended, relevant_count, coverage (percent of
-    all listings recommended), precision_pct, precision_band.
+    all listings recommended), precision_pct, precision_band, precision_target_pct (the
+    gauge's threshold). The catalogue's size is taken from ``recs`` where these carry it
+    (``hybrid_recommendations(keep_size=True)``), else counted from ``listings``.
 
     A recommendation is relevant when its stars reach ``min_stars`` and it holds
     ``num_guests``; passing ``room_type`` also requires the type to match (substring,
@@ -33,12 +37,18 @@ def evaluate_recommendations(recs: DataFrame, listings: DataFrame, num_guests: i
     if room_type is not None and room_type != "Any":
         require_columns(recs, "room_type")
         relevant = relevant & F.lower(F.col("room_type")).contains(room_type.lower())
+    size = [F.max(CATALOGUE_SIZE).alias("_all_listings")] if CATALOGUE_SIZE in recs.columns else []
     rec_stats = recs.agg(
         F.count(F.lit(1)).alias("total_recommended"),
         F.count_if(relevant).alias("relevant_count"),
+        *size,
     )
-    catalogue = listings.agg(F.count(F.lit(1)).alias("_all_listings"))
-    both = rec_stats.crossJoin(F.broadcast(catalogue))
+    if CATALOGUE_SIZE in recs.columns:
+        both = rec_stats
+    else:
+        if listings is None:
+            raise ValueError(f"listings are needed where the recommendations have no {CATALOGUE_SIZE}")
+        both = attach_stats(rec_stats, listings, F.count(F.lit(1)).alias("_all_listings"))
     precision = F.coalesce(
         F.round(F.try_divide(F.col("relevant_count").cast("double"), F.col("total_recommended").cast("double")), 2),
         F.lit(0.0),
@@ -62,4 +72,6 @@ def evaluate_recommendations(recs: DataFrame, listings: DataFrame, num_guests: i
     for bound, label in PRECISION_BANDS[1:]:
         band = band.when(pct < F.lit(bound), F.lit(label))
     band = band.otherwise(F.lit(TOP_BAND))
-    return out.withColumn("precision_pct", pct).withColumn("precision_band", band)
+    return out.withColumn("precision_pct", pct).withColumn("precision_band", band).withColumn(
+        "precision_target_pct", F.lit(PRECISION_TARGET_PCT)
+    )

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import attach_scalars, min_max_scaled
+from ..functions import attach_scalars, attach_stats, min_max_scaled
 from ..schema import require_columns
 from .aggregate import value_options
 from .ordering import ordinal
@@ -32,21 +32,22 @@ DEFAULT_MIN_STARS_FLOOR = 0.0  # used when the candidate minimum is missing or z
 DEFAULT_MAX_STARS_CEIL = 5.0  # used when the candidate maximum is missing or zero
 
 LISTING_COLUMNS = ["listing_id", "name", "room_type", "guests", "stars"]
+CATALOGUE_SIZE = "catalogue_size"  # listings in the whole catalogue, on each scored row
 HYBRID_COLUMNS = LISTING_COLUMNS + ["guest_match_score", "hybrid_score"]
 
 
-def _room_type_filter(listings: DataFrame, preferred_room_type: str | None) -> DataFrame:
+def _room_type_matches(preferred_room_type: str | None) -> Column:
     """Case-insensitive literal substring match on the room type; "Any" keeps all."""
     if preferred_room_type is None or preferred_room_type == ANY_ROOM_TYPE:
-        return listings
-    return listings.where(F.lower(F.col("room_type")).contains(preferred_room_type.lower()))
+        return F.lit(True)
+    return F.lower(F.col("room_type")).contains(preferred_room_type.lower())
 
 
 def content_recommendations(listings: DataFrame, preferred_room_type: str, num_guests: int,
                             n: int = 10) -> DataFrame:
     """Listings of the wanted type that hold the party, best stars then largest capacity."""
     require_columns(listings, *LISTING_COLUMNS)
-    cand = _room_type_filter(listings, preferred_room_type).where(F.col("guests") >= F.lit(num_guests))
+    cand = listings.where(_room_type_matches(preferred_room_type) & (F.col("guests") >= F.lit(num_guests)))
     return cand.orderBy(
         F.col("stars").desc_nulls_last(), F.col("guests").desc_nulls_last(), F.col("listing_id")
     ).limit(n).select(*LISTING_COLUMNS)
@@ -73,16 +74,25 @@ def guest_match_score(guests: Column, num_guests: int) -> Column:
 
 
 def hybrid_scored(listings: DataFrame, preferred_room_type: str, num_guests: int,
-                  min_stars: float = 4.0) -> DataFrame:
+                  min_stars: float = 4.0, keep_size: bool = False) -> DataFrame:
     """Every candidate with ``stars_norm``, ``guest_match_score`` and ``hybrid_score``
-    (not limited). The star range is taken over the candidates only."""
+    (not limited). The star range is taken over the candidates only. ``keep_size`` adds the
+    number of listings in the whole catalogue."""
     require_columns(listings, *LISTING_COLUMNS)
-    cand = (
-        _room_type_filter(listings, preferred_room_type)
-        .where(F.col("stars") >= F.lit(float(min_stars)))
-        .where(F.col("guests") >= F.lit(num_guests))
-    )
-    with_stats = attach_scalars(cand, F.min("stars").alias("_min_s"), F.max("stars").alias("_max_s"))
+    fits = (F.col("stars") >= F.lit(float(min_stars))) & (F.col("guests") >= F.lit(num_guests))
+    fits = fits & _room_type_matches(preferred_room_type)
+    candidates = listings.where(fits)
+    if keep_size:
+        # One aggregate over the whole catalogue gives the candidates' star range and its size.
+        with_stats = attach_stats(
+            candidates,
+            listings,
+            F.min(F.when(fits, F.col("stars"))).alias("_min_s"),
+            F.max(F.when(fits, F.col("stars"))).alias("_max_s"),
+            F.count(F.lit(1)).alias(CATALOGUE_SIZE),
+        )
+    else:
+        with_stats = attach_scalars(candidates, F.min("stars").alias("_min_s"), F.max("stars").alias("_max_s"))
     lo = F.col("_min_s").cast("double")
     hi = F.col("_max_s").cast("double")
     lo = F.when(lo.isNull() | (lo == F.lit(0.0)), F.lit(DEFAULT_MIN_STARS_FLOOR)).otherwise(lo)
@@ -105,10 +115,11 @@ def _top_hybrid(scored: DataFrame, n: int) -> DataFrame:
 
 
 def hybrid_recommendations(listings: DataFrame, preferred_room_type: str, num_guests: int,
-                           min_stars: float = 4.0, n: int = 10) -> DataFrame:
-    """Top ``n`` by ``0.7 * stars_norm + 0.3 * guest_match_score`` (rounded to 4)."""
-    scored = hybrid_scored(listings, preferred_room_type, num_guests, min_stars)
-    return _top_hybrid(scored, n).select(*HYBRID_COLUMNS)
+                           min_stars: float = 4.0, n: int = 10, keep_size: bool = False) -> DataFrame:
+    """Top ``n`` by ``0.7 * stars_norm + 0.3 * guest_match_score`` (rounded to 4).
+    ``keep_size`` adds the number of listings in the catalogue, for ``evaluate_recommendations``."""
+    scored = hybrid_scored(listings, preferred_room_type, num_guests, min_stars, keep_size)
+    return _top_hybrid(scored, n).select(*HYBRID_COLUMNS, *([CATALOGUE_SIZE] if keep_size else []))
 
 
 def score_breakdown(listings: DataFrame, preferred_room_type: str, num_guests: int,
@@ -128,21 +139,23 @@ def score_breakdown(listings: DataFrame, preferred_room_type: str, num_guests: i
 
 def recommendation_summary(recs: DataFrame) -> DataFrame:
     """One row: total_recommendations, avg_stars (2 dp), top_stars, avg_hybrid_score
-    (3 dp; NULL when the recommendations carry no hybrid score)."""
-    hybrid = (
-        F.round(F.avg("hybrid_score"), 3) if "hybrid_score" in recs.columns else F.lit(None).cast("double")
-    )
+    (3 dp; NULL when the recommendations carry no hybrid score). A ranking of room types
+    has no stars of its own: its count, and NULLs."""
+    has_stars, has_hybrid = "stars" in recs.columns, "hybrid_score" in recs.columns
+    stars = F.round(F.avg(F.col("stars").cast("double")), 2) if has_stars else F.lit(None).cast("double")
+    hybrid = F.round(F.avg("hybrid_score"), 3) if has_hybrid else F.lit(None).cast("double")
     return recs.agg(
         F.count(F.lit(1)).alias("total_recommendations"),
-        F.round(F.avg(F.col("stars").cast("double")), 2).alias("avg_stars"),
-        F.max("stars").alias("top_stars"),
+        stars.alias("avg_stars"),
+        (F.max("stars") if has_stars else F.lit(None).cast("float")).alias("top_stars"),
         hybrid.alias("avg_hybrid_score"),
     )
 
 
 def room_type_distribution(recs: DataFrame) -> DataFrame:
-    """How many recommendations per room type: (room_type, listing_count)."""
-    out = recs.groupBy("room_type").agg(F.count(F.lit(1)).alias("listing_count"))
+    """How many recommendations per room type: (room_type, listing_count). As in pandas'
+    ``value_counts``, a NULL type is not listed."""
+    out = recs.where(F.col("room_type").isNotNull()).groupBy("room_type").agg(F.count(F.lit(1)).alias("listing_count"))
     return out.orderBy(F.col("listing_count").desc(), F.col("room_type").asc_nulls_first())
 
 
@@ -151,6 +164,7 @@ def room_types(listings: DataFrame) -> DataFrame:
     return value_options(listings, "room_type", ANY_ROOM_TYPE)
 
 
+# The buckets' bounds follow the reference.
 def guest_bucket(guests: Column) -> Column:
     """1 guest -> 1, 2 -> 2, 3-4 -> 3, 5 or more -> 4, anything else -> 1."""
     return (
@@ -171,7 +185,7 @@ def listing_feature_columns(listings: DataFrame) -> DataFrame:
     alphabetical, NULL (unseen) -> the number of labels.
 
     The label dictionary is one aggregate row per room type. It is numbered with
-    ``ordinal`` (range partitions plus per-partition offsets, no single-task window) in
+    ``ordinal`` (range partitions plus per-partition offsets, written once, no single-task window) in
     the order (NULL last, frequency descending, label): the NULL row then gets exactly the
     number of labels. It is joined back null-safely, so every listing matches one entry;
     AQE broadcasts the dictionary when its measured size allows. Min/max stars are a

@@ -82,6 +82,6 @@ def browse_popular(popularity: DataFrame, grp: str | None = None, min_score: flo
 
 def avg_popularity_by_group(popularity: DataFrame) -> DataFrame:
     """Mean popularity per group (rounded to 4 decimals), highest first:
-    (grp, avg_popularity)."""
-    out = popularity.groupBy("grp").agg(F.round(F.avg("popularity_score"), 4).alias("avg_popularity"))
+    (grp, avg_popularity). As in pandas' ``groupby``, a NULL group is left out."""
+    out = popularity.where(F.col("grp").isNotNull()).groupBy("grp").agg(F.round(F.avg("popularity_score"), 4).alias("avg_popularity"))
     return out.orderBy(*desc_keys("avg_popularity", "grp"))

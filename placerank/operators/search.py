@@ -6,20 +6,19 @@ no text concatenation), one aggregate per (item, grp) gives the post count and t
 hits; min/max count (for popularity) and the maximum kept density come from ONE one-row
 aggregate over that grouped table, broadcast back, so AQE reuses the exchange and the text
 is scanned once. Popularity comes from the same aggregate (same keys), so no join is
-needed unless the reference's item-only join is asked for.
+needed; the reference's item-only join is a window over the grouped table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import attach_stats, clean_keywords, keyword_hits, min_max_scaled
+from ..functions import attach_scalars, clean_keywords, keyword_hits, min_max_scaled
 from ..functions.columns import desc_keys
 from ..schema import require_columns
-from ..session import spread_if_small
 
 # Fixed values of the reference's keyword ranking.
 RELEVANCE_WEIGHT = 0.8
@@ -91,32 +90,37 @@ def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
         raise ValueError("group_filter_stage must be 'after' or 'before'")
     threshold = MIN_DENSITY_PER_KEYWORD * len(kws)
 
-    texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "grp", "text") if c in posts.columns]))
-    per_post = texts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws, keyword_match).alias("_hits"))
+    per_post = posts.select("item", "grp", keyword_hits(F.lower(F.col("text")), kws, keyword_match).alias("_hits"))
     grouped = per_post.groupBy("item", "grp").agg(
         F.count(F.lit(1)).alias("review_count"),
         F.coalesce(F.sum("_hits"), F.lit(0)).cast("double").alias("keyword_freq"),
     ).withColumn("_density", F.col("keyword_freq") / F.col("review_count").cast("double"))
 
-    stats = grouped.agg(
+    scored = attach_scalars(
+        grouped,
         F.min("review_count").alias("_min_n"),
         F.max("review_count").alias("_max_n"),
         F.max(F.when(F.col("_density") >= F.lit(threshold), F.col("_density"))).alias("_max_density"),
-    )
-    scored = attach_stats(grouped, stats).withColumn(
+    ).withColumn(
         "_popularity", F.round(min_max_scaled(F.col("review_count"), F.col("_min_n"), F.col("_max_n"), 100.0), 2)
     )
-    kept = scored.where(F.col("_density") >= F.lit(threshold))
+    keep = F.col("_density") >= F.lit(threshold)
 
     if tuple(join_keys) == ("item", "grp"):
-        ranked = kept
+        ranked = scored.where(keep)
     elif tuple(join_keys) == ("item",):
-        pop = scored.select(F.col("item").alias("_p_item"), F.col("_popularity").alias("_p_pop"))
+        # Each kept pair with every popularity of its item. The item's popularities, one a
+        # group (no item has more than there are groups), are gathered by a window over the
+        # grouped table, so that the posts are read once. A NULL item joins nothing.
+        all_of_item = F.collect_list(F.struct("_popularity")).over(Window.partitionBy("item"))
+        nothing = F.array(F.struct(F.lit(None).cast("double").alias("_popularity")))
+        joined = F.when(F.col("item").isNull(), nothing).otherwise(F.col("_all"))
         ranked = (
-            kept.drop("_popularity")
-            .join(pop, kept["item"] == pop["_p_item"], "left")
-            .withColumnRenamed("_p_pop", "_popularity")
-            .drop("_p_item")
+            scored.withColumn("_all", all_of_item)
+            .where(keep)
+            .withColumn("_one", F.explode(joined))
+            .withColumn("_popularity", F.col("_one._popularity"))
+            .drop("_all", "_one")
         )
     else:
         raise ValueError("join_keys must be ('item', 'grp') or ('item',)")
@@ -158,20 +162,24 @@ def score_by_group(result: DataFrame, score_col: str = "final_score") -> DataFra
     return out.orderBy(*desc_keys("total_score", "grp"))
 
 
-SCORE_PREFERENCE = ("final_score", "relevance_score", "popularity_score", "hybrid_score", "stars")
-TIE_KEYS = ("item", "grp", "listing_id")
+SCORE_PREFERENCE = ("final_score", "relevance_score", "popularity_score", "hybrid_score", "stars", "avg_stars")
+TIE_KEYS = ("item", "grp", "listing_id", "room_type")
+# Lists ordered by stars show larger places first among equal stars.
+SECOND_SCORES = {"stars": ("guests",)}
 
 
 def top_recommendation(result: DataFrame, score_cols: Sequence[str] = SCORE_PREFERENCE) -> DataFrame:
-    """The single best row of a ranking or recommendation result, with ``score`` = the
-    first of ``score_cols`` the result has (final -> relevance -> popularity for place
-    rankings, hybrid score or stars for listings); ties broken on the key columns."""
+    """The first shown row of a ranking or recommendation result, with ``score`` = the first of
+    ``score_cols`` the result has (final -> relevance -> popularity for place rankings, hybrid
+    score or stars for listings, average stars for room types). Ties are broken as the list
+    itself orders them: by guests where it is ordered by stars, then by the key columns."""
     present = [c for c in score_cols if c in result.columns]
     if not present:
         raise ValueError(f"none of {list(score_cols)} in {result.columns}")
-    keys = [k for k in TIE_KEYS if k in result.columns]
+    second = [F.col(c).desc_nulls_last() for c in SECOND_SCORES.get(present[0], ()) if c in result.columns]
+    keys = [F.col(k).asc_nulls_first() for k in TIE_KEYS if k in result.columns and (k != "room_type" or "listing_id" not in result.columns)]
     scored = result.withColumn("score", F.col(present[0]).cast("double"))
-    return scored.orderBy(*desc_keys("score", *keys)).limit(1)
+    return scored.orderBy(F.col("score").desc_nulls_last(), *second, *keys).limit(1)
 
 
 def display_columns(result: DataFrame, kind: str) -> DataFrame:

@@ -4,8 +4,8 @@ vectors.
 No operator concatenates the texts of an item into one value: every text is tokenised on
 its own and counts are summed per item (partial aggregation before each shuffle), so a hot
 item costs one partial row per (term, task), not one giant string in one task. Stop words
-and empty tokens are removed before the first aggregation shuffle (small inputs are first
-spread over all cores, see ``session.spread_if_small``).
+and empty tokens are removed before the first aggregation shuffle. A table is read by as
+many tasks as its files and row groups allow: lay it out when it is written.
 
 Document model of TF-IDF (as in the reference): one document per item (a NULL item is one
 document), made of all its posts. Tokens follow MLlib ``Tokenizer`` (lowercase, split on
@@ -33,7 +33,7 @@ from ..functions import (
     tokens,
 )
 from ..schema import require_columns
-from ..session import materialize, spread_if_small
+from ..session import materialize
 
 TFIDF_DECIMALS = 6  # reported precision of tf-idf scores
 
@@ -42,8 +42,7 @@ def top_words(posts: DataFrame, n: int = 20) -> DataFrame:
     """Most frequent words: (word, frequency). Words are the lowercased text split on
     single blanks, longer than three characters, not in the fixed stop list."""
     require_columns(posts, "text")
-    texts = spread_if_small(posts.select(*[c for c in ("post_id", "text") if c in posts.columns]))
-    words = texts.select(F.explode(blank_split_words("text")).alias("word"))
+    words = posts.select(F.explode(blank_split_words("text")).alias("word"))
     kept = words.where(
         (F.length("word") > F.lit(FREQUENCY_MIN_LENGTH)) & not_in_words("word", FREQUENCY_STOP_WORDS)
     )
@@ -62,8 +61,7 @@ def word_frequency_map(words: DataFrame, n: int = 100) -> DataFrame:
 
 
 def _terms(posts: DataFrame, stop_words: tuple[str, ...]) -> DataFrame:
-    texts = spread_if_small(posts.select(*[c for c in ("post_id", "item", "text") if c in posts.columns]))
-    exploded = texts.select("item", F.explode(tokens("text")).alias("term"))
+    exploded = posts.select("item", F.explode(tokens("text")).alias("term"))
     return exploded.where((F.col("term") != F.lit("")) & not_in_words("term", stop_words))
 
 
@@ -73,8 +71,9 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     ``tf`` -- occurrences of the term in the item's posts; ``doc_freq`` -- items whose
     posts contain it; ``tfidf = tf * ln((m + 1) / (doc_freq + 1))`` rounded to 6 decimals.
     Plan: partial+final aggregate on (item, term); a second aggregate on term, which gets
-    the idf (``m`` is a one-row aggregate attached per term); sort-merge join on term (AQE
-    splits a term present in most items).
+    the idf (``m`` is a one-row aggregate attached per term); sort-merge join on term. A term
+    present in most items is split at run time: both sides of the join come from a shuffle
+    made for it, which AQE's skew handling needs.
     """
     require_columns(posts, "item", "text")
     stop = english_stop_words() if stop_words is None else tuple(stop_words)
@@ -83,12 +82,19 @@ def tfidf_terms(posts: DataFrame, stop_words: tuple[str, ...] | None = None) ->
     # the (item, term) aggregate then keeps its count in both branches, stays identical,
     # and its exchange is reused instead of tokenising the text a second time (Catalyst
     # prunes an unused count, and rewrites count(tf) of a non-null column to count(*)).
-    doc_freq = tf.groupBy("term").agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("doc_freq"))
+    # Grouped by the term and its hash: an aggregate on the term alone would already be
+    # partitioned for the join, and a join side that is no shuffle of its own keeps AQE from
+    # splitting a hot term on the other side. The extra shuffle moves one row a term.
+    doc_freq = (
+        tf.groupBy(F.xxhash64("term").alias("_hash"), "term")
+        .agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("doc_freq"))
+        .drop("_hash")
+    )
     # The document count is attached to the per-term table, so the idf is computed once
     # per term and the (item, term) rows only multiply.
-    n_docs = posts.agg(count_values_with_null("item").alias("_m"))
     idf = F.log((F.col("_m").cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0))
-    per_term = attach_stats(doc_freq, n_docs).select("term", "doc_freq", idf.alias("_idf"))
+    n_docs = count_values_with_null("item").alias("_m")
+    per_term = attach_stats(doc_freq, posts, n_docs).select("term", "doc_freq", idf.alias("_idf"))
     # The per-term table grows with the vocabulary, which has no size bound: join it with a
     # sort-merge join (it spills; AQE splits a skewed term) rather than let it be broadcast.
     # Even at sf0.1 the broadcast (collected and hashed on the driver) was the slower plan.
@@ -123,10 +129,7 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
     """
     require_columns(posts, "item", "text")
     stop = list(english_stop_words() if stop_words is None else stop_words) + [""]
-    cols = [c for c in ("post_id", "item", "text") if c in posts.columns]
-    docs = spread_if_small(posts.select(*cols)).select(
-        "item", F.coalesce(F.col("text"), F.lit("")).alias("text")
-    )
+    docs = posts.select("item", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     per_post = Pipeline(
         stages=[
             Tokenizer(inputCol="text", outputCol="_words"),

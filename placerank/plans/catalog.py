@@ -19,6 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered queries.
 KEYWORDS = ("und", "pour")
+PATTERNS = ("und", "po.r")
+MIN_FINAL_SCORE = 50.0
+EVALUATED_ROOM_TYPE = "small"
 TOP_ITEMS_N = 15
 TOP_POPULAR_N = 15
 TOP_POPULAR_WIDE_N = 50  # the dashboard's scatter of the first 50
@@ -58,11 +61,20 @@ def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.content_recommendations(_listings(spark, sf_dir), room, guests, n)
 
 
-def _fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales popularity with deterministic cluster ids -- equal-width bands of the score,
+def _room_types_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.room_type_ranking(_listings(spark, sf_dir), ROOM_RANKING_N)
+
+
+def _evaluated_hybrid(spark: SparkSession, sf_dir: str, room_type: str | None = None) -> DataFrame:
+    recs = op.hybrid_recommendations(_listings(spark, sf_dir), *HYBRID_ARGS, keep_size=True)
+    return op.evaluate_recommendations(recs, None, HYBRID_ARGS[1], room_type=room_type)
+
+
+def _fixed_clusters(spark: SparkSession, sf_dir: str, binding: Query = bindings.sales) -> DataFrame:
+    """Popularity (of sales by default) with deterministic cluster ids -- equal-width bands of the score,
     a fixed one-dimensional grouping -- to check the labelling and summary operators
     against SQL independently of K-Means' numeric result."""
-    pop = op.popularity_score(bindings.sales(spark, sf_dir))
+    pop = op.popularity_score(binding(spark, sf_dir))
     band = F.least(F.floor(F.col("popularity_score") / F.lit(SCORE_BAND_WIDTH)), F.lit(SCORE_BANDS - 1))
     with_ids = pop.withColumn("prediction", band.cast("int"))
     return op.label_clusters(with_ids.select("item", "grp", "review_count", "popularity_score", "prediction"))
@@ -98,6 +110,11 @@ QUERIES: dict[str, Query] = {
         "popularity_score",
     ),
     "avg_popularity_by_group": lambda s, d: op.avg_popularity_by_group(op.popularity_score(bindings.posts(s, d))),
+    # with NULL items and groups
+    "avg_popularity_by_group_raw": lambda s, d: op.avg_popularity_by_group(
+        op.popularity_score(bindings.posts_raw(s, d))
+    ),
+    "cluster_summary_raw": lambda s, d: op.cluster_summary(_fixed_clusters(s, d, bindings.posts_raw)),
     # words and TF-IDF
     "top_words": lambda s, d: op.top_words(bindings.posts(s, d), TOP_WORDS_N),
     "word_frequency_map": lambda s, d: op.word_frequency_map(
@@ -117,6 +134,12 @@ QUERIES: dict[str, Query] = {
     "keyword_ranking_group_first": lambda s, d: op.keyword_ranking(
         bindings.posts(s, d), KEYWORDS, n=RANKING_N, grp=GROUP_FIRST_FILTER, group_filter_stage="before"
     ),
+    "keyword_ranking_min_score": lambda s, d: op.keyword_ranking(
+        bindings.posts(s, d), KEYWORDS, n=RANKING_N, min_final_score=MIN_FINAL_SCORE
+    ),
+    "keyword_ranking_regex": lambda s, d: op.keyword_ranking(
+        bindings.posts(s, d), PATTERNS, n=RANKING_N, keyword_match="regex"
+    ),
     "ranking_summary": lambda s, d: op.ranking_summary(_keyword_result(s, d)),
     "score_by_group": lambda s, d: op.score_by_group(_keyword_result(s, d)),
     "top_recommendation": lambda s, d: op.top_recommendation(_keyword_result(s, d)).select(
@@ -140,7 +163,12 @@ QUERIES: dict[str, Query] = {
     "listing_features": lambda s, d: op.listing_feature_arrays(_listings(s, d)),
     # recommendations
     "content_recommendations": _content,
-    "room_type_ranking": lambda s, d: op.room_type_ranking(_listings(s, d), ROOM_RANKING_N),
+    "room_type_ranking": _room_types_ranked,
+    "room_type_summary": lambda s, d: op.recommendation_summary(_room_types_ranked(s, d)),
+    "room_type_top": lambda s, d: op.top_recommendation(_room_types_ranked(s, d)),
+    "content_top_listing": lambda s, d: op.top_recommendation(_content(s, d)).select(
+        "listing_id", "name", "room_type", "guests", "stars", "score"
+    ),
     "hybrid_recommendations": _hybrid,
     "hybrid_recommendations_typed": lambda s, d: op.hybrid_recommendations(_listings(s, d), *HYBRID_TYPED_ARGS),
     "score_breakdown": lambda s, d: op.score_breakdown(_listings(s, d), *HYBRID_ARGS),
@@ -151,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "room_type_distribution": lambda s, d: op.room_type_distribution(_hybrid(s, d)),
     "content_summary": lambda s, d: op.recommendation_summary(_content(s, d)),
     "content_room_type_distribution": lambda s, d: op.room_type_distribution(_content(s, d)),
-    "evaluate_hybrid": lambda s, d: op.evaluate_recommendations(_hybrid(s, d), _listings(s, d), HYBRID_ARGS[1]),
+    "evaluate_hybrid": _evaluated_hybrid,
+    "evaluate_hybrid_room_type": lambda s, d: _evaluated_hybrid(s, d, EVALUATED_ROOM_TYPE),
     "evaluate_content": lambda s, d: op.evaluate_recommendations(_content(s, d), _listings(s, d), CONTENT_ARGS[1]),
 }

@@ -72,6 +72,12 @@ def _hits(kw: str) -> str:
     return f"CAST((length(lower(text)) - length(replace(lower(text), '{k}', ''))) / {max(len(kw), 1)} AS BIGINT)"
 
 
+def _pattern_hits(pattern: str) -> str:
+    p = pattern.replace("'", "''")
+    removed = f"(length(lower(text)) - length(regexp_replace(lower(text), '{p}', '', 'g')))"
+    return f"CAST({removed} AS DOUBLE) / {d(max(len(pattern), 1))}"
+
+
 _KW_THRESHOLD = 0.05 * len(q.KEYWORDS)
 KW_BASE = (
     "kp AS (SELECT item, grp, " + " + ".join(_hits(k) for k in q.KEYWORDS) + " AS hits FROM posts), "
@@ -107,6 +113,8 @@ KW = (
     KW_BASE + ", kj AS (SELECT * FROM kk WHERE kept), " + _kw_final("kj")
     + f"kr AS (SELECT * FROM kf {_KR_ORDER} LIMIT {q.RANKING_N})"
 )
+# Keywords as patterns.
+KW_REGEX = KW.replace(" + ".join(_hits(k) for k in q.KEYWORDS), " + ".join(_pattern_hits(p) for p in q.PATTERNS))
 # The reference's join: kept pairs joined to every pair's popularity on the item only.
 KW_ITEM_JOIN = (
     KW_BASE + ", kj AS (SELECT k.item, k.grp, k.review_count, k.keyword_freq, k.relevance_score, p.pop "
@@ -136,6 +144,17 @@ LISTINGS = (
 )
 
 
+def _room_ranking_cte(n: int) -> str:
+    return (
+        "rr AS (SELECT room_type, "
+        + sround("avg(CAST(stars AS DOUBLE))", 2)
+        + " AS avg_stars, count(*) AS listing_count, "
+        + fround("max(stars)", 2)
+        + " AS max_stars FROM listings GROUP BY room_type "
+        f"ORDER BY avg_stars DESC NULLS LAST, room_type ASC NULLS FIRST LIMIT {n})"
+    )
+
+
 def _hybrid_ctes(room: str, guests: int, min_stars: float, n: int) -> str:
     type_filter = "" if room == "Any" else f" AND contains(lower(room_type), '{room.lower()}')"
     return (
@@ -163,10 +182,11 @@ def _content_ctes(room: str, guests: int, n: int) -> str:
     )
 
 
-def _evaluate(recs: str, guests: int, min_stars: float = 4.0) -> str:
+def _evaluate(recs: str, guests: int, min_stars: float = 4.0, room: str | None = None) -> str:
+    matches = f" AND contains(lower(room_type), '{room.lower()}')" if room else ""
     return (
         f"ev AS (SELECT count(*) AS total_recommended, "
-        f"CAST(count_if(CAST(stars AS DOUBLE) >= {d(min_stars)} AND guests >= {guests}) AS BIGINT) "
+        f"CAST(count_if(CAST(stars AS DOUBLE) >= {d(min_stars)} AND guests >= {guests}{matches}) AS BIGINT) "
         f"AS relevant_count FROM {recs}), "
         "al AS (SELECT count(*) AS n_all FROM listings), "
         "em AS (SELECT coalesce("
@@ -178,13 +198,14 @@ def _evaluate(recs: str, guests: int, min_stars: float = 4.0) -> str:
         f"SELECT precision_at_k, total_recommended, relevant_count, coverage, "
         f"precision_at_k * {d(100)} AS precision_pct, "
         f"CASE WHEN precision_at_k * {d(100)} < {d(40)} THEN '0-40' "
-        f"WHEN precision_at_k * {d(100)} < {d(70)} THEN '40-70' ELSE '70-100' END AS precision_band FROM em"
+        f"WHEN precision_at_k * {d(100)} < {d(70)} THEN '40-70' ELSE '70-100' END AS precision_band, "
+        f"{d(70)} AS precision_target_pct FROM em"
     )
 
 
-def _fixed_cluster_ctes() -> str:
+def _fixed_cluster_ctes(src: str = "sales") -> str:
     return (
-        POP.format(src="sales") + ", "
+        POP.format(src=src) + ", "
         f"fc AS (SELECT item, grp, review_count, popularity_score, "
         f"CAST(least(floor(popularity_score / {d(q.SCORE_BAND_WIDTH)}), {q.SCORE_BANDS - 1}) AS INTEGER) "
         "AS prediction FROM popr), "
@@ -373,5 +394,27 @@ def oracle_queries() -> dict[str, str]:
         "content_room_type_distribution": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)} "
         "SELECT room_type, count(*) AS listing_count FROM cr GROUP BY room_type",
         "evaluate_hybrid": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)}, {_evaluate('hr', _guests)}",
+        "evaluate_hybrid_room_type": f"{W}, {LISTINGS}, {_hybrid_ctes(*q.HYBRID_ARGS)}, "
+        + _evaluate("hr", _guests, room=q.EVALUATED_ROOM_TYPE),
+        "content_top_listing": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)} "
+        "SELECT listing_id, name, room_type, guests, stars, CAST(stars AS DOUBLE) AS score FROM cr "
+        "ORDER BY stars DESC NULLS LAST, guests DESC NULLS LAST, listing_id ASC LIMIT 1",
+        "room_type_summary": f"{W}, {LISTINGS}, {_room_ranking_cte(q.ROOM_RANKING_N)} "
+        "SELECT count(*) AS total_recommendations, CAST(NULL AS DOUBLE) AS avg_stars, CAST(NULL AS FLOAT) AS top_stars, "
+        "CAST(NULL AS DOUBLE) AS avg_hybrid_score FROM rr",
+        "room_type_top": f"{W}, {LISTINGS}, {_room_ranking_cte(q.ROOM_RANKING_N)} "
+        "SELECT *, avg_stars AS score FROM rr ORDER BY avg_stars DESC NULLS LAST, room_type ASC NULLS FIRST LIMIT 1",
+        "keyword_ranking_min_score": f"{W}, {KW} SELECT item, grp, review_count, keyword_freq, relevance_score, "
+        f"final_score FROM kr WHERE final_score >= {d(q.MIN_FINAL_SCORE)}",
+        "keyword_ranking_regex": f"{W}, {KW_REGEX} SELECT item, grp, review_count, keyword_freq, relevance_score, "
+        "final_score FROM kr",
+        "avg_popularity_by_group_raw": f"{W}, {POP.format(src='posts_raw')} SELECT grp, "
+        + sround("avg(popularity_score)", 4)
+        + " AS avg_popularity FROM popr WHERE grp IS NOT NULL GROUP BY grp",
+        "cluster_summary_raw": f"{W}, {_fixed_cluster_ctes('posts_raw')} SELECT cluster_label, count(item) AS item_count, "
+        + sround("avg(popularity_score)", 2)
+        + " AS avg_popularity, "
+        + sround("avg(CAST(review_count AS DOUBLE))", 2)
+        + " AS avg_reviews FROM fl GROUP BY cluster_label ORDER BY cluster_label",
         "evaluate_content": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)}, {_evaluate('cr', _cguests)}",
     }

@@ -1,9 +1,8 @@
-"""Session construction for tests and the bench, and execution-layout helpers.
+"""Session construction for tests and the bench, and cutting of lineage.
 
 Library operators never build a session: callers pass DataFrames in. ``local_session`` is
-for the local entry points (tests, bench, scripts); ``spread_if_small`` and
-``materialize`` are used by operators to lay out small inputs over all cores and to cut
-lineage before an iterative MLlib fit.
+for the local entry points (tests, bench, scripts); ``materialize`` is used by operators
+that read an intermediate result several times (an MLlib fit, a global numbering).
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,9 +23,9 @@ def local_session(
     """A local session configured the way the tests and bench expect.
 
     AQE is on (runtime coalescing, skew-join splitting, broadcast conversion by measured
-    size); the UI is off; the session time zone is UTC. A checkpoint directory is set only
-    when the session has none, and then under a fresh scratch folder: on a cluster the
-    caller configures ``spark.checkpoint.dir`` to a shared file system.
+    size); the UI is off; the session time zone is UTC. The checkpoint folder is a fresh
+    scratch folder of this machine: on a cluster the caller builds the session and sets
+    ``spark.checkpoint.dir`` to a shared file system.
     """
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = (
@@ -47,81 +45,27 @@ def local_session(
     )
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
+    if "spark.checkpoint.dir" not in (extra_conf or {}):
+        scratch = scratch_dir or tempfile.mkdtemp(prefix="placerank-ckpt-", dir="/tmp")
+        builder = builder.config("spark.checkpoint.dir", "file://" + os.path.abspath(scratch))
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        scratch = scratch_dir or tempfile.mkdtemp(prefix="placerank-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", scratch)
     return spark
 
 
-def _checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the session, if any."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # remote session: the server's checkpoint configuration applies
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return None
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # statistics unavailable: leave the layout alone
-        return None
-
-
-def spread_if_small(df: DataFrame, key: str = "post_id") -> DataFrame:
-    """Spread a small input over all cores before expensive per-row work (tokenising,
-    substring counting).
-
-    A file split is at most one parquet row group, so a small table written as one row
-    group is read by one task, and everything up to the first shuffle (split, explode,
-    partial aggregation) would run on one core. When the optimizer's size estimate is
-    below ``maxPartitionBytes x defaultParallelism`` -- the input cannot fill the cores
-    anyway -- the rows are hash-partitioned on ``key`` (deterministic, no sort needed)
-    into ``defaultParallelism`` parts; the shuffle is bounded by that same size. Larger
-    inputs, which already have at least that many splits, are returned unchanged.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        max_part = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-        limit = _parse_bytes(max_part) * cores
-    except Exception:  # no JVM-side context (e.g. a remote session): keep the layout
-        return df
-    size = _estimated_bytes(df)
-    if size is None or size >= limit or cores <= 1:
-        return df
-    if key in df.columns:
-        return df.repartition(cores, key)
-    return df.repartition(cores)
-
-
-def _parse_bytes(value: str) -> int:
-    """'134217728', '134217728b', '128m' or '128mb' -> bytes."""
-    v = value.strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if v and v[-1] in units:
-        return int(float(v[:-1]) * units[v[-1]])
-    return int(v)
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` before it is scanned several times (iterative fits).
-
-    With a checkpoint folder configured (``spark.checkpoint.dir``, a shared file system on
-    a cluster) the rows are written there by a reliable ``checkpoint()``, so a lost executor
-    does not force the upstream scan/join/aggregate to run again. Without one, the rows are
-    persisted to memory and disk, which recomputes from lineage after executor loss.
+    """Cut the lineage of ``df`` before it is read several times: an eager, reliable
+    ``checkpoint()`` into the session's checkpoint folder (``spark.checkpoint.dir``; on a
+    cluster a folder that all executors share), so a lost executor does not force the
+    upstream scan, join or aggregate to run again. The context's folder is left as it is;
+    only where none is set at all (a bare local session) a scratch folder is taken.
+
+    The returned frame is the handle: with ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    (set by ``local_session``) its files are removed once the frame is no longer referenced.
     """
-    if _checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="placerank-ckpt-", dir="/tmp"))
+    return df.checkpoint(eager=True)

@@ -27,13 +27,12 @@ LISTING_COLUMNS = {
     "stars": "stars_raw",
 }
 
-# multiLine: a quoted review may span lines. It also makes each CSV file one split (a file
-# cannot be cut at an arbitrary newline), so large CSV inputs should be converted to
-# parquet once (read, then ``write_table``), or read with ``multiline=False`` when the
-# files hold no embedded newlines.
+# multiLine: a quoted review may span lines, and then each CSV file is one split (a file
+# cannot be cut at an arbitrary newline). The caller has to say which it is: with
+# ``multiline=False`` large files are read by many tasks, but they must hold no embedded
+# newlines; files that do are better converted to parquet once (read, then ``write_table``).
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',  # "" inside a quoted field is one quote
     "mode": "PERMISSIVE",
@@ -51,11 +50,13 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def _load(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None,
-          multiline: bool = True) -> DataFrame:
+          multiline: bool | None) -> DataFrame:
     reader = spark.read.format(fmt)
     opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
-    if fmt == "csv" and not multiline:
-        opts["multiLine"] = "false"
+    if fmt == "csv":
+        if multiline is None:
+            raise ValueError("say multiline=True (quoted line breaks, one task a file) or multiline=False (splittable)")
+        opts["multiLine"] = str(multiline).lower()
     opts.update(options or {})
     if opts:
         reader = reader.options(**opts)
@@ -68,6 +69,7 @@ def _conform(df: DataFrame, schema: T.StructType, columns: Mapping[str, str] | N
     mapping = dict(columns or {})
     renamed = df.select([F.col(f"`{c}`").alias(mapping.get(c, c)) for c in df.columns])
     cols: list[Column] = []
+    missing: list[str] = []
     for field in schema.fields:
         if field.name in renamed.columns:
             src = F.col(field.name)
@@ -76,24 +78,31 @@ def _conform(df: DataFrame, schema: T.StructType, columns: Mapping[str, str] | N
             else:
                 cols.append(src.try_cast(field.dataType).alias(field.name))
         elif field.name == id_col:
-            # Deterministic for a given set of input splits; used only to order ties.
-            cols.append(F.monotonically_increasing_id().alias(field.name))
+            # Used only to order ties: a hash of the row's content, the same however the
+            # files are split (equal rows are alike).
+            content = [F.col(f"`{c}`").cast("string") for c in sorted(renamed.columns)]
+            cols.append(F.xxhash64(*content).alias(field.name))
         else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+            missing.append(field.name)
+    if missing:
+        raise ValueError(f"no column for {missing} among {df.columns}; name them with columns={{...}}")
     return renamed.select(cols)
 
 
 def read_posts(spark: SparkSession, path: str, fmt: str = "parquet",
                columns: Mapping[str, str] | None = None,
-               options: Mapping[str, str] | None = None, multiline: bool = True) -> DataFrame:
+               options: Mapping[str, str] | None = None, multiline: bool | None = None) -> DataFrame:
     """Read a posts table. For the reference's CSV layout pass ``columns=REVIEW_COLUMNS``;
-    ``multiline=False`` lets large CSV files be split (only without embedded newlines)."""
+    for CSV say ``multiline=False`` (large files are split; no embedded newlines) or
+    ``multiline=True``. A canonical column that the file lacks is an error; a missing
+    ``post_id`` is made from the row's content."""
     return _conform(_load(spark, path, fmt, options, multiline), POSTS, columns, "post_id")
 
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet",
                   columns: Mapping[str, str] | None = None,
-                  options: Mapping[str, str] | None = None, multiline: bool = True) -> DataFrame:
+                  options: Mapping[str, str] | None = None, multiline: bool | None = None) -> DataFrame:
     """Read an uncleaned listings table (``listings_raw``); clean it with ``clean_listings``.
-    For the reference's CSV layout pass ``columns=LISTING_COLUMNS``."""
+    For the reference's CSV layout pass ``columns=LISTING_COLUMNS``; ``multiline``, missing
+    columns and a missing ``listing_id`` are as in ``read_posts``."""
     return _conform(_load(spark, path, fmt, options, multiline), LISTINGS_RAW, columns, "listing_id")

@@ -1,3 +1,3 @@
-from .counts import read_documents_stream, read_posts_stream, running_counts, start_counts
+from .counts import latest_snapshot, read_documents_stream, read_posts_stream, running_counts, start_counts
 
-__all__ = ["read_documents_stream", "read_posts_stream", "running_counts", "start_counts"]
+__all__ = ["latest_snapshot", "read_documents_stream", "read_posts_stream", "running_counts", "start_counts"]

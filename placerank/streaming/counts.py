@@ -49,12 +49,14 @@ def running_counts(posts: DataFrame, keys: Sequence[str] = ("grp",)) -> DataFram
 
 
 def start_counts(counts: DataFrame, checkpoint_location: str, query_name: str,
-                 sink: str = "memory", path: str | None = None,
+                 sink: str = "parquet", path: str | None = None,
                  available_now: bool = True) -> StreamingQuery:
-    """Start a counting query in complete mode. ``sink="memory"`` exposes the counts as a
-    table named ``query_name`` (tests, notebooks); any other format (e.g. parquet) gets,
-    through ``foreachBatch``, a full snapshot of the counts after every batch, overwritten
-    at ``path``. ``available_now`` processes what is there and stops."""
+    """Start a counting query in complete mode. Every batch writes, through
+    ``foreachBatch``, a full snapshot of the counts to its own folder ``path/batch=<id>``: a
+    reader of ``latest_snapshot`` never sees a half-written one, and a batch that runs again
+    replaces its own. ``sink="memory"`` keeps the counts as a table named ``query_name`` on
+    the driver: for tests and notebooks only. ``available_now`` processes what is there and
+    stops."""
     writer = counts.writeStream.queryName(query_name).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -63,7 +65,18 @@ def start_counts(counts: DataFrame, checkpoint_location: str, query_name: str,
     if path is None:
         raise ValueError("path is required for a file sink")
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").format(sink).save(path)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(sink).save(f"{path}/batch={batch_id}")
 
     return writer.outputMode("complete").foreachBatch(write_batch).start()
+
+
+def latest_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest finished snapshot under ``path``: the counts after that batch. A snapshot is
+    finished once its writer has committed it (its ``_SUCCESS`` file)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")
+    found = [str(f.getPath().getParent()) for f in done.getFileSystem(conf).globStatus(done)]
+    if not found:
+        raise ValueError(f"no finished snapshot under {path}")
+    return spark.read.format(fmt).load(max(found, key=lambda p: int(p.rpartition("=")[2])))

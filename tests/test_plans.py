@@ -76,3 +76,16 @@ def test_consumers_do_not_pay_for_the_popularity_order(spark, name):
     plan = executed_plan(QUERIES[name](spark, SF_SMALL))
     assert "rangepartitioning" not in plan
     assert count_nodes(plan, "TakeOrderedAndProject") == 1
+
+
+def test_evaluating_a_hybrid_list_scans_the_catalogue_twice(spark):
+    """Once for the star range and the catalogue's size, once for the candidates."""
+    plan = executed_plan(QUERIES["evaluate_hybrid"](spark, SF_SMALL))
+    assert _scans(plan, "part") <= 2, plan
+
+
+def test_item_join_reads_the_text_once(spark):
+    plan = executed_plan(QUERIES["keyword_ranking_item_join"](spark, SF_SMALL))
+    assert _scans(plan, "documents") <= 2, plan
+    texts = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*documents\.parquet", plan)
+    assert sum("text" in columns for columns in texts) == 1, plan

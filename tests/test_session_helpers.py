@@ -1,39 +1,10 @@
-"""Layout helpers: spreading only small inputs; checkpointing into the configured folder."""
+"""Cutting of lineage into the configured folder, and global numbering."""
 
 import os
 
-from placerank.session import _parse_bytes, materialize, spread_if_small
-from placerank.sources import bindings
+import pytest
 
-from .conftest import SF_SMALL
-
-
-def _has_repartition(df):
-    return "Repartition" in df._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_small_input_is_spread(spark):
-    posts = bindings.posts(spark, SF_SMALL)
-    out = spread_if_small(posts)
-    assert _has_repartition(out)
-    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
-def test_large_input_is_left_alone(spark):
-    posts = bindings.posts(spark, SF_SMALL)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")  # every input now counts as large
-    try:
-        assert spread_if_small(posts) is posts
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
-def test_parse_bytes():
-    assert _parse_bytes("134217728b") == 134217728
-    assert _parse_bytes("128m") == 128 << 20
-    assert _parse_bytes("1g") == 1 << 30
-    assert _parse_bytes("4096") == 4096
+from placerank.session import materialize
 
 
 def test_materialize_checkpoints_into_configured_folder(spark):
@@ -56,3 +27,22 @@ def test_ordinal_equals_row_number(spark):
     ours = {r.id: r.pos for r in ordinal(df, order, "pos", partitions=7).collect()}
     ref = {r.id: r.pos for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order)) - 1).collect()}
     assert ours == ref
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ordinal_numbers_a_large_sampled_input(spark, reuse):
+    """Large enough for the range partitioner to sample; with and without exchange reuse."""
+    from pyspark.sql import functions as F
+
+    from placerank.operators.ordering import ordinal
+
+    n = 400_000
+    df = spark.range(0, n, 1, 8).selectExpr("(id * 7919) % 400000 AS k", "concat('payload ', id) AS extra")
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        out = ordinal(df, [F.col("k").asc()], "pos")
+        row = out.agg(F.count_distinct("pos"), F.min("pos"), F.max("pos"), F.count_if(F.col("pos") != F.col("k"))).first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert tuple(row) == (n, 0, n - 1, 0)

@@ -73,3 +73,39 @@ def test_hot_item_is_reduced_before_the_shuffle(skewed):
     plan = executed_plan(op.keyword_ranking(skewed, KEYWORDS))
     exchange_at = plan.index("Exchange hashpartitioning(item")
     assert "partial_count" in plan[exchange_at:], "no partial aggregate under the (item, grp) exchange"
+
+
+def test_a_term_of_every_item_is_split_in_the_tfidf_join(spark):
+    """One term in all items: its rows meet the per-term table in several tasks."""
+    posts = spark.range(0, 300_000, 1, 8).selectExpr(
+        "concat('item', id) AS item", "concat('everywhere word', id % 1000) AS text"
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        plan = executed_plan(op.tfidf_terms(posts))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan, plan
+
+
+def test_clusters_do_not_follow_the_session_settings(spark):
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    popularity = op.popularity_score(bindings.sales(spark, SF_SMALL))
+    try:
+        for n in ("4", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            rows = op.cluster_items(popularity, 4).collect()
+            found.append(sorted((r["item"], r["grp"], r["prediction"], r["cluster_label"]) for r in rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]

@@ -1,6 +1,8 @@
 """Readers: the reference's CSV layouts (FIXTURES.md §3.3) and format round trips."""
 
 from placerank import operators as op
+import pytest
+
 from placerank.sources import LISTING_COLUMNS, REVIEW_COLUMNS, read_listings, read_posts, write_table
 
 
@@ -19,7 +21,7 @@ def test_reviews_csv_with_bom_quotes_and_newlines(spark, tmp_path):
     )
     path = str(tmp_path / "reviews.csv")
     _write(path, csv)
-    df = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS)
+    df = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS, multiline=True)
     assert df.columns == ["post_id", "item", "grp", "period", "text"]
     got = {r.item: r for r in df.collect()}
     assert set(got) == {"Lakeside", "Hilltop", "Harbour", "Bay"}
@@ -39,7 +41,7 @@ def test_listings_csv_messy_headers_then_clean(spark, tmp_path):
     )
     path = str(tmp_path / "listings.csv")
     _write(path, csv)
-    raw = read_listings(spark, path, fmt="csv", columns=LISTING_COLUMNS)
+    raw = read_listings(spark, path, fmt="csv", columns=LISTING_COLUMNS, multiline=True)
     assert raw.columns == ["listing_id", "name", "room_type", "guests_raw", "stars_raw"]
     clean = op.clean_listings(raw)
     got = sorted((r.name, r.guests, round(r.stars, 2)) for r in clean.collect())
@@ -69,7 +71,7 @@ def test_single_line_csv_is_splittable(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
         split = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS, multiline=False)
-        whole = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS)
+        whole = read_posts(spark, path, fmt="csv", columns=REVIEW_COLUMNS, multiline=True)
         assert split.rdd.getNumPartitions() > 1 and whole.rdd.getNumPartitions() == 1
         assert split.count() == whole.count() == 20000
     finally:
@@ -82,3 +84,28 @@ def test_orc_round_trip(spark, posts, tmp_path):
     back = read_posts(spark, path, fmt="orc")
     assert back.schema == posts.schema
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, posts.collect()))
+
+
+def test_missing_columns_and_an_unsaid_multiline_are_errors(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text("Place,Region,When,Comment\nA,X,now,good\n")
+    with pytest.raises(ValueError, match="item"):
+        read_posts(spark, str(path), fmt="csv", multiline=True)
+    with pytest.raises(ValueError, match="multiline"):
+        read_posts(spark, str(path), fmt="csv", columns=REVIEW_COLUMNS)
+
+
+def test_made_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    path = tmp_path / "listings.csv"
+    lines = "".join(f"place {i},Entire villa,2,4.5\n" for i in range(400))
+    path.write_text("name,roomType,numberOfGuests,stars\n" + lines)
+    top = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            raw = read_listings(spark, str(path), fmt="csv", columns=LISTING_COLUMNS, multiline=False)
+            top.append([tuple(r) for r in raw.orderBy("listing_id").limit(10).collect()])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert top[0] == top[1]
