@@ -38,10 +38,10 @@ def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """One document of each group of near duplicates: the smallest doc_id, and of rows that
     agree in doc_id and text one. Documents without words are in no group."""
     found = near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_id")).drop("_id")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    rows = docs.join(kept, F.col("doc_id") == F.col("__id")).drop("__id")
     copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
-    first = rows.withColumn("_copy", copy).where("_copy = 1").drop("_copy")
+    first = rows.withColumn("__copy", copy).where("__copy = 1").drop("__copy")
     return first.unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -97,11 +97,13 @@ class CrossParser:
         for language in self.languages:
             sample = samples[language]
             nexts = suffix_automaton(self.symbol[np.frombuffer(sample, dtype=np.uint8)].tolist())
-            root = np.full(width, self.flag, dtype=np.int32)
+            # A symbol that the sample lacks is a phrase of its own: from the state after it (the
+            # last one) every symbol starts a phrase.
+            root = np.full(width, len(nexts) * width, dtype=np.int32)
             for s, to in nexts[0].items():
                 root[s] = to * width
             # No transition: a phrase ends (flag) and the symbol starts the next one.
-            table = np.tile(np.where(root >= self.flag, root, root | self.flag), (len(nexts), 1))
+            table = np.tile(root | self.flag, (len(nexts) + 1, 1))
             table[0] = root
             for state, edges in enumerate(nexts):
                 for s, to in edges.items():

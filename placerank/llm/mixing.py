@@ -13,7 +13,8 @@ documents only inside their range.
 Defined cases: a null text has size 0 and takes nothing; null is a source of its own, the last
 one; a null, zero or negative quality weight counts as the smallest weight; repeated rows are
 documents of their own (ties in the key are broken by doc_id and size, and rows that agree in
-all of these are alike); an empty table gives no rows; other columns are kept.
+all of these are alike); an empty table gives no rows; other columns are kept, unless they
+have the name of a result.
 """
 
 from __future__ import annotations
@@ -124,22 +125,22 @@ def apply_mix(docs: DataFrame, mixed: DataFrame, text: str = "text") -> DataFram
     first words (joined by one blank) where it takes a part. The columns of ``docs``; n_chars
     follows a cut text. Rows that agree in doc_id and text share out their group's takes."""
     takes = (
-        mixed.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.sort_array(F.collect_list(F.struct("taken", "size")), asc=False).alias("_takes"))
+        mixed.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .agg(F.sort_array(F.collect_list(F.struct("taken", "size")), asc=False).alias("__takes"))
     )
-    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(1)))
-    joined = docs.withColumn("_own_hash", F.xxhash64(F.col(text))).join(
-        takes, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash"))
-    ).withColumn("_take", F.element_at("_takes", number))
-    whole = F.when(F.col("_take.size") > 0, F.floor(F.col("_take.taken") / F.col("_take.size"))).otherwise(F.lit(0))
-    part = F.col("_take.taken") - whole * F.col("_take.size")
+    number = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(1)))
+    joined = docs.withColumn("__own", F.xxhash64(F.col(text))).join(
+        takes, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash"))
+    ).withColumn("__take", F.element_at("__takes", number))
+    whole = F.when(F.col("__take.size") > 0, F.floor(F.col("__take.taken") / F.col("__take.size"))).otherwise(F.lit(0))
+    part = F.col("__take.taken") - whole * F.col("__take.size")
     copies = F.concat(F.array_repeat(F.lit(0).cast("long"), whole.cast("int")),
                       F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
-    rows = joined.withColumn("_words", F.explode(copies))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int")), " ")
-    new = F.when(F.col("_words") > 0, cut).otherwise(F.col(text))
+    rows = joined.withColumn("__words", F.explode(copies))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), 1, F.col("__words").cast("int")), " ")
+    new = F.when(F.col("__words") > 0, cut).otherwise(F.col(text))
     out = rows.withColumn(text, new)
     if "n_chars" in docs.columns:
         length = F.length(text).cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_words") > 0, length).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__words") > 0, length).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -257,11 +257,15 @@ def kept_words(words: list[bytes], spans) -> list[bytes]:
     return [words[i] for i in np.flatnonzero(stay).tolist()]
 
 
+SPANS = "__spans"
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with id (doc_id, null as the smallest) and spans of repeated windows (null: none)."""
-    keyed = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
-    spans = repeated_spans(keyed.select("id", F.col("text").cast("string").alias("text")))
-    return keyed.join(spans.select(F.col("id").alias("_sid"), "spans"), F.col("id") == F.col("_sid"), "left").drop("_sid")
+    """``docs`` with the spans of repeated windows of each document (null: none)."""
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
+    spans = repeated_spans(keyed.select(F.col("__id").alias("id"), F.col("text").cast("string").alias("text")))
+    spans = spans.select(F.col("id").alias("__of"), F.col("spans").alias(SPANS))
+    return keyed.join(spans, F.col("__id") == F.col("__of"), "left").drop("__id", "__of")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -270,7 +274,7 @@ def digests(docs: DataFrame) -> DataFrame:
     def digest(batches):
         for batch in small_batches(batches):
             n, removed, sha = [], [], []
-            for text, spans in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+            for text, spans in zip(raw_texts(batch.column("text")), batch.column(SPANS).to_pylist(), strict=True):
                 words = words_of(text)
                 kept = kept_words(words, spans)
                 n.append(len(words))
@@ -282,7 +286,7 @@ def digests(docs: DataFrame) -> DataFrame:
             )
 
     rows = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    return map_batches(rows.select("doc_id", "text", "spans"), digest,
+    return map_batches(rows.select("doc_id", "text", SPANS), digest,
                        "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
@@ -290,22 +294,21 @@ def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages; texts that lose nothing stay as they are, n_chars
     follows a changed text."""
     columns = docs.columns
-    rows = with_spans(docs.drop("spans")).select(*[F.col(f"`{c}`") for c in columns if c != "spans"], "spans")
-    out = docs.schema
+    rows = with_spans(docs)
 
     def cut(batches):
         for batch in small_batches(batches):
             texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
+            for i, spans in enumerate(batch.column(SPANS).to_pylist()):
                 if spans:
                     texts[i] = b" ".join(kept_words(words_of((texts[i] or "").encode()), spans)).decode()
             made = {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:
-                changed = [bool(s) for s in batch.column("spans").to_pylist()]
+                changed = [bool(s) for s in batch.column(SPANS).to_pylist()]
                 made["n_chars"] = pa.array(
                     [len(t or "") if c else n for t, c, n in zip(texts, changed, batch.column("n_chars").to_pylist(), strict=True)],
                     batch.schema.field("n_chars").type,
                 )
             yield pa.RecordBatch.from_arrays([made.get(c, batch.column(c)) for c in columns], names=columns)
 
-    return rows.mapInArrow(cut, out)
+    return rows.mapInArrow(cut, docs.schema)

@@ -35,7 +35,9 @@ def byte_level_pieces(text: str) -> list[str]:
     """A text cut at blanks and line ends, for a byte-level pre-tokenizer: each piece but the
     first belongs with the blank before it, or with a line end if it starts with ``_LINE``."""
     odd = any(c in text for c in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
-    if odd or text.endswith(" ") or _LINE in text:
+    if _LINE in text:  # taken whole, as the first piece
+        return [text]
+    if odd or text.endswith(" "):
         return _SAFE_BLANK.split(text)
     if "\n" in text and "\n\n" not in text and " \n" not in text and text[0] != "\n" and text[-1] != "\n":
         text = text.replace("\n", " " + _LINE)

@@ -1,0 +1,109 @@
+"""Token ids, token files and packing."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from placerank.llm.packing import nnls, pack_documents, patterns, plan, slots
+from placerank.llm.token_files import digests, read_token_ids, with_starts, write_token_ids
+from placerank.llm.tokenize import PieceEncoder, tokenizer_path
+
+BYTES, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
+
+
+def _ids(path, texts, end):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return [np.array(e.ids + [end], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("path,kind", [(BYTES, "byte_level"), (WORDS, "word_end")])
+def test_pieces_give_the_ids_of_the_whole_text(path, kind):
+    parts = ["a", "B", " ", "  ", "\n", "\t", "é", "É", "'s", "1", "²", ",", ".", "中", "ß", "İ", "Σ", "<|endoftext|>", "\x1f",
+             "\x00", "s", "😀", "\r", "x\ny", " the", "word.\nNext", " ", "\x85", "é"]
+    rnd, enc = random.Random(7), PieceEncoder(path, kind, most=500)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
+    for text, got, want in zip(texts, enc.encode(texts, 9), _ids(path, texts, 9), strict=True):
+        assert got == want.tobytes(), text
+
+
+def test_token_files_hold_the_tokens_in_order(spark, odd, tmp_path):
+    path = str(tmp_path / "tokens")
+    write_token_ids(odd, path, BYTES, partitions=4)
+    rows = [(r["doc_id"], r["text"] or "") for r in odd.collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = read_token_ids(spark, path).orderBy("part", "pos").collect()
+    want = _ids(BYTES, [t for _, t in rows], 2)
+    assert [r["doc_id"] for r in got] == [i for i, _ in rows]
+    assert [r["ids"] for r in got] == [w.tolist() for w in want]
+    found = sorted(map(tuple, with_starts(digests(read_token_ids(spark, path))).collect()), key=lambda r: r[1])
+    starts = np.r_[0, np.cumsum([len(w) for w in want])][:-1]
+    assert found == [(i, s, len(w), zlib.crc32(w.tobytes())) for (i, _), s, w in zip(rows, starts.tolist(), want, strict=True)]
+
+
+def test_a_range_of_documents_is_read_by_metadata(spark, odd, tmp_path):
+    path = str(tmp_path / "tokens")
+    write_token_ids(odd, path, BYTES, partitions=4)
+    part = read_token_ids(spark, path, first=3, last=4)
+    assert sorted(r["doc_id"] for r in part.collect()) == [3, 4]
+    assert "GreaterThanOrEqual(doc_id,3)" in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_tables(spark, nothing, tmp_path):
+    write_token_ids(nothing, str(tmp_path / "t"), BYTES)
+    assert with_starts(digests(read_token_ids(spark, str(tmp_path / "t")))).count() == 0
+    assert pack_documents(nothing, WORDS).count() == 0
+
+
+def test_patterns_and_least_squares():
+    assert patterns(4, 2) == [(4,), (3, 1), (2, 2)]
+    rnd = np.random.default_rng(1)
+    a, x = rnd.random((30, 8)), np.array([0, 2, 0, 1, 0, 3, 0, 0.5])
+    assert np.allclose(nnls(a, a @ x, 100), x, atol=1e-6)
+    got = nnls(a, -np.ones(30), 100)
+    assert (got == 0).all()
+
+
+@pytest.mark.parametrize("low,high,n", [(1, 4097, 4000), (1, 200, 3000), (1500, 4097, 2000), (4096, 4097, 50), (1, 2, 10)])
+def test_plan_uses_every_piece_once_and_few_sequences(low, high, n):
+    lengths = np.random.default_rng(2).integers(low, high, n)
+    histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+    groups, used = plan(histogram), {}
+    for g in groups:
+        assert sum(g.lengths) + g.room == 4096 and g.room >= 0 and g.count > 0
+        for k in g.lengths:
+            used[k] = used.get(k, 0) + g.count
+    assert used == histogram
+    sequences, least = sum(g.count for g in groups), -(-int(lengths.sum()) // 4096)
+    # Pieces above half a sequence cannot share one: then a longer piece each is the bound.
+    assert sequences <= 1.02 * max(least, int((lengths > 2048).sum())) + 1 or low >= 1500 and sequences <= 1.2 * least
+    table = slots(groups, 4096)
+    assert len(table["length"]) == sum(len(g.lengths) for g in groups)
+
+
+def test_packing_places_whole_documents(spark, odd):
+    rows = pack_documents(odd, WORDS, capacity=64).collect()
+    want = {}
+    for r, ids in zip(odd.collect(), _ids(WORDS, [r["text"] for r in odd.collect()], 1), strict=True):
+        for k in range(0, len(ids), 64):
+            part = ids[k : k + 64]
+            key = (r["doc_id"], k // 64, k, len(part), zlib.crc32(part.tobytes()))
+            want[key] = want.get(key, 0) + 1
+    got = {}
+    for r in rows:
+        key = tuple(r)[:5]
+        got[key] = got.get(key, 0) + 1
+    assert got == want
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 64
