@@ -75,6 +75,7 @@ def small_batches(batches: Batches, column: str = "text", most_bytes: int = 4 <<
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -106,21 +107,52 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered between batches and tasks of one worker. Only a
-    memory of pure results: it is emptied when it has ``most`` entries."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_AT_ONCE = 1 << 20
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, at least n; kept by the worker."""
+    size = 1 << max(16, int(n).bit_length())
+    if size not in _POWERS:
+        _POWERS.clear()
+        both = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            factors = np.full(size, base, dtype=np.uint64)
+            factors[0] = 1
+            both.append(np.multiply.accumulate(factors))
+        _POWERS[size] = (both[0], both[1])
+    return _POWERS[size]
+
+
+class HashedWords:
+    """The words of texts as 64-bit hashes, found and hashed without making a string of each: a
+    word's hash is its bytes' polynomial modulo 2**64, mixed. ``sizes``: words of each text."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = b" ".join([b"", *texts, b""])
+        raw = np.frombuffer(self.data, dtype=np.uint8)
+        space = _SPACE[raw]
+        self.starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        self.ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        self.hashes = np.zeros(len(self.starts), dtype=np.uint64)
+        first = 0
+        while first < len(self.starts):  # some megabytes at a time; a longer word alone
+            at = int(self.starts[first])
+            last = max(first + 1, int(np.searchsorted(self.ends, at + _AT_ONCE, side="right")))
+            starts, ends = self.starts[first:last] - at, self.ends[first:last] - at
+            part = raw[at : at + int(ends[-1])]
+            powers, inverse = _powers(len(part))
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[: len(part)], out=sums[1:])
+            self.hashes[first:last] = mix64((sums[ends] - sums[starts]) * inverse[starts])
+            first = last
+        bounds = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        self.sizes = np.diff(np.searchsorted(self.starts, bounds))
+
+    def words(self, first: int, last: int) -> bytes:
+        """Words first to last - 1 of all texts, joined by one blank."""
+        return b" ".join(self.data[self.starts[first] : self.ends[last - 1]].split())

@@ -32,17 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_batches, mix64, ragged, raw_texts, small_batches, words_of, written
+from .common import HashedWords, map_batches, mix64, ragged, raw_texts, small_batches, words_of, written
 from .fm_index import FMIndex
 
 WINDOW, ANCHOR = 20, 8
-CROWDED = 4096
+CROWDED = 16_384
 SHARD_WORDS = 60_000  # words indexed at a time, more only for the segments of one anchor
 LEAST_ID = -(1 << 63)
+# Columns put beside a caller's.
+ID, ANCHORS, CROWDED_ONES, SPANS = "__id", "__anchors", "__crowded", "__spans"
 _PLACES = WINDOW - ANCHOR + 1  # anchors of a window
 _LOW = np.uint64(0xFFFFFF)
 _ODD = mix64(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
-_HASHES = WordHashes()
 
 
 def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -80,20 +81,17 @@ def segments(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc[start[first]], start[first], count, key[at[first]]
 
 
-def _read(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """All words of a batch, their hashes, and the number of words of each row."""
-    lists = [words_of(t) for t in raw_texts(batch.column("text"))]
-    words = [w for ws in lists for w in ws]
-    return words, _HASHES.of(words), np.array([len(ws) for ws in lists], dtype=np.int64)
+def _read(batch: pa.RecordBatch) -> HashedWords:
+    return HashedWords(raw_texts(batch.column("text")))
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
     """(anchor, id) of every segment."""
 
     def rows(batches):
-        for batch in small_batches(batches):
-            _, hashes, sizes = _read(batch)
-            doc, _, _, key = segments(hashes, sizes)
+        for batch in small_batches(batches, most_bytes=1 << 20):
+            found = _read(batch)
+            doc, _, _, key = segments(found.hashes, found.sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), batch.column("id").take(pa.array(doc))], names=["anchor", "id"]
             )
@@ -113,28 +111,29 @@ def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def candidates(docs: DataFrame, most_held: int = 32 << 20) -> DataFrame:
-    """Rows for the shards. ``docs`` has (id, text, anchors, crowded): the repeated anchors of
+    """Rows for the shards. ``docs`` has (__id, text, __anchors, __crowded): the repeated anchors of
     each document and which of them are crowded. Rows with words are passages, each equal one
     of a task once, at its first occurrence; rows without are repeated windows already."""
 
     def rows(batches):
         held: dict[bytes, tuple] = {}  # digest -> (route, id, first, windows, words)
         size = 0
-        for batch in small_batches(batches):
-            words, hashes, sizes = _read(batch)
-            doc, start, count, key = segments(hashes, sizes)
-            begins = ragged(sizes)
-            ids = batch.column("id").to_pylist()
-            anchors = [set(x or ()) for x in batch.column("anchors").to_pylist()]
-            crowded = [set(x or ()) for x in batch.column("crowded").to_pylist()]
-            single = _rolled(hashes, WINDOW).view(np.int64) if len(hashes) >= WINDOW else None
-            out = []
+        for batch in small_batches(batches, most_bytes=1 << 20):
+            found = _read(batch)
+            doc, start, count, key = segments(found.hashes, found.sizes)
+            begins = ragged(found.sizes)
+            ids = batch.column(ID).to_pylist()
+            anchors = [set(x or ()) for x in batch.column(ANCHORS).to_pylist()]
+            crowded = [set(x or ()) for x in batch.column(CROWDED_ONES).to_pylist()]
+            single = _rolled(found.hashes, WINDOW).view(np.int64) if len(found.hashes) >= WINDOW else None
+            out: list[tuple] = []
+            gone: dict[int, list[tuple[int, int]]] = {}  # of a row: windows (first, number) that are repeated
             for d, s, n, k in zip(doc.tolist(), start.tolist(), count.tolist(), key.view(np.int64).tolist(), strict=True):
                 if k not in anchors[d]:
                     continue
                 cut = [(int(single[t]), t, 1) for t in range(s, s + n)] if k in crowded[d] else [(k, s, n)]
                 for route, t, m in cut:
-                    passage = b" ".join(words[t : t + m + WINDOW - 1])
+                    passage = found.words(t, t + m + WINDOW - 1)
                     tag = hashlib.blake2b(passage, digest_size=16, person=m.to_bytes(4, "little")).digest()
                     mine = (route, ids[d], t - int(begins[d]), m, passage)
                     old = held.get(tag)
@@ -145,7 +144,9 @@ def candidates(docs: DataFrame, most_held: int = 32 << 20) -> DataFrame:
                         held[tag] = mine
                         out.append((old[1] ^ old[2], *old[1:4], None))
                     elif (mine[1], mine[2]) > (old[1], old[2]):
-                        out.append((mine[1] ^ mine[2], *mine[1:4], None))
+                        gone.setdefault(d, []).append((mine[2], m))
+            for d, windows in gone.items():
+                out += [(ids[d] ^ first, ids[d], first, n, None) for first, n in merged(windows)]
             if size > most_held:
                 out += held.values()
                 held, size = {}, 0
@@ -157,6 +158,17 @@ def candidates(docs: DataFrame, most_held: int = 32 << 20) -> DataFrame:
     return map_batches(docs, rows, _ROWS)
 
 
+def merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs (first, number) that cover the same windows, joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for first, n in sorted(windows):
+        if out and first <= sum(out[-1]):
+            out[-1] = (out[-1][0], max(out[-1][1], first + n - out[-1][0]))
+        else:
+            out.append((first, n))
+    return out
+
+
 def repeated_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
     """Runs (id, first, windows) of windows that also start earlier among the passages
     (id, first, windows, words) of a shard."""
@@ -180,16 +192,23 @@ def repeated_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
     place[order] = np.cumsum(step)
     by_suffix = np.full(len(sequence), np.iinfo(np.int64).max)
     by_suffix[at] = place
+    # Equal windows are searched once; a window whose hash is alone has no equal.
+    _, first, same, times = np.unique(
+        _rolled(mix64(sequence), WINDOW)[at], return_index=True, return_inverse=True, return_counts=True
+    )
+    asked = np.flatnonzero(times > 1)
+    if not len(asked):
+        return []
     index = FMIndex(sequence)
-    alive, low, high = index.repeated(sequence[at[:, None] + np.arange(WINDOW)])
+    alive, low, high = index.repeated(sequence[at[first[asked]][:, None] + np.arange(WINDOW)])
     if not len(alive):
         return []
-    ranges, back = np.unique(low, return_inverse=True)
-    ends = np.zeros(len(ranges), dtype=np.int64)
-    ends[back] = high
+    order = np.argsort(low)
     ordered = np.r_[by_suffix[index.suffixes], np.iinfo(np.int64).max]
-    earliest = np.minimum.reduceat(ordered, np.column_stack([ranges, ends]).ravel())[::2]
-    late = np.sort(alive[place[alive] > earliest[back]])
+    found = np.minimum.reduceat(ordered, np.column_stack([low[order], high[order]]).ravel())[::2]
+    earliest = np.full(len(times), np.iinfo(np.int64).max)
+    earliest[asked[alive[order]]] = found
+    late = np.flatnonzero(place > earliest[same])
     if not len(late):
         return []
     first = np.flatnonzero(np.r_[True, (np.diff(late) != 1) | (which[late[1:]] != which[late[:-1]])])
@@ -229,16 +248,18 @@ def searched(rows: DataFrame) -> DataFrame:
     return map_batches(dealt, search, "id bigint, first bigint, windows bigint")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(id, spans): per document with repeated windows, their runs (first, windows).
-    ``docs``: (id, text)."""
+    ``keyed`` has __id and text. Its other columns are carried into the first join, so that
+    its shuffle is the one that the caller's join on __id needs, and is made once."""
+    docs = keyed.select(F.col(ID).alias("id"), F.col("text").cast("string").alias("text"))
     counts = anchor_rows(docs).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = written(counts.select(F.col("anchor").alias("_anchor"), (F.col("n") > CROWDED).alias("_crowded")), "anchors")
     flagged = anchor_rows(docs).join(counts, F.col("anchor") == F.col("_anchor"))
-    per_doc = flagged.groupBy(F.col("id").alias("_id")).agg(
-        F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("_crowded"), F.col("anchor"))).alias("crowded")
+    per_doc = flagged.groupBy(F.col("id").alias("__doc")).agg(
+        F.collect_set("anchor").alias(ANCHORS), F.collect_set(F.when(F.col("_crowded"), F.col("anchor"))).alias(CROWDED_ONES)
     )
-    known = docs.join(per_doc, F.col("id") == F.col("_id")).select("id", "text", "anchors", "crowded")
+    known = keyed.join(per_doc, F.col(ID) == F.col("__doc")).drop("__doc")
     runs = searched(candidates(known))
     return runs.groupBy("id").agg(F.collect_list(F.struct("first", "windows")).alias("spans"))
 
@@ -257,15 +278,11 @@ def kept_words(words: list[bytes], spans) -> list[bytes]:
     return [words[i] for i in np.flatnonzero(stay).tolist()]
 
 
-SPANS = "__spans"
-
-
 def with_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with the spans of repeated windows of each document (null: none)."""
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
-    spans = repeated_spans(keyed.select(F.col("__id").alias("id"), F.col("text").cast("string").alias("text")))
-    spans = spans.select(F.col("id").alias("__of"), F.col("spans").alias(SPANS))
-    return keyed.join(spans, F.col("__id") == F.col("__of"), "left").drop("__id", "__of")
+    keyed = docs.withColumn(ID, F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
+    spans = repeated_spans(keyed).select(F.col("id").alias("__of"), F.col("spans").alias(SPANS))
+    return keyed.join(spans, F.col(ID) == F.col("__of"), "left").drop(ID, "__of")
 
 
 def digests(docs: DataFrame) -> DataFrame:
