@@ -74,7 +74,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     source_size, target (its source's), taken (words, repeats counted) and text_hash. ``quality``
     has positive weights (doc_id, weight), averaged per doc_id; documents without one weigh 1.
     The sized rows without texts are written once; texts are never shuffled."""
-    own = {"size", "source_size", "target", "taken", "text_hash", "weight", "_key", "_range", "_q", "_qid"}
+    own = {"size", "source_size", "target", "taken", "text_hash", "n_docs",
+           "_key", "_range", "_range2", "_q", "_qid", "_source", "_mean", "_base", "_sum", "_in"}
     kept = [c for c in docs.columns if c not in own and c != text]
     sized = docs.select(*[F.col(f"`{c}`") for c in kept], word_count(F.col(text)).alias("size"),
                         F.xxhash64(F.col(text)).alias("text_hash"))
