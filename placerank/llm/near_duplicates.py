@@ -13,10 +13,10 @@ The argument needs more non-empty classes than differences. A set that falls sho
 (a few in a thousand) is also joined through the prefix of its floor(n / 5) + 1 smallest hashes,
 which meets any linked set's. So no link is lost.
 
-Sets that meet are paired with the smallest set under their key; verified pairs (exact, on whole
-sets) are links, and links make components. In keys that still hold several components, all
-pairs across components follow, if sizes and Hamming distances of parity sketches (about one bit
-a shingle; the distance never exceeds the symmetric difference) allow a link. Pairs inside a
+Sets that meet are paired with one set under their key, that which shares most keys; verified
+pairs (exact, on whole sets) are links, and links make components. In keys that still hold
+several components, all pairs across components follow, if sizes and Hamming distances of parity
+sketches (the distance never exceeds the symmetric difference) allow a link. Pairs inside a
 component cannot change the result. Large keys are handled in pairs of bounded blocks.
 
 Equal sets are one class, identified by a 64-bit hash: they enter the join once. What a class
@@ -34,27 +34,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, lower_words_of, map_batches, mix64, raw_texts, small_batches, written
+from .common import HashedWords, map_batches, mix64, raw_texts, small_batches, written
 from .components import connected_components
 
 WORDS = 5
 BLOCK = 2048  # sets of one key that are compared with one another at a time
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                 dtype=np.uint64)
-_HASHES = WordHashes()
 
 
-def shingle_set(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of a document's shingles."""
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    w = hashes.of(words)
-    k = min(WORDS, len(w))
-    n = len(w) - k + 1
-    total = np.full(n, k, dtype=np.uint64)
-    for j in range(k):
-        total += w[j : j + n] * _ODD[j]
-    return np.unique(mix64(total))
+def _rolled(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` words, given as hashes."""
+    n = max(0, len(words) - size + 1)
+    total = np.full(n, size, dtype=np.uint64)
+    for j in range(size):
+        total += words[j : j + n] * _ODD[j]
+    return mix64(total)
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text."""
+    found = HashedWords([t.lower() for t in texts])
+    every = _rolled(found.hashes, WORDS)
+    out, at = [], 0
+    for n in found.sizes.tolist():
+        if n >= WORDS:
+            out.append(np.unique(every[at : at + n - WORDS + 1]))
+        else:
+            out.append(_rolled(found.hashes[at : at + n], n) if n else np.zeros(0, dtype=np.uint64))
+        at += n
+    return out
 
 
 def set_hash(shingles: np.ndarray) -> int:
@@ -104,8 +113,8 @@ def join_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parity sketch as 64-bit words: 2**(band + 1) bits, 64 at least."""
-    bits = max(64, 2 << band_of(len(shingles)))
+    """Parity sketch as 64-bit words: 2**(band + 3) bits (four to eight a shingle), 64 at least."""
+    bits = max(64, 8 << band_of(len(shingles)))
     at = mix64(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(bits - 1)
     odd = (np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.uint64)
@@ -121,10 +130,8 @@ def folded(words: np.ndarray, size: int) -> np.ndarray:
 
 def _sets(batches):
     """(doc_id, set) of each row."""
-    for batch in small_batches(batches):
-        ids = batch.column("doc_id").to_pylist()
-        for doc, text in zip(ids, raw_texts(batch.column("text")), strict=True):
-            yield doc, shingle_set(lower_words_of(text), _HASHES)
+    for batch in small_batches(batches, most_bytes=1 << 20):
+        yield from zip(batch.column("doc_id").to_pylist(), shingle_sets(raw_texts(batch.column("text"))), strict=True)
 
 
 def membership(docs: DataFrame) -> DataFrame:
@@ -132,7 +139,7 @@ def membership(docs: DataFrame) -> DataFrame:
     shingles."""
 
     def members(batches):
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most_bytes=1 << 20):
             doc, n, sig, parity = [], [], [], []
             for d, s in _sets([batch]):
                 doc.append(d)
@@ -152,7 +159,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
     def keys(batches):
         seen: set[int] = set()
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most_bytes=1 << 20):
             key, sig, count = [np.zeros(0, np.uint64)], [], []
             for _, s in _sets([batch]):
                 if len(s) and (h := set_hash(s)) not in seen:
@@ -169,44 +176,51 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, shingles) of classes; ``wanted`` has (doc_id, sig), one document for each."""
+    """(sig, shingles) of classes; ``wanted`` has (doc_id, sig), one document for each. A repeated
+    row gives its class again."""
     ids = wanted.select(F.col("doc_id").alias("_id"), "sig")
+    rows = docs.join(ids, F.col("doc_id") == F.col("_id")).select("text", "sig")
 
     def sets(batches):
-        for batch in small_batches(batches):
-            values = [s.tobytes() for _, s in _sets([batch])]
+        for batch in small_batches(batches, most_bytes=1 << 20):
+            found = shingle_sets(raw_texts(batch.column("text")))
+            # A repeated doc_id may bring another text: only the wanted class is kept.
+            keep = [i for i, (s, h) in enumerate(zip(found, batch.column("sig").to_pylist(), strict=True)) if set_hash(s) == h]
+            offsets = np.cumsum([0, *(len(found[i]) for i in keep)], dtype=np.int32)
+            values = np.concatenate([found[i] for i in keep]) if keep else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sig"), pa.array(values, pa.binary())], names=["sig", "shingles"]
+                [batch.column("sig").take(pa.array(keep, pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))],
+                names=["sig", "shingles"],
             )
 
-    # A repeated doc_id may bring another text: only the wanted class is kept.
-    rows = docs.join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "sig")
-
-    def checked(batches):
-        for batch in sets(batches):
-            good = [set_hash(np.frombuffer(s, np.uint64)) == h
-                    for s, h in zip(batch.column("shingles").to_pylist(), batch.column("sig").to_pylist(), strict=True)]
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return map_batches(rows, checked, "sig bigint, shingles binary").dropDuplicates(["sig"])
+    return map_batches(rows, sets, "sig bigint, shingles array<bigint>")
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = 80) -> bool:
-    if min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
-        return False
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
+def within(a: bytes, b: bytes, sizes: int) -> bool:
+    """Whether the sketches of two sets of ``sizes`` elements together allow a link."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= sizes // 9
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are linked. ``classes``: (sig, doc_id, n_shingles)."""
-    size = classes.select("sig", "n_shingles")
+    """The pairs (a, b) whose whole sets are linked. ``classes``: (sig, doc_id, n_shingles,
+    parity). Sizes and sketches rule most others out before any set is fetched."""
+    size = classes.select("sig", "n_shingles", "parity")
     sized = (
-        pairs.join(size.select(F.col("sig").alias("a"), F.col("n_shingles").alias("_na")), "a")
-        .join(size.select(F.col("sig").alias("b"), F.col("n_shingles").alias("_nb")), "b")
-        .where("least(_na, _nb) * 100 >= greatest(_na, _nb) * 80").select("a", "b")
+        pairs.join(size.select(F.col("sig").alias("a"), F.col("n_shingles").alias("_na"), F.col("parity").alias("_pa")), "a")
+        .join(size.select(F.col("sig").alias("b"), F.col("n_shingles").alias("_nb"), F.col("parity").alias("_pb")), "b")
+        .where("least(_na, _nb) * 100 >= greatest(_na, _nb) * 80")
     )
-    sized = written(sized, "pairs")
+
+    def near(batches):
+        for batch in batches:
+            x, y, n = batch.column("_pa").to_pylist(), batch.column("_pb").to_pylist(), batch.column("n").to_pylist()
+            yield batch.select(["a", "b"]).filter(pa.array([within(*r) for r in zip(x, y, n, strict=True)], pa.bool_()))
+
+    sized = sized.select("a", "b", "_pa", "_pb", (F.col("_na") + F.col("_nb")).alias("n"))
+    sized = written(map_batches(sized, near, "a bigint, b bigint"), "pairs")
     ends = sized.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     wanted = classes.join(ends, "sig").select("doc_id", "sig")
     sets = written(class_sets(docs, wanted), "sets")
@@ -214,14 +228,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         sized.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("_sb")), "b")
         .join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("_sa")), "a")
     )
-
-    def check(batches):
-        for batch in batches:
-            good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                    for x, y in zip(batch.column("_sa").to_pylist(), batch.column("_sb").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return map_batches(joined.select("a", "b", "_sa", "_sb"), check, "a bigint, b bigint")
+    shared = F.size(F.array_intersect("_sa", "_sb"))
+    together = F.size("_sa") + F.size("_sb") - shared
+    return joined.where(100 * shared >= 80 * together).select("a", "b")
 
 
 def _across(rows: list[dict], same: bool) -> list[tuple[int, int]]:
@@ -258,6 +267,18 @@ def _across(rows: list[dict], same: bool) -> list[tuple[int, int]]:
     return out
 
 
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every set and the centre of each key that it shares: of the sets under a
+    key the one that shares most keys, which is what others were copied from, if any is. So the
+    first round joins most of what there is to join."""
+    degree = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("degree"))
+    degree = written(degree, "degrees")
+    ranked = shared.join(degree, "sig").groupBy("key").agg(F.max(F.struct("degree", "sig"))["sig"].alias("centre"))
+    centres = written(ranked.select(F.col("key").alias("_key"), "centre"), "centres")
+    met = shared.join(centres, F.col("key") == F.col("_key")).where("sig <> centre")
+    return met.select(F.least("sig", "centre").alias("a"), F.greatest("sig", "centre").alias("b")).distinct()
+
+
 def pairs_across(shared: DataFrame, component: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets that share a key and are in different components after the first
     round. ``shared``: (key, sig) of keys with several sets."""
@@ -311,9 +332,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("key")
     usable = docs.where(F.col("doc_id").isNotNull())
     met = keyed(usable).withColumn("_least", F.min("sig").over(by_key)).withColumn("_most", F.max("sig").over(by_key))
-    shared = written(met.where("_least <> _most").select("key", "sig", F.col("_least").alias("least")), "keys")
-    stars = shared.where("sig <> least").select(F.col("least").alias("a"), F.col("sig").alias("b")).distinct()
-    links = written(verified(stars, usable, classes), "first-links")
+    shared = written(met.where("_least <> _most").select("key", "sig"), "keys")
+    links = written(verified(star_pairs(shared), usable, classes), "first-links")
     component = written(connected_components(links), "first-components")
     more = pairs_across(shared, component, classes)
     more = written(verified(more, usable, classes), "more-links")
