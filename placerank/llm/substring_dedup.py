@@ -16,11 +16,16 @@ consecutive windows with the same anchor make a segment. Three steps:
    windows still meet, and a task sends each of them once.
 3. Spans of repeated windows go back to their documents, and their words are dropped.
 
+A document is (__id, __part): its doc_id and the hash of its text, so that rows of one doc_id
+with different texts are documents of their own, in the order of that hash. Rows without a doc_id
+come first, each a document of its own: its part is a row number, written once, in the order of
+the text's hash.
+
 Words are taken unchanged. Defined cases: a null or empty text has no word; documents shorter
-than a window keep all words; rows of one doc_id count as one document, compared by start (equal
-rows do not remove one another); null ids come first; an empty table gives no rows; ``clean``
-keeps all columns of documents that lose words, with the words that stay joined by one blank,
-and other texts as they are.
+than a window keep all words; rows that agree in doc_id and text are one document (they do not
+remove one another), rows without a doc_id do; an empty table gives no rows; ``clean`` keeps all
+columns of documents that lose words, with the words that stay joined by one blank, and other
+texts as they are.
 """
 
 from __future__ import annotations
@@ -40,7 +45,7 @@ CROWDED = 16_384
 SHARD_WORDS = 60_000  # words indexed at a time, more only for the segments of one anchor
 LEAST_ID = -(1 << 63)
 # Columns put beside a caller's.
-ID, ANCHORS, CROWDED_ONES, SPANS = "__id", "__anchors", "__crowded", "__spans"
+ID, PART, ANCHORS, CROWDED_ONES, SPANS = "__id", "__part", "__anchors", "__crowded", "__spans"
 _PLACES = WINDOW - ANCHOR + 1  # anchors of a window
 _LOW = np.uint64(0xFFFFFF)
 _ODD = mix64(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
@@ -86,43 +91,51 @@ def _read(batch: pa.RecordBatch) -> HashedWords:
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """(anchor, id) of every segment."""
+    """(anchor, id, part) of every segment."""
 
     def rows(batches):
         for batch in small_batches(batches, most_bytes=1 << 20):
             found = _read(batch)
             doc, _, _, key = segments(found.hashes, found.sizes)
+            rows_of = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), batch.column("id").take(pa.array(doc))], names=["anchor", "id"]
+                [pa.array(key.view(np.int64)), batch.column("id").take(rows_of), batch.column("part").take(rows_of)],
+                names=["anchor", "id", "part"],
             )
 
-    return map_batches(docs, rows, "anchor bigint, id bigint")
+    return map_batches(docs, rows, "anchor bigint, id bigint, part bigint")
 
 
-_ROWS = "route bigint, id bigint, first bigint, windows bigint, words binary"
+_ROWS = "route bigint, id bigint, part bigint, first bigint, windows bigint, words binary"
 
 
 def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    """Of (route, (id, part), first, windows, words)."""
+    columns = list(zip(*((r[0], *r[1], *r[2:]) for r in rows), strict=True)) if rows else [()] * 6
+    kinds = [*[pa.int64()] * 5, pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["route", "id", "first", "windows", "words"]
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=["route", "id", "part", "first", "windows", "words"],
     )
 
 
+def _spread(doc: tuple[int, int], first: int) -> int:
+    return doc[0] ^ doc[1] ^ first
+
+
 def candidates(docs: DataFrame, most_held: int = 32 << 20) -> DataFrame:
-    """Rows for the shards. ``docs`` has (__id, text, __anchors, __crowded): the repeated anchors of
+    """Rows for the shards. ``docs`` has (__id, __part, text, __anchors, __crowded): the repeated anchors of
     each document and which of them are crowded. Rows with words are passages, each equal one
     of a task once, at its first occurrence; rows without are repeated windows already."""
 
     def rows(batches):
-        held: dict[bytes, tuple] = {}  # digest -> (route, id, first, windows, words)
+        held: dict[bytes, tuple] = {}  # digest -> (route, (id, part), first, windows, words)
         size = 0
         for batch in small_batches(batches, most_bytes=1 << 20):
             found = _read(batch)
             doc, start, count, key = segments(found.hashes, found.sizes)
             begins = ragged(found.sizes)
-            ids = batch.column(ID).to_pylist()
+            ids = list(zip(batch.column(ID).to_pylist(), batch.column(PART).to_pylist(), strict=True))
             anchors = [set(x or ()) for x in batch.column(ANCHORS).to_pylist()]
             crowded = [set(x or ()) for x in batch.column(CROWDED_ONES).to_pylist()]
             single = _rolled(found.hashes, WINDOW).view(np.int64) if len(found.hashes) >= WINDOW else None
@@ -142,11 +155,11 @@ def candidates(docs: DataFrame, most_held: int = 32 << 20) -> DataFrame:
                         size += len(passage) + 200
                     elif (mine[1], mine[2]) < (old[1], old[2]):
                         held[tag] = mine
-                        out.append((old[1] ^ old[2], *old[1:4], None))
+                        out.append((_spread(old[1], old[2]), *old[1:4], None))
                     elif (mine[1], mine[2]) > (old[1], old[2]):
                         gone.setdefault(d, []).append((mine[2], m))
             for d, windows in gone.items():
-                out += [(ids[d] ^ first, ids[d], first, n, None) for first, n in merged(windows)]
+                out += [(_spread(ids[d], first), ids[d], first, n, None) for first, n in merged(windows)]
             if size > most_held:
                 out += held.values()
                 held, size = {}, 0
@@ -169,9 +182,9 @@ def merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """Runs (id, first, windows) of windows that also start earlier among the passages
-    (id, first, windows, words) of a shard."""
+def repeated_windows(rows: list[tuple]) -> list[tuple[tuple[int, int], int, int]]:
+    """Runs (document, first, windows) of windows that also start earlier among the passages
+    (document, first, windows, words) of a shard; a document is (id, part)."""
     number: dict[bytes, int] = {}
     symbols: list[int] = []
     for _, _, _, words in rows:
@@ -183,7 +196,9 @@ def repeated_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
     which = np.repeat(np.arange(len(rows)), windows)
     inside = np.arange(len(which)) - np.repeat(ragged(windows)[:-1], windows)
     at = begins[which] + inside
-    ids = np.array([r[0] for r in rows], dtype=np.int64)[which]
+    documents = sorted({r[0] for r in rows})
+    rank = {d: i for i, d in enumerate(documents)}
+    ids = np.array([rank[r[0]] for r in rows], dtype=np.int64)[which]
     starts = np.array([r[1] for r in rows], dtype=np.int64)[which] + inside
     # Order of occurrences by (id, start), equal for equal ones.
     order = np.lexsort((starts, ids))
@@ -213,23 +228,25 @@ def repeated_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
         return []
     first = np.flatnonzero(np.r_[True, (np.diff(late) != 1) | (which[late[1:]] != which[late[:-1]])])
     runs = np.diff(np.r_[first, len(late)])
-    return list(zip(ids[late[first]].tolist(), starts[late[first]].tolist(), runs.tolist(), strict=True))
+    at = late[first]
+    return [(documents[i], s, n) for i, s, n in zip(ids[at].tolist(), starts[at].tolist(), runs.tolist(), strict=True)]
 
 
 def searched(rows: DataFrame) -> DataFrame:
-    """(id, first, windows): runs of repeated windows, from candidate rows."""
+    """(id, part, first, windows): runs of repeated windows, from candidate rows."""
 
     def search(batches):
         held: list[tuple] = []
         size, route = 0, None
 
         def found(runs):
-            columns = list(zip(*runs, strict=True)) if runs else [()] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "first", "windows"])
+            columns = list(zip(*((*doc, first, n) for doc, first, n in runs), strict=True)) if runs else [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "part", "first", "windows"])
 
         for batch in batches:
             passed = []
-            for key, doc, first, windows, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, doc_id, part, first, windows, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc = (doc_id, part)
                 if words is None:
                     passed.append((doc, first, windows))
                     continue
@@ -245,23 +262,38 @@ def searched(rows: DataFrame) -> DataFrame:
 
     # Rows that are repeated already come first (no words), then passages by route.
     dealt = rows.repartition("route").sortWithinPartitions(F.col("words").isNotNull(), "route")
-    return map_batches(dealt, search, "id bigint, first bigint, windows bigint")
+    return map_batches(dealt, search, "id bigint, part bigint, first bigint, windows bigint")
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with __id and __part, which name a document. Rows without a doc_id are numbered and
+    written, so that a row keeps its number however often it is read."""
+    number, text = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    # Never null for Spark either: an inner join then adds no filter, and its shuffle is used again.
+    known = docs.where(number.isNotNull()).withColumn(ID, F.coalesce(number, F.lit(LEAST_ID))).withColumn(PART, text)
+    # The second order key parts equal texts, so that no range must hold all of them.
+    nameless = docs.where(number.isNull()).withColumn(PART, F.monotonically_increasing_id()).orderBy(text, PART)
+    nameless = written(nameless.withColumn(PART, F.monotonically_increasing_id()), "nameless")
+    nameless = nameless.withColumn(ID, F.lit(LEAST_ID)).withColumn(PART, F.coalesce(PART, F.lit(0).cast("long")))
+    return known.unionByName(nameless)
 
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
-    """(id, spans): per document with repeated windows, their runs (first, windows).
-    ``keyed`` has __id and text. Its other columns are carried into the first join, so that
-    its shuffle is the one that the caller's join on __id needs, and is made once."""
-    docs = keyed.select(F.col(ID).alias("id"), F.col("text").cast("string").alias("text"))
+    """(id, part, spans): per document with repeated windows, their runs (first, windows).
+    ``keyed`` has __id, __part and text. Its other columns are carried into the first join, so that
+    its shuffle is the one that the caller's join on the document needs, and is made once."""
+    docs = keyed.select(F.col(ID).alias("id"), F.col(PART).alias("part"), F.col("text").cast("string").alias("text"))
     counts = anchor_rows(docs).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = written(counts.select(F.col("anchor").alias("_anchor"), (F.col("n") > CROWDED).alias("_crowded")), "anchors")
     flagged = anchor_rows(docs).join(counts, F.col("anchor") == F.col("_anchor"))
-    per_doc = flagged.groupBy(F.col("id").alias("__doc")).agg(
+    per_doc = flagged.groupBy(F.col("id").alias("__doc"), F.col("part").alias("__of_part")).agg(
         F.collect_set("anchor").alias(ANCHORS), F.collect_set(F.when(F.col("_crowded"), F.col("anchor"))).alias(CROWDED_ONES)
     )
-    known = keyed.join(per_doc, F.col(ID) == F.col("__doc")).drop("__doc")
+    same = (F.col(ID) == F.col("__doc")) & (F.col(PART) == F.col("__of_part"))
+    known = keyed.join(per_doc, same).drop("__doc", "__of_part")
     runs = searched(candidates(known))
-    return runs.groupBy("id").agg(F.collect_list(F.struct("first", "windows")).alias("spans"))
+    # A set: rows that agree in doc_id and text find the same runs.
+    return runs.groupBy("id", "part").agg(F.collect_set(F.struct("first", "windows")).alias("spans"))
 
 
 def kept_words(words: list[bytes], spans) -> list[bytes]:
@@ -280,9 +312,10 @@ def kept_words(words: list[bytes], spans) -> list[bytes]:
 
 def with_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with the spans of repeated windows of each document (null: none)."""
-    keyed = docs.withColumn(ID, F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
-    spans = repeated_spans(keyed).select(F.col("id").alias("__of"), F.col("spans").alias(SPANS))
-    return keyed.join(spans, F.col(ID) == F.col("__of"), "left").drop(ID, "__of")
+    keyed = identified(docs)
+    spans = repeated_spans(keyed).select(F.col("id").alias("__of"), F.col("part").alias("__of_part"), F.col("spans").alias(SPANS))
+    same = (F.col(ID) == F.col("__of")) & (F.col(PART) == F.col("__of_part"))
+    return keyed.join(spans, same, "left").drop(ID, PART, "__of", "__of_part")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -220,3 +220,24 @@ def test_odd_rows_of_repeated_passages(spark, odd, nothing):
     by = {r["doc_id"]: r for r in cleaned.collect()}
     assert by[8]["text"] == "start of it and an end" and by[8]["n_chars"] == len(by[8]["text"])
     assert by[4]["text"] == "one two  three\nfour" and by[0]["text"] is None and by[8]["spans"] == "c" and by[8]["id"] == "a"
+
+
+def test_spans_stay_in_the_row_they_were_found_in(spark):
+    """Null and repeated ids: a row loses only its own repeats, and copies without an id go."""
+    passage, lead = words(31, 20, 10**6), [words(40 + i, 100, 10**6) for i in range(4)]
+    clean = [words(50 + i, 140, 10**6) for i in range(3)]
+    copy = words(60, 50, 10**6)
+    rows = [
+        (None, lead[0] + passage), (None, clean[0]), (None, clean[1]),  # windows at 100 of one, other words there in others
+        (None, copy), (None, copy), (None, copy),
+        (7, lead[1] + passage), (7, clean[2]), (7, lead[2] + passage),
+        (8, lead[3]), (8, lead[3]),
+    ]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string").repartition(4)
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in sd.clean(docs).collect())
+    want = [(0, lead[0] + passage), (0, clean[0]), (0, clean[1]), (0, copy), (0, []), (0, []),
+            (7, lead[1]), (7, clean[2]), (7, lead[2]), (8, lead[3]), (8, lead[3])]
+    assert kept == sorted((i, " ".join(w)) for i, w in want)
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in sd.digests(docs).collect())
+    gone = [0, 0, 0, 0, 50, 50, 20, 0, 20, 0, 0]
+    assert got == sorted((i or 0, len(w), g) for (i, w), g in zip(rows, gone, strict=True))
