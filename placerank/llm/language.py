@@ -153,9 +153,19 @@ class CrossParser:
         return found, score
 
 
+def equal_parts(sizes: list[int], most: int) -> list[int]:
+    """Parts of ``most`` for rows of these sizes: equal ones, with what short rows leave handed on."""
+    parts = [0] * len(sizes)
+    for done, i in enumerate(sorted(range(len(sizes)), key=sizes.__getitem__)):
+        parts[i] = min(sizes[i], most // (len(sizes) - done))
+        most -= parts[i]
+    return parts
+
+
 def language_samples(docs: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS,
                      symbols: int = SAMPLE_SYMBOLS) -> dict[str, bytes]:
-    """Bounded samples of labelled text by language, from rows that are not held out."""
+    """Bounded samples of labelled text by language, from rows that are not held out; every picked
+    row with a letter has its part."""
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out)
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
     picked = (
@@ -164,12 +174,14 @@ def language_samples(docs: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS,
     )
     ids = sorted(r["doc_id"] for r in picked.collect())
     texts = usable.where(F.col("doc_id").isin(ids)).select("lang", "doc_id", F.substring("text", 1, symbols).alias("t"))
-    samples: dict[str, bytes] = {}
+    found: dict[str, list[bytes]] = {}
     for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["doc_id"], r["t"])):
-        have = samples.get(r["lang"], b"")
-        if len(have) < symbols and _LETTER.search(r["t"]):
-            samples[r["lang"]] = (have + b" " + symbols_of(r["t"]).tobytes())[:symbols]
-    return samples
+        if _LETTER.search(r["t"]):
+            found.setdefault(r["lang"], []).append(b" " + symbols_of(r["t"]).tobytes())
+    return {
+        lang: b"".join(t[:n] for t, n in zip(own, equal_parts([len(t) for t in own], symbols), strict=True))
+        for lang, own in found.items()
+    }
 
 
 _PARSERS: dict[int, CrossParser] = {}

@@ -145,3 +145,10 @@ def test_no_labels_one_class_and_odd_rows(spark, odd, nothing):
     assert kept.columns == odd.columns and kept.count() <= odd.count()
     assert classify(nothing, model, F.lit(False)).count() == 0 and keep_clean(nothing, model).count() == 0
     assert isinstance(model, Model)
+
+
+def test_a_long_row_leaves_room_for_the_others(spark):
+    rows = [(0, "x" * 5000, "en"), *((i, f"word{'abcdef'[i]} " * 4, "en") for i in range(1, 6))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    sample = language_samples(docs, F.lit(False), symbols=600)["en"]
+    assert len(sample) == 600 and all(f"word{c}".encode() in sample for c in "bcdef")
