@@ -2,8 +2,6 @@ import random
 
 import pytest
 
-from tests.conftest import spark  # noqa: F401  (the suite's session)
-
 SF = "/root/testdata/sf0.001"
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, id string, _id string, size string, "
           "spans string, score string, block string, key string, sig string, `flag` string")
