@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -78,6 +80,30 @@ def small_batches(batches: Batches, column: str = "text", most_bytes: int = 4 <<
     pa.default_memory_pool().release_unused()
 
 
+_MEMORY: dict[tuple, dict] = {}
+
+
+def worker_memory(owner: tuple) -> dict:
+    """What this Python worker remembers for ``owner`` (an operator and its model) from batch to
+    batch and task to task. One owner at a time: the next one's memory replaces it, so that a reused
+    worker never holds the memories of all stages at once. Owners bound their own by bytes."""
+    if owner not in _MEMORY:
+        _MEMORY.clear()
+        _return_freed()
+        _MEMORY[owner] = {}
+    return _MEMORY[owner]
+
+
+def _return_freed() -> None:
+    """Give freed memory back to the system, where its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Words as they are."""
     return text.split()
