@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_trie import recoded_digests
 from .common import documents, new_path, written
+from .conversations import repair_report
 from .fingerprint import edited_fingerprints
 from .language import identify, language_samples, remainder
 from .mixing import mix
@@ -21,6 +23,7 @@ from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
 from .topk import top_k
 from .toxicity import classify, labelled_sample, train
+from .whitening import whiten
 
 # Weights of a document by its quality label; documents without a label weigh 1.
 GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
@@ -85,6 +88,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, toxicity_model(docs, spark, sf_dir), remainder(F.col("doc_id"), 5) == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"))
+    return whiten(vectors, components=4)
+
+
+def op12_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recoded_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_mixing": op2_mixing,
@@ -96,5 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_bpe_trie": op12_bpe_trie,
+    "op13_conversations": op13_conversations,
 }
 
