@@ -77,7 +77,7 @@ def small_batches(batches: Batches, column: str = "text", most_bytes: int = 4 <<
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
-    pa.default_memory_pool().release_unused()
+    _return_freed()
 
 
 _MEMORY: dict[tuple, dict] = {}
@@ -89,6 +89,7 @@ def worker_memory(owner: tuple) -> dict:
     worker never holds the memories of all stages at once. Owners bound their own by bytes."""
     if owner not in _MEMORY:
         _MEMORY.clear()
+        gc.collect()
         _return_freed()
         _MEMORY[owner] = {}
     return _MEMORY[owner]
@@ -96,7 +97,6 @@ def worker_memory(owner: tuple) -> dict:
 
 def _return_freed() -> None:
     """Give freed memory back to the system, where its C library can."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -141,15 +141,18 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least n; kept by the worker."""
+    """Powers of the base and of its inverse, at least n; kept by the worker unless a single long
+    word needs more than a batch does."""
     size = 1 << max(16, int(n).bit_length())
     if size not in _POWERS:
-        _POWERS.clear()
         both = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             factors = np.full(size, base, dtype=np.uint64)
             factors[0] = 1
             both.append(np.multiply.accumulate(factors))
+        if size > 2 * _AT_ONCE:
+            return both[0], both[1]
+        _POWERS.clear()
         _POWERS[size] = (both[0], both[1])
     return _POWERS[size]
 

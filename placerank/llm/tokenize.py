@@ -5,15 +5,21 @@ are the whole text's ids. The ids of each distinct piece are encoded once by the
 library and remembered by the worker (bounded), so the cost follows the vocabulary of the
 rows that a worker sees, not their length.
 
-The strings of special tokens in a text are ordinary text (``encode_special_tokens``).
+A text that holds the string of an added token is encoded whole by the library, which gives that
+token's id.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from array import array
 
+from .common import worker_memory
+
+LONG = 200  # characters of a piece that is remembered, at most
+
 # A blank between two other white-space characters joins them into one run for the byte-level
 # pattern, so that such a text is not cut at its blanks alone.
 _ODD_ASCII = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
@@ -64,26 +70,27 @@ _BYTE_LETTERS = _byte_letters()
 _LETTERS_SIGNS = re.compile(r"(\w+)([!-&(-/:-@\[-^{-~]*)")
 
 
-_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-
-
 class _Pieces(dict):
     """Piece -> ids as little-endian unsigned 32-bit integers, encoded when first met. Two
     generations bound the memory: when the newer one is full it becomes the older one, from
-    which pieces still in use are taken over."""
+    which pieces still in use are taken over. Pieces beyond ``LONG`` characters are not kept."""
 
     def __init__(self, path: str, blank: bool, most: int):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.blank, self.most, self.older = blank, most, {}
+        self.signs: dict[str, bytes] = {}
         self.lead = _BYTE_LETTERS[0x20] if blank else ""
         self.line = self.alone("\n") if blank else b""
 
     def __missing__(self, piece) -> bytes:
+        if len(piece) > LONG:
+            return self._encode(piece if isinstance(piece, str) else piece.decode())
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
@@ -94,37 +101,51 @@ class _Pieces(dict):
         return ids
 
     def _encode(self, text: str) -> bytes:
-        lead, plain = self.lead, text
+        if text.isalpha():  # one pre-token for certain
+            if self.blank:
+                return self._tokens(self.lead, text)
+            return self._tokens("", text) if self._settled(text) else self.alone(text)
         if self.blank and text[:1] == _LINE:
-            lead, plain = "", text[1:]
-        # Pieces that are one or two pre-tokens for certain go straight to the model.
-        signs = ""
-        if plain.isalpha():
-            letters = plain
-        elif (found := _LETTERS_SIGNS.fullmatch(plain)) and found[1].isalpha():
+            plain = text[1:]
+            if not plain.isalpha():
+                return self.alone("\n" + plain)
+            return self.line + self._tokens("", plain)
+        # Letters and then signs: two pre-tokens for certain, and the word is often known.
+        found = _LETTERS_SIGNS.fullmatch(text)
+        if found and found[1].isalpha() and (self.blank or self._settled(found[1])):
             letters, signs = found.groups()
-        else:
-            letters = ""
-        if not letters or not (self.blank or self._settled(plain)):
-            return self.alone(("\n" if self.blank and not lead else " " if lead else "") + plain)
-        ids = self._tokens(lead, letters if self.blank else letters.lower())
-        if signs:
-            ids += self._tokens("", signs)
-        return self.line + ids if self.blank and not lead else ids
+            ids = self.signs.get(signs)
+            if ids is None:
+                ids = self._tokens("", signs)
+                if len(self.signs) < 10_000 and len(signs) <= LONG:
+                    self.signs[signs] = ids
+            return self[letters if self.blank else letters.encode()] + ids
+        return self.alone(" " + text if self.blank else text)
 
     @staticmethod
     def _settled(word: str) -> bool:
         """Whether the tokenizer's normal form of a word is its plain lower-case form."""
-        return word.isascii() or (unicodedata.is_normalized("NFC", word) and "\u03a3" not in word and word.lower().rstrip(_SIGNS).isalpha())
+        return word.isascii() or (unicodedata.is_normalized("NFC", word) and "\u03a3" not in word and word.lower().isalpha())
 
-    def _tokens(self, lead: str, letters: str) -> bytes:
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array("I", [t.id for t in self.model.tokenize(lead + letters)]).tobytes()
+    def _tokens(self, lead: str, word: str) -> bytes:
+        """Ids of one pre-token."""
+        if not self.blank:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.tokenize(lead + word)]).tobytes()
 
     def alone(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def whole(self, text: str) -> bytes:
+        """Ids of a text with added tokens, as the library takes it."""
+        self.tokenizer.encode_special_tokens = False
+        ids = self.alone(text)
+        self.tokenizer.encode_special_tokens = True
+        return ids
+
 
 class PieceEncoder:
     """Token ids of texts through a memory of encoded pieces. ``kind`` names the cut:
@@ -137,27 +158,25 @@ class PieceEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Each text's ids and then ``end_id``, as little-endian unsigned 32-bit integers."""
-        get, alone, out = self.pieces.__getitem__, self.pieces.alone, []
+        get, alone, special, out = self.pieces.__getitem__, self.pieces.alone, self.pieces.special, []
         end = array("I", [end_id]).tobytes()
         for text in texts:
             if not text:
                 out.append(end)
-                continue
-            pieces = self.cut(text)
-            # Nothing stands before the first piece of a byte-level text.
-            first = alone(pieces[0]) if self.blank else b""
-            out.append(b"".join([first, *map(get, pieces[1:] if self.blank else pieces), end]))
+            elif any(s in text for s in special):
+                out.append(self.pieces.whole(text) + end)
+            else:
+                pieces = self.cut(text)
+                # Nothing stands before the first piece of a byte-level text.
+                first = alone(pieces[0]) if self.blank else b""
+                out.append(b"".join([first, *map(get, pieces[1:] if self.blank else pieces), end]))
         return out
 
 
-_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
-
-
 def encoder(path: str, kind: str) -> PieceEncoder:
     """This worker's encoder for a tokenizer file."""
-    if (path, kind) not in _ENCODERS:
-        import os
-
+    memory = worker_memory(("tokenize", path, kind))
+    if "encoder" not in memory:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path, kind] = PieceEncoder(path, kind)
-    return _ENCODERS[path, kind]
+        memory["encoder"] = PieceEncoder(path, kind)
+    return memory["encoder"]

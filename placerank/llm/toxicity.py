@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, small_batches
+from .common import map_batches, small_batches, worker_memory
 
 SAMPLE_ROWS = 1500  # labelled documents a class, at most
 SAMPLE_CHARS = 20_000
@@ -44,7 +44,7 @@ LANDMARKS = 192
 NEGATIVES = 8_000  # clean words that enter a fit, at most
 ROUNDS = 3
 COST = 10.0  # of a margin fallen short of, against the norm of the machine
-MOST_REMEMBERED = 400_000
+MOST_BYTES = 64 << 20  # of words whose margins a worker remembers
 
 # Offsets of the letters of a subsequence from its first one: three letters within five
 # places, four letters within six.
@@ -305,20 +305,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column, rows:
     return [(t.encode(), label[i]) for i, t in found]
 
 
-_KNOWN: dict[int, dict[bytes, float]] = {}
-
-
 def document_scores(machine: Model, tag: int, texts: list[str | None]) -> np.ndarray:
     """Scores of whole texts; the margins of words that a worker has met are remembered."""
-    if tag not in _KNOWN:
-        _KNOWN.clear()
-        _KNOWN[tag] = {}
-    known = _KNOWN[tag]
+    memory = worker_memory(("toxicity", tag))
+    known = memory.setdefault("margins", {})
     bags = [units_of((t or "").encode()) for t in texts]
-    if len(known) > MOST_REMEMBERED:
+    if memory.get("held", 0) > MOST_BYTES:
         known.clear()
+        memory["held"] = 0
     new = sorted(set().union(*bags).difference(known))
     known.update(zip(new, machine.margins(new).tolist(), strict=True))
+    memory["held"] = memory.get("held", 0) + sum(map(len, new)) + 150 * len(new)
     return machine.score(np.array([max(map(known.__getitem__, bag), default=machine.least) for bag in bags]))
 
 
