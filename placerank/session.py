@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,17 @@ def local_session(
     return spark
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the folder that driver and executors share (``spark.checkpoint.dir``; a
+    scratch folder only where none is set, as in a bare local session)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="placerank-ckpt-", dir="/tmp")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` before it is read several times: an eager, reliable
     ``checkpoint()`` into the session's checkpoint folder (``spark.checkpoint.dir``; on a

@@ -7,15 +7,19 @@ from .readers import (
     read_listings,
     read_posts,
 )
-from .sinks import write_table
+from .sinks import write_csv, write_table
+from .split_csv import csv_records, read_csv_in_splits
 
 __all__ = [
     "LISTING_COLUMNS",
     "REVIEW_COLUMNS",
     "bindings",
+    "csv_records",
     "normalise_header",
     "normalise_headers",
+    "read_csv_in_splits",
     "read_listings",
     "read_posts",
+    "write_csv",
     "write_table",
 ]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LISTINGS_RAW, POSTS
+from .split_csv import read_csv_in_splits
 
 # The column names of the reference's review and listing files, mapped to
 # the canonical names used here.
@@ -27,10 +28,9 @@ LISTING_COLUMNS = {
     "stars": "stars_raw",
 }
 
-# multiLine: a quoted review may span lines, and then each CSV file is one split (a file
-# cannot be cut at an arbitrary newline). The caller has to say which it is: with
-# ``multiline=False`` large files are read by many tasks, but they must hold no embedded
-# newlines; files that do are better converted to parquet once (read, then ``write_table``).
+# multiLine: a quoted review may span lines. The caller has to say how to read: ``True`` takes each
+# CSV file as one split; ``False`` reads large files by many tasks, but they must hold no embedded
+# newlines; ``"split"`` reads files with embedded newlines by many tasks (``split_csv``).
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -50,12 +50,14 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def _load(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None,
-          multiline: bool | None) -> DataFrame:
+          multiline: bool | str | None) -> DataFrame:
     reader = spark.read.format(fmt)
     opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
     if fmt == "csv":
-        if multiline is None:
-            raise ValueError("say multiline=True (quoted line breaks, one task a file) or multiline=False (splittable)")
+        if multiline not in (True, False, "split"):
+            raise ValueError("say multiline=True (quoted line breaks, one task a file), 'split' (the same by many tasks) or False (none)")
+        if multiline == "split":
+            return normalise_headers(read_csv_in_splits(spark, path, {**opts, **(options or {})}))
         opts["multiLine"] = str(multiline).lower()
     opts.update(options or {})
     if opts:
@@ -91,17 +93,17 @@ def _conform(df: DataFrame, schema: T.StructType, columns: Mapping[str, str] | N
 
 def read_posts(spark: SparkSession, path: str, fmt: str = "parquet",
                columns: Mapping[str, str] | None = None,
-               options: Mapping[str, str] | None = None, multiline: bool | None = None) -> DataFrame:
+               options: Mapping[str, str] | None = None, multiline: bool | str | None = None) -> DataFrame:
     """Read a posts table. For the reference's CSV layout pass ``columns=REVIEW_COLUMNS``;
-    for CSV say ``multiline=False`` (large files are split; no embedded newlines) or
-    ``multiline=True``. A canonical column that the file lacks is an error; a missing
+    for CSV say ``multiline=False`` (large files are split; no embedded newlines),
+    ``multiline=True`` or ``multiline="split"``. A canonical column that the file lacks is an error; a missing
     ``post_id`` is made from the row's content."""
     return _conform(_load(spark, path, fmt, options, multiline), POSTS, columns, "post_id")
 
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet",
                   columns: Mapping[str, str] | None = None,
-                  options: Mapping[str, str] | None = None, multiline: bool | None = None) -> DataFrame:
+                  options: Mapping[str, str] | None = None, multiline: bool | str | None = None) -> DataFrame:
     """Read an uncleaned listings table (``listings_raw``); clean it with ``clean_listings``.
     For the reference's CSV layout pass ``columns=LISTING_COLUMNS``; ``multiline``, missing
     columns and a missing ``listing_id`` are as in ``read_posts``."""

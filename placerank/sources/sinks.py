@@ -15,3 +15,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write string columns as CSV that reads back as it was: a header, every field quoted, quotes
+    doubled, blanks kept. A NULL is an unquoted empty field."""
+    df.write.mode(mode).options(
+        header="true", quoteAll="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
