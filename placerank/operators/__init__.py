@@ -11,7 +11,15 @@ from .aggregate import (
     value_options,
 )
 from .clean import clean_listings
-from .cluster import cluster_items, cluster_samples, cluster_summary, label_clusters
+from .cluster import (
+    best_cuts,
+    cluster_cost,
+    cluster_items,
+    cluster_samples,
+    cluster_summary,
+    label_clusters,
+    optimal_clusters,
+)
 from .evaluate import evaluate_recommendations
 from .profile import compare_profiles, listings_overview, posts_overview, profile
 from .recommend import (
@@ -20,6 +28,7 @@ from .recommend import (
     hybrid_scored,
     listing_feature_arrays,
     listing_feature_columns,
+    listing_feature_vectors,
     listing_features,
     recommendation_summary,
     room_type_distribution,
@@ -43,9 +52,20 @@ from .search import (
     score_by_group,
     top_recommendation,
 )
-from .text import tfidf_terms, tfidf_vectors, top_tfidf_terms, top_words, word_frequency_map
+from .text import (
+    tfidf_buckets,
+    tfidf_sparse_vectors,
+    tfidf_terms,
+    tfidf_vectors,
+    top_tfidf_terms,
+    top_words,
+    word_frequency_map,
+)
 
 __all__ = [
+    "best_cuts",
+    "cluster_cost",
+    "optimal_clusters",
     "avg_popularity_by_group",
     "browse_popular",
     "clean_listings",
@@ -67,6 +87,7 @@ __all__ = [
     "label_clusters",
     "listing_feature_arrays",
     "listing_feature_columns",
+    "listing_feature_vectors",
     "listing_features",
     "listings_overview",
     "period_trend",
@@ -82,6 +103,8 @@ __all__ = [
     "score_breakdown",
     "score_by_group",
     "scored_counts",
+    "tfidf_buckets",
+    "tfidf_sparse_vectors",
     "tfidf_terms",
     "tfidf_vectors",
     "top_items",

@@ -51,6 +51,75 @@ def cluster_items(popularity: DataFrame, k: int = 4, seed: int = 42,
     return label_clusters(clustered)
 
 
+def best_cuts(values: list[int], weights: list[int], k: int) -> list[int]:
+    """Where the sorted distinct ``values`` (with their weights) are cut into at most ``k`` runs of
+    least total squared distance to the runs' means: the first index of each run but the first.
+
+    Dynamic program over runs; the best last cut moves on with the end of the run, so that each
+    layer takes n log n steps (divide and conquer)."""
+    n, k = len(values), min(k, len(values))
+    sums = [(0, 0, 0)]
+    for x, w in zip(values, weights, strict=True):
+        a, b, c = sums[-1]
+        sums.append((a + w, b + w * x, c + w * x * x))
+
+    def cost(i: int, j: int) -> float:  # of the run values[i:j]; exact up to the last division
+        w, x, xx = (b - a for a, b in zip(sums[i], sums[j], strict=True))
+        return (w * xx - x * x) / w
+
+    best = [0.0] + [cost(0, j) for j in range(1, n + 1)]
+    cuts: list[list[int]] = []
+    for layer in range(1, k):
+        now, cut = [float("inf")] * (n + 1), [0] * (n + 1)
+        stack = [(layer + 1, n, layer, n - 1)]
+        while stack:
+            low, high, first, last = stack.pop()
+            if low > high:
+                continue
+            j = (low + high) // 2
+            for i in range(max(first, layer), min(last, j - 1) + 1):
+                c = best[i] + cost(i, j)
+                if c < now[j]:
+                    now[j], cut[j] = c, i
+            stack += [(low, j - 1, first, cut[j]), (j + 1, high, cut[j], last)]
+        best = now
+        cuts.append(cut)
+    out, j = [], n
+    for cut in reversed(cuts):
+        j = cut[j]
+        out.append(j)
+    return out[::-1]
+
+
+def optimal_clusters(popularity: DataFrame, k: int = 4) -> DataFrame:
+    """The best possible K-Means clusters: (item, grp, review_count, popularity_score, prediction),
+    numbered by rising count.
+
+    The two features are collinear (the score is the scaled count), so clusters are intervals of the
+    count and the optimum is a dynamic program over the histogram of distinct counts. Only that
+    histogram reaches the driver: counts that add up to N posts have at most sqrt(2 N) distinct
+    values. NULL counts have no cluster."""
+    require_columns(popularity, "item", "grp", *FEATURES)
+    counts = popularity.where(F.col("review_count").isNotNull()).groupBy("review_count").agg(F.count(F.lit(1)).alias("n"))
+    histogram = sorted((r["review_count"], r["n"]) for r in counts.collect())
+    values, weights = [x for x, _ in histogram], [w for _, w in histogram]
+    prediction = F.when(F.col("review_count").isNotNull(), F.lit(0))
+    for i in best_cuts(values, weights, k) if values else []:
+        prediction = prediction + F.when(F.col("review_count") >= F.lit(values[i]), 1).otherwise(0)
+    return popularity.select("item", "grp", "review_count", "popularity_score", prediction.cast("int").alias("prediction"))
+
+
+def cluster_cost(clustered: DataFrame) -> DataFrame:
+    """One row per cluster: (prediction, item_count, mean_count, cost), cost the squared distances of
+    the counts to their mean, rounded to 4 decimals. Summed over clusters it measures any clustering
+    of a popularity table, so that a K-Means result can be held against the optimum."""
+    n, x = F.count("review_count"), F.col("review_count").cast("decimal(38,0)")
+    spread = F.sum(x * x).cast("double") - F.sum(x).cast("double") * F.sum(x).cast("double") / n
+    return clustered.groupBy("prediction").agg(
+        n.alias("item_count"), F.round(F.sum(x).cast("double") / n, 4).alias("mean_count"), F.round(spread, 4).alias("cost")
+    )
+
+
 def label_clusters(clustered: DataFrame) -> DataFrame:
     """Name clusters by their mean popularity: the highest mean -> hotspot, the lowest ->
     hidden gem (which wins when both are the same cluster), others -> regular. Equal means

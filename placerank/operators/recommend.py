@@ -245,3 +245,19 @@ def listing_feature_arrays(listings: DataFrame) -> DataFrame:
         vector_to_array("feature_vector").alias("feature_vector"),
         vector_to_array("normalised_features").alias("normalised_features"),
     )
+
+
+def listing_feature_vectors(listings: DataFrame) -> DataFrame:
+    """The feature vectors from ``listing_feature_columns``: (listing_id, room_type_index,
+    feature_vector, normalised_features), arrays of three doubles (room_type_index, guest_bucket,
+    stars_normalised; NULL stars as 0.0) and the same divided by their length (a zero vector stays
+    zero). Equal to ``listing_feature_arrays``, but the labels are a written table that is joined:
+    no label array on the driver, however many room types there are."""
+    columns = listing_feature_columns(listings)
+    raw = columns.select("listing_id", "room_type_index", F.array(
+        F.col("room_type_index").cast("double"), F.col("guest_bucket").cast("double"), F.coalesce("stars_normalised", F.lit(0.0))
+    ).alias("feature_vector"))
+    v = [F.element_at("feature_vector", i) for i in (1, 2, 3)]
+    length = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    unit = F.transform("feature_vector", lambda x: F.when(length > 0, x / length).otherwise(x))
+    return raw.withColumn("normalised_features", unit)

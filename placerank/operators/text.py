@@ -19,7 +19,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -147,3 +147,58 @@ def tfidf_vectors(posts: DataFrame, num_features: int = 1000,
         F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda acc, x: acc + x).cast("long").alias("n_terms"),
         vector_to_array("_tfidf").alias("tfidf"),
     )
+
+
+BUCKETINGS = ("mllib", "md5")
+
+
+def _bucket(term: str, num_features: int, how: str) -> Column:
+    """Hash bucket of a term without Python: 'md5' takes the digest's first 32 bits; 'mllib' is
+    HashingTF's bucket, read off the hashed vector of the column ``_one`` (the term alone)."""
+    if how == "md5":
+        return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % F.lit(num_features)).cast("int")
+    return (F.array_position(vector_to_array("_hashed"), F.lit(1.0)) - 1).cast("int")
+
+
+def tfidf_buckets(posts: DataFrame, num_features: int = 1000, stop_words: tuple[str, ...] | None = None,
+                  buckets: str = "mllib") -> DataFrame:
+    """Hashed TF-IDF as rows: (item, bucket, tf, doc_freq, tfidf), one row per bucket that an item's
+    posts fill. ``tf`` counts the terms of the bucket, ``doc_freq`` the items that fill it, and
+    ``tfidf = tf * ln((m + 1) / (doc_freq + 1))`` rounded to 6 decimals.
+
+    The values are those of ``tfidf_vectors`` (``buckets="mllib"``), but no vector of
+    ``num_features`` numbers is made per item: counts per (item, term) are combined before the
+    shuffle, a term is hashed once per item, and only filled buckets are kept. The per-bucket table
+    has at most ``num_features`` rows, which bounds its broadcast."""
+    require_columns(posts, "item", "text")
+    if buckets not in BUCKETINGS:
+        raise ValueError(f"buckets must be one of {BUCKETINGS}")
+    stop = english_stop_words() if stop_words is None else tuple(stop_words)
+    counts = _terms(posts, stop).groupBy("item", "term").agg(F.count(F.lit(1)).alias("_n"))
+    if buckets == "mllib":
+        hashing = HashingTF(inputCol="_one", outputCol="_hashed", numFeatures=num_features)
+        counts = hashing.transform(counts.withColumn("_one", F.array("term")))
+    hashed = counts.select("item", _bucket("term", num_features, buckets).alias("bucket"), "_n")
+    filled = hashed.groupBy("item", "bucket").agg(F.sum("_n").alias("tf"))
+    # Summed from the counts, so that both readers keep one (item, bucket) exchange.
+    doc_freq = filled.groupBy("bucket").agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("doc_freq"))
+    idf = F.log((F.col("_m").cast("double") + 1.0) / (F.col("doc_freq").cast("double") + 1.0))
+    per_bucket = attach_stats(doc_freq, posts, count_values_with_null("item").alias("_m"))
+    per_bucket = per_bucket.select(F.col("bucket").alias("_bucket"), "doc_freq", idf.alias("_idf"))
+    joined = filled.join(F.broadcast(per_bucket), F.col("bucket") == F.col("_bucket"))
+    return joined.select("item", "bucket", "tf", "doc_freq",
+                         F.round(F.col("tf").cast("double") * F.col("_idf"), TFIDF_DECIMALS).alias("tfidf"))
+
+
+def tfidf_sparse_vectors(posts: DataFrame, num_features: int = 1000, stop_words: tuple[str, ...] | None = None,
+                         buckets: str = "mllib") -> DataFrame:
+    """``tfidf_buckets`` as one sparse vector per item: (item, n_terms, indices array<int>, values
+    array<double>), indices rising. An item without terms has empty arrays. A vector holds the
+    item's filled buckets, ``num_features`` at most."""
+    filled = tfidf_buckets(posts, num_features, stop_words, buckets).select("item", "bucket", "tf", "tfidf")
+    none = posts.select("item", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("long").alias("tf"), F.lit(None).cast("double").alias("tfidf"))
+    entry = F.when(F.col("bucket").isNotNull(), F.struct("bucket", "tfidf"))
+    packed = filled.unionByName(none.distinct()).groupBy("item").agg(
+        F.coalesce(F.sum("tf"), F.lit(0)).alias("n_terms"), F.sort_array(F.collect_list(entry)).alias("_entries")
+    )
+    return packed.select("item", "n_terms", F.col("_entries.bucket").alias("indices"), F.col("_entries.tfidf").alias("values"))

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..sources import bindings
+from ..session import shared_path
+from ..sources import bindings, read_listings, read_posts, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,7 @@ HYBRID_ARGS = ("Any", 2, 4.0, 10)  # room type, guests, min stars, n
 HYBRID_TYPED_ARGS = ("small", 3, 3.5, 10)  # with a room-type filter
 ROOM_RANKING_N = 10
 KMEANS_K = 4
+HASHED_FEATURES = 1000
 SAMPLES_N = 5
 SCORE_BAND_WIDTH = 25.0  # deterministic cluster ids (score bands) for the label oracle checks
 SCORE_BANDS = 4
@@ -80,7 +82,27 @@ def _fixed_clusters(spark: SparkSession, sf_dir: str, binding: Query = bindings.
     return op.label_clusters(with_ids.select("item", "grp", "review_count", "popularity_score", "prediction"))
 
 
+CSV_KEPT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _posts_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts written as CSV with quoted line breaks and read back in splits."""
+    path = shared_path(spark, "posts-csv")
+    write_csv(bindings.posts(spark, sf_dir), path)
+    return read_posts(spark, path, fmt="csv", options=CSV_KEPT, multiline="split")
+
+
+def _listings_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uncleaned listings written as CSV, read back in splits and cleaned."""
+    path = shared_path(spark, "listings-csv")
+    write_csv(bindings.listings_raw(spark, sf_dir), path)
+    return op.clean_listings(read_listings(spark, path, fmt="csv", options=CSV_KEPT, multiline="split"))
+
+
 QUERIES: dict[str, Query] = {
+    # sources
+    "posts_from_csv": _posts_from_csv,
+    "listings_from_csv": _listings_from_csv,
     # counting (posts)
     "top_items": lambda s, d: op.top_items(bindings.posts(s, d), TOP_ITEMS_N),
     "group_counts": lambda s, d: op.group_counts(bindings.posts(s, d)),
@@ -123,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_terms": lambda s, d: op.tfidf_terms(bindings.posts(s, d)),
     "top_tfidf_terms": lambda s, d: op.top_tfidf_terms(op.tfidf_terms(bindings.posts(s, d)), TOP_TERMS_N),
     "tfidf_vectors": lambda s, d: op.tfidf_vectors(bindings.posts(s, d)),
+    "tfidf_buckets": lambda s, d: op.tfidf_buckets(bindings.posts(s, d), HASHED_FEATURES, buckets="md5"),
     # keyword ranking and its result summaries
     "keyword_ranking": _keyword_result,
     "keyword_ranking_item_join": lambda s, d: op.keyword_ranking(
@@ -152,6 +175,8 @@ QUERIES: dict[str, Query] = {
     ),
     # clustering
     "cluster_items": lambda s, d: op.cluster_items(op.popularity_score(bindings.sales(s, d)), KMEANS_K),
+    "cluster_items_optimal": lambda s, d: op.optimal_clusters(op.popularity_score(bindings.sales(s, d)), KMEANS_K),
+    "cluster_cost": lambda s, d: op.cluster_cost(op.optimal_clusters(op.popularity_score(bindings.sales(s, d)), KMEANS_K)),
     "label_clusters": _fixed_clusters,
     "cluster_summary": lambda s, d: op.cluster_summary(_fixed_clusters(s, d)),
     "cluster_samples": lambda s, d: op.cluster_samples(_fixed_clusters(s, d), SAMPLES_N),
@@ -161,6 +186,11 @@ QUERIES: dict[str, Query] = {
     "room_types": lambda s, d: op.room_types(_listings(s, d)),
     "listing_feature_columns": lambda s, d: op.listing_feature_columns(_listings(s, d)),
     "listing_features": lambda s, d: op.listing_feature_arrays(_listings(s, d)),
+    "listing_feature_vectors": lambda s, d: op.listing_feature_vectors(_listings(s, d)).select(
+        "listing_id", "room_type_index",
+        *[F.element_at("feature_vector", i).alias(f"feature_{i}") for i in (1, 2, 3)],
+        *[F.round(F.element_at("normalised_features", i), 9).alias(f"normalised_{i}") for i in (1, 2, 3)],
+    ),
     # recommendations
     "content_recommendations": _content,
     "room_type_ranking": _room_types_ranked,

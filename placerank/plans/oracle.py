@@ -237,6 +237,36 @@ def _tfidf_ctes() -> str:
     )
 
 
+def _buckets_select() -> str:
+    stop = lit_list(english_stop_words())
+    return (
+        f"tk AS (SELECT item, unnest(regexp_split_to_array(lower(text), '{WHITESPACE_CLASS}')) AS term FROM posts), "
+        f"bt AS (SELECT item, CAST(CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % {q.HASHED_FEATURES} AS INTEGER) AS bucket, "
+        f"count(*) AS tf FROM tk WHERE term <> '' AND term NOT IN ({stop}) GROUP BY 1, 2), "
+        "bd AS (SELECT bucket, count(*) AS doc_freq FROM bt GROUP BY bucket), "
+        f"tm AS (SELECT {values_with_null('item')} AS m FROM posts) "
+        "SELECT item, bt.bucket, tf, doc_freq, "
+        + sround(f"CAST(tf AS DOUBLE) * ln((CAST(m AS DOUBLE) + {d(1)}) / (CAST(doc_freq AS DOUBLE) + {d(1)}))", TFIDF_DECIMALS)
+        + " AS tfidf FROM bt JOIN bd ON bt.bucket = bd.bucket, tm"
+    )
+
+
+def _optimal_ctes() -> str:
+    """The best four intervals of the count, by trying every three cuts of its histogram."""
+    return (
+        f"{POP.format(src='sales')}, "
+        "hi AS (SELECT review_count AS x, count(*) AS w, row_number() OVER (ORDER BY review_count) AS i FROM popr GROUP BY review_count), "
+        "hc AS (SELECT i, x, sum(w) OVER o AS cw, sum(w * x) OVER o AS cx, sum(w * x * x) OVER o AS cxx FROM hi WINDOW o AS (ORDER BY i) "
+        "UNION ALL SELECT 0, NULL, 0, 0, 0), "
+        "sg AS (SELECT a.i AS a, b.i AS b, CAST((b.cw - a.cw) * (b.cxx - a.cxx) - (b.cx - a.cx) * (b.cx - a.cx) AS DOUBLE) "
+        "/ CAST(b.cw - a.cw AS DOUBLE) AS c FROM hc a JOIN hc b ON a.i < b.i), "
+        "ct AS (SELECT p.b AS p, q.b AS q, r.b AS r FROM sg p JOIN sg q ON q.a = p.b JOIN sg r ON r.a = q.b JOIN sg t ON t.a = r.b "
+        "WHERE p.a = 0 AND t.b = (SELECT max(i) FROM hi) ORDER BY p.c + q.c + r.c + t.c, p.b, q.b, r.b LIMIT 1), "
+        "oc AS (SELECT item, grp, review_count, popularity_score, CAST(CASE WHEN i <= p THEN 0 WHEN i <= q THEN 1 WHEN i <= r THEN 2 "
+        "ELSE 3 END AS INTEGER) AS prediction FROM popr JOIN hi ON review_count = x, ct)"
+    )
+
+
 def _top_words_cte(n: int) -> str:
     return (
         "tw AS (SELECT word, count(*) AS frequency FROM "
@@ -263,8 +293,29 @@ _room, _guests, _min_stars, _n = q.HYBRID_ARGS
 _croom, _cguests, _cn = q.CONTENT_ARGS
 _m = PROFILE_METRICS
 
+def _feature_vectors(columns: str) -> str:
+    """The vectors of the scalar features' query and their unit form."""
+    v = ["CAST(room_type_index AS DOUBLE)", "CAST(guest_bucket AS DOUBLE)", f"coalesce(stars_normalised, {d(0)})"]
+    size = f"sqrt({' + '.join(f'{x} * {x}' for x in v)})"
+    plain = ", ".join(f"{x} AS feature_{i}" for i, x in enumerate(v, 1))
+    unit = ", ".join(sround(f"CASE WHEN {size} > 0 THEN {x} / {size} ELSE {x} END", 9) + f" AS normalised_{i}" for i, x in enumerate(v, 1))
+    return f"SELECT listing_id, room_type_index, {plain}, {unit} FROM ({columns})"
+
+
 def oracle_queries() -> dict[str, str]:
     """DuckDB SQL by query name; built when asked for, nothing is done at import."""
+    features = (
+        f"{W}, {LISTINGS}, "
+        "lb AS (SELECT room_type, count(*) AS f FROM listings WHERE room_type IS NOT NULL GROUP BY room_type), "
+        "li AS (SELECT room_type, CAST(row_number() OVER (ORDER BY f DESC, room_type ASC) - 1 AS INTEGER) AS idx FROM lb), "
+        "nl AS (SELECT CAST(count(*) AS INTEGER) AS n_labels FROM lb), "
+        "lm AS (SELECT CAST(min(stars) AS DOUBLE) AS mn, CAST(max(stars) AS DOUBLE) AS mx FROM listings) "
+        "SELECT l.listing_id, CASE WHEN l.guests = 1 THEN 1 WHEN l.guests = 2 THEN 2 "
+        "WHEN l.guests BETWEEN 3 AND 4 THEN 3 WHEN l.guests >= 5 THEN 4 ELSE 1 END AS guest_bucket, "
+        f"(CAST(l.stars AS DOUBLE) - mn) / NULLIF(mx - mn, {d(0)}) AS stars_normalised, "
+        "coalesce(li.idx, n_labels) AS room_type_index "
+        "FROM listings l LEFT JOIN li ON l.room_type = li.room_type, nl, lm"
+    )
     return {
         "top_items": f"{W} SELECT item, count(*) AS review_count FROM posts GROUP BY item "
         f"ORDER BY review_count DESC, item ASC NULLS FIRST LIMIT {q.TOP_ITEMS_N}",
@@ -316,6 +367,16 @@ def oracle_queries() -> dict[str, str]:
         "SELECT CAST(to_json(map_from_entries(list({'k': word, 'v': frequency} ORDER BY word))) AS VARCHAR) "
         "AS word_freq_json FROM tw",
         "tfidf_terms": f"{W}, {_tfidf_ctes()} SELECT * FROM tt",
+        "tfidf_buckets": f"{W}, {_buckets_select()}",
+        "cluster_items_optimal": f"{W}, {_optimal_ctes()} SELECT * FROM oc",
+        "cluster_cost": f"{W}, {_optimal_ctes()} SELECT prediction, count(*) AS item_count, "
+        + sround("CAST(sum(review_count) AS DOUBLE) / count(*)", 4)
+        + " AS mean_count, "
+        + sround("CAST(sum(review_count * review_count) AS DOUBLE) - CAST(sum(review_count) AS DOUBLE) * CAST(sum(review_count) AS DOUBLE) "
+                 "/ count(*)", 4)
+        + " AS cost FROM oc GROUP BY prediction",
+        "posts_from_csv": f"{W} SELECT * FROM posts",
+        "listings_from_csv": f"{W}, {LISTINGS} SELECT * FROM listings",
         "top_tfidf_terms": f"{W}, {_tfidf_ctes()} SELECT * FROM (SELECT *, CAST(row_number() OVER "
         f"(PARTITION BY item ORDER BY tfidf DESC, term ASC) AS INTEGER) AS term_rank FROM tt) "
         f"WHERE term_rank <= {q.TOP_TERMS_N}",
@@ -351,16 +412,8 @@ def oracle_queries() -> dict[str, str]:
         + " AS avg_stars, max(guests) AS max_guests FROM listings",
         "room_types": f"{W}, {LISTINGS} SELECT room_type FROM (SELECT 'Any' AS room_type, 0 AS o "
         "UNION ALL SELECT DISTINCT room_type, 1 AS o FROM listings) ORDER BY o, room_type ASC NULLS FIRST",
-        "listing_feature_columns": f"{W}, {LISTINGS}, "
-        "lb AS (SELECT room_type, count(*) AS f FROM listings WHERE room_type IS NOT NULL GROUP BY room_type), "
-        "li AS (SELECT room_type, CAST(row_number() OVER (ORDER BY f DESC, room_type ASC) - 1 AS INTEGER) AS idx FROM lb), "
-        "nl AS (SELECT CAST(count(*) AS INTEGER) AS n_labels FROM lb), "
-        "lm AS (SELECT CAST(min(stars) AS DOUBLE) AS mn, CAST(max(stars) AS DOUBLE) AS mx FROM listings) "
-        "SELECT l.listing_id, CASE WHEN l.guests = 1 THEN 1 WHEN l.guests = 2 THEN 2 "
-        "WHEN l.guests BETWEEN 3 AND 4 THEN 3 WHEN l.guests >= 5 THEN 4 ELSE 1 END AS guest_bucket, "
-        f"(CAST(l.stars AS DOUBLE) - mn) / NULLIF(mx - mn, {d(0)}) AS stars_normalised, "
-        "coalesce(li.idx, n_labels) AS room_type_index "
-        "FROM listings l LEFT JOIN li ON l.room_type = li.room_type, nl, lm",
+        "listing_feature_columns": features,
+        "listing_feature_vectors": _feature_vectors(features),
         "content_recommendations": f"{W}, {LISTINGS}, {_content_ctes(_croom, _cguests, _cn)} SELECT * FROM cr",
         "room_type_ranking": f"{W}, {LISTINGS} SELECT room_type, "
         + sround("avg(CAST(stars AS DOUBLE))", 2)
