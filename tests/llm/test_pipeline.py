@@ -28,7 +28,7 @@ def stages(spark, tmp_path_factory):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "substring_dedup", "mixing", "packing"]
 
 
