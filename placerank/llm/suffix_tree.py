@@ -1,28 +1,35 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Symbols are the words of the training documents, one end per text, and one symbol for all words
-that were not met. A state is a context of up to ``DEPTH`` symbols before the next one; the end
-of the text before opens a text. A context is kept as a state if
+Symbols are the words of the training documents, one end per text, and the words that were not
+met. A state is a context of up to ``DEPTH`` symbols before the next one; the end of the text
+before opens a text. A context is kept as a state if
 
-* it has at least ``SHARE`` of all training symbols (Ron, Singer and Tishby's lower bound of a
-  state's probability, which bounds the number of contexts of each length by 1 / SHARE), and
+* it has at least a share of 1 / (``STATES`` x cube root of the training symbols) of them (Ron,
+  Singer and Tishby's lower bound of a state's probability), and
 * its next-symbol distribution diverges from that of the next shorter state: the log likelihood
   it gains on its own counts beats half its number of parameters times log(count).
 
-In a state, next symbols that follow it at least SHARE of the time have a count of their own,
-smoothed with ``PRIOR`` pseudo-counts of the shorter state; all others share what is left in
-proportion to the shorter state, so that every distribution sums to one. The root has every
-word of the training documents, by its count, and leaves the unmet the share of words met once
-(Good and Turing). A symbol is scored in the state of its longest kept suffix.
+In a state, next symbols that make a sequence of that share have a count of their own, smoothed
+with ``PRIOR`` pseudo-counts of the shorter state; all others share what is left in proportion to
+the shorter state, so that every distribution sums to one. The root has every word of the
+training documents, by its count, and leaves the unmet the share of words met once (Good and
+Turing). That mass is spread over spellings: a chain of bytes up to the word's end, counted over
+the distinct training words, so that a text's score is the log10 of a probability (spellings of
+met words keep theirs unused: all texts together have at most one). A symbol is scored in the
+state of its longest kept suffix.
 
 All counts cover all training documents: words first, then pairs of frequent words, then longer
-sequences whose parts are frequent. The tree is bounded by SHARE and is broadcast. The root's
-counts grow with the corpus: those of frequent words are broadcast, those of all other words
-are joined with each document's words. The unigram base comes from the same counts.
+sequences whose parts are frequent, read from a table of word numbers that is written once. The
+tree grows with the cube root of the corpus, STATES x that root being the most sequences of each
+length that can have the share: a bound of 20 million at 10^13 symbols, where the tree is still a
+broadcast. The root's counts grow with the vocabulary: those of frequent words are broadcast,
+those of all other words are joined with each document's words. The unigram base comes from the
+same counts.
 
 Defined cases: a null or empty text is the end alone; repeated rows are documents of their own;
-a null doc_id is neither held out nor learned from; without training documents nothing is known
-and every symbol is the unmet one; an empty table gives no rows; other columns are left out.
+a null doc_id is neither held out nor learned from; without training documents nothing is known,
+half of the root is the end's and every word is an unmet one of evenly likely bytes; an empty
+table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -39,10 +46,37 @@ from pyspark.sql import functions as F
 from .common import lower_words_of, map_batches, mix64, raw_texts, small_batches, written
 
 DEPTH = 4
-SHARE = 2.0**-16
+STATES = 800.0  # times the cube root of the training symbols: most sequences of a length
 PRIOR = 2.0
-SHIFT = 20  # bits of a word number
+SHIFT = 31  # bits of a word number
 MOST_REMEMBERED = 300_000
+EDGE = 256  # before and after a word's bytes
+PAIRS = (EDGE + 1) ** 2
+
+
+def spelling_pairs(words: list[bytes]):
+    """Places in the table of byte pairs, and the word of each, for all steps from a word's start
+    to its end; a megabyte at a time."""
+    data = np.frombuffer(b"\n".join([b"", *words, b""]), dtype=np.uint8)  # no word has a line end
+    word = -1
+    for at in range(0, len(data) - 1, 1 << 20):
+        symbols = data[at : at + (1 << 20) + 1].astype(np.int64)
+        edge = symbols == 10
+        symbols[edge] = EDGE
+        owner = word + np.cumsum(edge[:-1])
+        word = int(owner[-1])
+        yield symbols[:-1] * (EDGE + 1) + symbols[1:], owner
+
+
+def spelling_log10(counts: np.ndarray) -> np.ndarray:
+    """log10 probabilities of byte pairs from their counts, half a count added to every byte that a
+    lower-cased word can hold; a word has at least one byte."""
+    can = np.ones(EDGE + 1, dtype=bool)
+    can[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, *range(ord("A"), ord("Z") + 1)]] = False
+    table = counts.reshape(EDGE + 1, EDGE + 1) + 0.5 * can
+    table[EDGE, EDGE] = 0.0
+    with np.errstate(divide="ignore"):
+        return np.log10(table / table.sum(axis=1, keepdims=True)).ravel()
 
 
 class LongTable:
@@ -85,12 +119,14 @@ class SuffixTree:
     the last word in the state of the first k (by number, 0: not a state), ``rest[k - 1]`` the
     factor of the shorter state's distribution in a state of k words (nan: not a state)."""
 
-    def __init__(self, words: list[bytes], counts: list[int], n_docs: int, n_tokens: int, n_distinct: int, n_once: int):
+    def __init__(self, words: list[bytes], counts: list[int], n_docs: int, n_tokens: int, n_distinct: int, n_once: int,
+                 spelling: np.ndarray | None = None):
         self.number = {w: i + 1 for i, w in enumerate(words)}
         self.end = len(words) + 1
         self.met = n_distinct > 0
-        self.unmet = min(0.5, max(n_once, 1) / (n_tokens + n_distinct + 1)) if self.met else 1.0
+        self.unmet = min(0.5, max(n_once, 1) / (n_tokens + n_distinct + 1)) if self.met else 0.5
         self.space = n_tokens + n_distinct
+        self.spelling = spelling_log10(np.zeros(PAIRS) if spelling is None else spelling)
         self.counts = np.array([0, *counts, n_docs], dtype=np.int64)
         self.root = np.zeros(len(words) + 2)  # of a rare word: the join adds it
         self.root[1:] = np.log10((1 - self.unmet) * (self.counts[1:] + 1) / self.space) if self.met else 0.0
@@ -103,6 +139,15 @@ class SuffixTree:
         self.logp: list[np.ndarray] = []
         self.rest: list[np.ndarray] = []
 
+    def spelled(self, words: list[bytes]) -> np.ndarray:
+        """log10 probability of words' spellings."""
+        out = np.zeros(len(words))
+        for pair, owner in spelling_pairs(words) if words else ():
+            first = int(owner[0])
+            sums = np.bincount(owner - first, weights=self.spelling[pair])
+            out[first : first + len(sums)] += sums
+        return out
+
     def numbered(self, bags: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of texts in a row, an end before the first and after each, and the place
         of each text's end."""
@@ -202,7 +247,7 @@ class SuffixTree:
 
     def root_log10(self, n):
         """Column: log10 probability at the root of a word that occurs n times in training
-        (null: unmet)."""
+        (null: unmet, its spelling left out)."""
         unmet = F.lit(math.log10(self.unmet))
         if not self.met:
             return unmet
@@ -231,10 +276,40 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def sequence_counts(docs: DataFrame, tree: SuffixTree, least: int) -> DataFrame:
-    """(code, n): sequences one word longer than the tree's, counted over all of ``docs``."""
+def pair_counts(vocabulary: DataFrame) -> np.ndarray:
+    """Counts of byte pairs over the distinct words; at most ``PAIRS`` rows reach the driver."""
+
+    def count(batches):
+        total = np.zeros(PAIRS, dtype=np.int64)
+        for batch in small_batches(batches, "word"):
+            for pair, _ in spelling_pairs(raw_texts(batch.column("word"))):
+                total += np.bincount(pair, minlength=PAIRS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["pair", "n"])
+
+    out = np.zeros(PAIRS)
+    for r in map_batches(vocabulary.select("word"), count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out
+
+
+def numbered_texts(docs: DataFrame, tree: SuffixTree) -> DataFrame:
+    """(ids): word numbers of some megabytes of texts in a row, as 32-bit integers."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
 
+    def number(batches):
+        model = shared.value
+        for batch in small_batches(batches, most_bytes=1 << 20):
+            ids, _ = model.numbered([lower_words_of(t) for t in raw_texts(batch.column("text"))])
+            yield pa.RecordBatch.from_arrays([pa.array([ids.astype("<i4").tobytes()], pa.binary())], names=["ids"])
+
+    return map_batches(docs.select("text"), number, "ids binary")
+
+
+def sequence_counts(numbered: DataFrame, tree: SuffixTree, least: int) -> DataFrame:
+    """(code, n): sequences one word longer than the tree's, counted over all numbered texts."""
+    shared = numbered.sparkSession.sparkContext.broadcast(tree)
+
     def count(batches):
         model = shared.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -243,8 +318,10 @@ def sequence_counts(docs: DataFrame, tree: SuffixTree, least: int) -> DataFrame:
             codes, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
             return codes, np.bincount(back, weights=np.concatenate([n for _, n in held]), minlength=len(codes)).astype(np.int64)
 
-        for batch in small_batches(batches):
-            ids, _ = model.numbered([lower_words_of(t) for t in raw_texts(batch.column("text"))])
+        for batch in small_batches(batches, "ids"):
+            # Every row opens and closes with an end: where two meet, one is left.
+            rows = [np.frombuffer(x, "<i4") for x in batch.column("ids").to_pylist()]
+            ids = np.concatenate([rows[0], *(r[1:] for r in rows[1:])]).astype(np.int64)
             codes, n = np.unique(model.candidates(ids), return_counts=True)
             held.append((codes, n))
             if sum(len(c) for c, _ in held) > 2_000_000:
@@ -256,29 +333,40 @@ def sequence_counts(docs: DataFrame, tree: SuffixTree, least: int) -> DataFrame:
             codes, n = merged()
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
 
-    rows = map_batches(docs.select("text"), count, "code bigint, n bigint")
+    rows = map_batches(numbered, count, "code bigint, n bigint")
     return rows.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def learn(training: DataFrame, vocabulary: DataFrame, n_docs: int, depth: int = DEPTH, share: float = SHARE) -> tuple[SuffixTree, int, int]:
+def least_count(tokens: int, share: float | None = None) -> int:
+    """Occurrences that a word or sequence needs to be numbered: a share of the symbols, by
+    default 1 / (``STATES`` x their cube root)."""
+    return max(2, math.ceil(tokens * share if share else tokens ** (2 / 3) / STATES))
+
+
+def learn(training: DataFrame, vocabulary: DataFrame, n_docs: int, depth: int = DEPTH,
+          share: float | None = None) -> tuple[SuffixTree, int, int]:
     """The tree of training documents (text) and of their words (word, n); the numbers of their
     tokens and of distinct ones. What reaches the driver is bounded: 1 / share words and as many
     sequences of each length."""
     found = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                            F.count(F.when(F.col("n") == 1, 1)).alias("once")).first()
     tokens, distinct = (found["n"] or 0) + n_docs, found["v"] + (n_docs > 0)
-    least = max(2, math.ceil(share * tokens))
+    least = least_count(tokens, share)
     frequent = vocabulary.where(F.col("n") >= least).toPandas().sort_values("word")
-    tree = SuffixTree([bytes(w) for w in frequent["word"]], frequent["n"].tolist(), n_docs, tokens, distinct, found["once"])
+    tree = SuffixTree([bytes(w) for w in frequent["word"]], frequent["n"].tolist(), n_docs, tokens, distinct,
+                      found["once"], pair_counts(vocabulary))
+    if not n_docs:
+        return tree, tokens, distinct
+    numbered = written(numbered_texts(training, tree), "numbered")
     for _ in range(depth):
-        rows = sequence_counts(training, tree, least).toPandas().sort_values("code")
+        rows = sequence_counts(numbered, tree, least).toPandas().sort_values("code")
         if not len(rows):
             break
         tree.add_level(rows["code"].to_numpy(dtype=np.int64), rows["n"].to_numpy(dtype=np.int64))
     return tree, tokens, distinct
 
 
-def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share: float = SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share: float | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document;
     the model learns from rows with a doc_id that are not held out."""
     spark = docs.sparkSession
@@ -290,8 +378,8 @@ def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share
     tree, tokens, distinct = learn(training, vocabulary, n_docs, depth, share)
     space = tokens + distinct + 1
     shared = spark.sparkContext.broadcast(tree)
-    names = ["uid", "doc_id", "held_out", "word", "times", "n_tokens", "n_known", "base", "score"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    names = ["uid", "doc_id", "held_out", "word", "times", "n_tokens", "n_known", "base", "score", "spelt"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
 
     def score(batches):
         model = shared.value
@@ -306,11 +394,12 @@ def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share
             low = np.add.reduceat(base[ids[1:]], begins)
             total = np.add.reduceat(model.score(ids), begins)
             out: list[tuple] = []
+            rare = [Counter(w for w in bag if w not in model.number) for bag in bags]
+            spelt = iter(model.spelled([w for bag in rare for w in bag]).tolist())
             for i, (doc, held) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), strict=True)):
-                rare = Counter(w for w in bags[i] if w not in model.number)
-                out += [(uid, None, None, w, n, 0, 0, 0.0, 0.0) for w, n in rare.items()]
+                out += [(uid, None, None, w, n, 0, 0, 0.0, 0.0, next(spelt)) for w, n in rare[i].items()]
                 # No word has a line end: a key of its own that meets no word.
-                out.append((uid, doc, held, b"\n%d" % uid, 0, len(bags[i]) + 1, int(known[i]), float(low[i]), float(total[i])))
+                out.append((uid, doc, held, b"\n%d" % uid, 0, len(bags[i]) + 1, int(known[i]), float(low[i]), float(total[i]), 0.0))
                 uid += 1
             columns = zip(*out, strict=True) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -318,13 +407,14 @@ def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share
     parts = map_batches(
         rows, score,
         "uid bigint, doc_id bigint, held_out boolean, word binary, times bigint, n_tokens bigint, n_known bigint, "
-        "base double, score double",
+        "base double, score double, spelt double",
     )
     counts = vocabulary.select(F.col("word").alias("_word"), "n")
     joined = parts.join(counts, F.col("word") == F.col("_word"), "left")
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))
     base = F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + F.lit(1.0)) / F.lit(float(space)))
-    root = F.col("times") * tree.root_log10(F.col("n"))
+    spelt = F.when(F.col("n").isNull(), F.col("spelt")).otherwise(F.lit(0.0))
+    root = F.col("times") * (tree.root_log10(F.col("n")) + spelt)
     sums = joined.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + known).alias("n_known"), F.sum(F.col("base") + base).alias("base_score"),

@@ -10,9 +10,9 @@ import pyspark.sql.functions as F
 import pytest
 
 from placerank.llm.language import remainder
-from placerank.llm.suffix_tree import LongTable, learn, score_documents, word_counts
+from placerank.llm.suffix_tree import LongTable, PRIOR, SuffixTree, learn, least_count, score_documents, word_counts
 
-from .conftest import words
+from .conftest import SF, words
 
 
 def _texts(n):
@@ -88,9 +88,111 @@ def test_states_are_frequent_contexts_whose_distributions_sum_to_one(spark, docs
     assert states >= 2
 
 
+class Brute:
+    """The model from the module's description, with dictionaries and recursion."""
+
+    def __init__(self, lines, least, depth):
+        self.count = Counter(tuple(w[i : i + k]) for w in lines for k in range(1, depth + 2) for i in range(len(w) - k + 1))
+        words_ = Counter(w for line in lines for w in line[1:])
+        self.words, self.least, self.depth = words_, least, depth
+        self.n, self.v = sum(words_.values()), len(words_)
+        self.count[(None,)] = words_[None]
+        self.unmet = min(0.5, max(1, sum(c == 1 for w, c in words_.items() if w is not None)) / (self.n + self.v + 1))
+        self.pairs = Counter(p for w in words_ if w is not None for p in zip([256, *w], [*w, 256], strict=True))
+        self.after = Counter(a for w in words_ if w is not None for a in [256, *w])
+        self.next = {}
+        for gram, c in self.count.items():
+            if len(gram) > 1 and c >= least and None not in gram[1:-1]:
+                self.next.setdefault(gram[:-1], []).append(gram[-1])
+        self.known = {}
+
+    def root(self, w):
+        if w in self.words:
+            return math.log10((1 - self.unmet) * (self.words[w] + 1) / (self.n + self.v))
+        can = 257 - 32  # bytes but six blanks and A-Z, and the end; no end at a word's start
+        return math.log10(self.unmet) + sum(
+            math.log10((self.pairs[a, b] + 0.5) / (self.after[a] + 0.5 * (can - (a == 256)))) for a, b in zip([256, *w], [*w, 256], strict=True)
+        )
+
+    def state(self, context):
+        """Counts' probabilities and the factor of all others; None: not a state."""
+        if context not in self.known:
+            n, follow = self.count[context], self.next.get(context, [])
+            found = None
+            if follow:
+                c = [self.count[(*context, w)] for w in follow]
+                q = [10 ** self.log10(context[1:], w) for w in follow]
+                left, left_q = max(n - sum(c), 0.5), max(1 - sum(q), 1e-12)
+                gain = sum(a * math.log(a / n / b) for a, b in zip(c, q, strict=True)) + left * math.log(left / n / left_q)
+                if gain > 0.5 * len(c) * math.log(max(n, 2)):
+                    p = [(a + PRIOR * b) / (n + PRIOR) for a, b in zip(c, q, strict=True)]
+                    found = dict(zip(follow, p, strict=True)), max(1 - sum(p), 1e-12) / left_q
+            self.known[context] = found
+        return self.known[context]
+
+    def log10(self, context, w):
+        if not context:
+            return self.root(w)
+        found = self.state(context)
+        if found is None:
+            return self.log10(context[1:], w)
+        return math.log10(found[0][w]) if w in found[0] else math.log10(found[1]) + self.log10(context[1:], w)
+
+    def score(self, line):
+        return sum(self.log10(tuple(line[max(0, i - self.depth) : i]), line[i]) for i in range(1, len(line)))
+
+
+def test_scores_equal_brute_force(spark, docs):
+    rows = [(r["doc_id"], [None, *(r["text"] or "").encode().lower().split(), None]) for r in docs.collect()]
+    held = {i: i is not None and (i >= 1000 or zlib.crc32(str(i).encode()) % 7 == 2) for i, _ in rows}
+    training = [w for i, w in rows if i is not None and not held[i]]
+    for share, depth in ((2.0**-8, 4), (2.0**-10, 3)):
+        model = Brute(training, least_count(sum(len(w) - 1 for w in training), share), depth)
+        got = score_documents(docs, (remainder(F.col("doc_id"), 7) == 2) | (F.col("doc_id") >= 1000), depth, share).collect()
+        want = sorted(model.score(w) for _, w in rows)
+        assert np.allclose(sorted(r["score"] for r in got), want, atol=1e-6)
+        by_id = {r["doc_id"]: r["score"] for r in got}
+        assert all(abs(by_id[i] - model.score(w)) < 1e-6 for i, w in rows)
+        assert sum(x is not None for x in model.known.values()) >= 3
+
+
+def test_spellings_are_a_distribution():
+    # All words of one and two bytes out of three, and what is left for longer ones.
+    counts = np.zeros(257 * 257)
+    counts[[256 * 257 + 97, 97 * 257 + 98, 98 * 257 + 256]] = (5, 3, 9)
+    tree = SuffixTree([], [], 1, 1, 1, 0, counts)
+    table = 10.0 ** tree.spelling.reshape(257, 257)
+    assert np.allclose(table.sum(axis=1), 1) and table[256, 256] == 0 and table[97, ord(" ")] == 0 and table[97, ord("Q")] == 0
+    long = bytes([97, 98] * 700_000)  # over a megabyte: summed in parts
+    got = tree.spelled([b"a", b"ab", long, b"b"])
+    steps = lambda w: sum(math.log10(table[a, b]) for a, b in zip([256, *w], [*w, 256], strict=True))
+    assert np.allclose(got, [steps(b"a"), steps(b"ab"), steps(long), steps(b"b")]) and len(tree.spelled([])) == 0
+
+
+def test_invented_words_score_below_real_text(spark):
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    r = random.Random(3)
+    fake = [(-1 - i, " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(200))) for i in range(5)]
+    everything = real.unionByName(spark.createDataFrame(fake, "doc_id bigint, text string"))
+    got = score_documents(everything, (remainder(F.col("doc_id"), 7) == 2) | (F.col("doc_id") < 0)).collect()
+    rate = {r["doc_id"]: r["score"] / r["n_tokens"] for r in got}
+    assert max(rate[i] for i, _ in fake) < min(rate[r["doc_id"]] for r in got if r["held_out"] and r["doc_id"] >= 0)
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    assert 10**9 / least_count(10**9) > 1.9 * 10**8 / least_count(10**8) > 0
+    found = []
+    for folder in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        training = spark.read.parquet(f"{folder}/documents.parquet").select("text")
+        tree, _, _ = learn(training, word_counts(training), training.count())
+        found.append((sum(len(t) - 1 for t in tree.totals), sum(int((~np.isnan(x)).sum()) for x in tree.rest)))
+    assert all(b > 2 * a for a, b in zip(*found, strict=True)), found
+
+
 def test_nothing_to_learn_from_and_odd_rows(spark, odd, nothing):
     assert score_documents(nothing, F.lit(False)).count() == 0
     none = score_documents(odd, F.lit(True)).collect()
-    assert len(none) == odd.count() and {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in none} == {(0, 0, 0.0, 0.0)}
+    assert len(none) == odd.count() and {(r["n_known"], r["train_tokens"], r["base_score"]) for r in none} == {(0, 0, 0.0)}
+    assert max(r["score"] for r in none) == math.log10(0.5)  # the end alone; spelt words have less
     got = score_documents(odd, remainder(F.col("doc_id"), 7) == 2).collect()
     assert len(got) == odd.count() and all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in got)
