@@ -138,14 +138,21 @@ def search_pair(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarr
     return row, found, score
 
 
+def query_blocks(wanted: DataFrame, scale: float) -> DataFrame:
+    """Blocks of the queries. Rows are sorted before they are numbered, whatever order the shuffle
+    brings them in: a block that is computed again, after an executor is lost, has the same rows
+    in the same places."""
+    n_blocks = max(1, -(-wanted.count() // QUERIES))
+    dealt = wanted.repartition(n_blocks, F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
+    return packed(dealt.sortWithinPartitions("vec_id", "vec"), scale, QUERIES)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, slots: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row of ``queries`` its k best rows of
     ``vectors``, both (vec_id, vec)."""
     slots = slots or shuffle_partitions(vectors.sparkSession)
     wanted = queries.select(F.col("vec_id").cast("long").alias("vec_id"), "vec")
-    n_blocks = max(1, -(-wanted.count() // QUERIES))
-    dealt = wanted.repartition(n_blocks, F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
-    q = packed(dealt, scale, QUERIES)
+    q = query_blocks(wanted, scale)
     c = packed(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vec"), scale, ROWS)
 
     # Query blocks are numbered by the driver (one number each); every one goes to all slots.

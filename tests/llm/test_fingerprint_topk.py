@@ -8,7 +8,7 @@ import pytest
 
 from placerank.llm.common import mix64
 from placerank.llm.fingerprint import K, S, anchors, as_text, edited_fingerprints, fingerprints, from_text, likeness
-from placerank.llm.topk import top_k
+from placerank.llm.topk import query_blocks, top_k
 
 from .conftest import words
 
@@ -96,3 +96,14 @@ def test_top_k_of_numbers_beyond_exact_doubles_and_of_nothing(spark):
     big = (256 * 10**14) ** 2
     assert got == [(0, 1, 1, min(2**63 - 1, big + 768 * 256)), (0, 2, 2, 2**63 - 1), (0, 3, 3, -(2**63))]
     assert top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_query_blocks_do_not_depend_on_the_order_of_arrival(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(int(i), rnd.normal(size=3).tolist()) for i in rnd.integers(0, 900, 2500)] + [(7, [1.0, 2.0, 3.0])] * 3
+    blocks = []
+    for seed in (1, 2):
+        order = np.random.default_rng(seed).permutation(len(rows))
+        df = spark.createDataFrame([rows[i] for i in order], "vec_id bigint, vec array<double>").repartition(3 + seed)
+        blocks.append(sorted((r["block"], r["n"], bytes(r["ids"]), bytes(r["data"])) for r in query_blocks(df, 256.0).collect()))
+    assert len(blocks[0]) > 1 and blocks[0] == blocks[1]
