@@ -10,7 +10,7 @@ from .aggregate import (
     top_items,
     value_options,
 )
-from .clean import clean_listings
+from .clean import clean_listings, observed_clean_listings, rejection_counts
 from .cluster import (
     best_cuts,
     cluster_cost,
@@ -21,7 +21,7 @@ from .cluster import (
     optimal_clusters,
 )
 from .evaluate import evaluate_recommendations
-from .profile import compare_profiles, listings_overview, posts_overview, profile
+from .profile import compare_profiles, listings_overview, merged_overview, overview_sketches, posts_overview, profile
 from .recommend import (
     content_recommendations,
     hybrid_recommendations,
@@ -90,6 +90,9 @@ __all__ = [
     "listing_feature_vectors",
     "listing_features",
     "listings_overview",
+    "merged_overview",
+    "observed_clean_listings",
+    "overview_sketches",
     "period_trend",
     "popularity_score",
     "posts_overview",
@@ -97,6 +100,7 @@ __all__ = [
     "rank_within",
     "ranking_summary",
     "recommendation_summary",
+    "rejection_counts",
     "room_type_distribution",
     "room_type_ranking",
     "room_types",

@@ -4,11 +4,15 @@ scan per input), instead of one action per number.
 Distinct counts are exact by default (as in the reference). ``approx_rsd`` switches them to
 HyperLogLog++ sketches, which merge partially per task: at scale an exact distinct count
 shuffles every distinct value (and several in one aggregate expand the rows once per
-column), a sketch shuffles a few kilobytes per task."""
+column), a sketch shuffles a few kilobytes per task.
+
+``overview_sketches`` keeps those sketches as columns of a table, one row per part (a day, a file,
+a period), and ``merged_overview`` gives the overview of any set of parts from their rows alone:
+new parts are added without reading the old posts again."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_values_with_null, null_or_empty
@@ -67,6 +71,37 @@ def posts_overview(posts: DataFrame, approx_rsd: float | None = None) -> DataFra
     )
 
 
+SKETCH_LG_K = 12  # 4,096 registers: a relative standard deviation of about 1.6 %
+_SKETCHED = ("item", "grp", "period")
+
+
+def overview_sketches(posts: DataFrame, part: str = "period", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One row per value of ``part`` (NULL is one): (part, n_posts, and for item, grp and period
+    ``<c>_sketch`` BINARY of the values and ``<c>_null``, whether a NULL is among them). The
+    sketches are built per task and merged after the shuffle; a row has at most a few kilobytes a
+    column, however many posts its part has."""
+    require_columns(posts, part, *_SKETCHED)
+    # A sketch leaves empty strings out, here they are a value: every value gets a sign before it.
+    sketches = [F.hll_sketch_agg(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(lg_k)).alias(f"{c}_sketch") for c in _SKETCHED]
+    nulls = [F.max(F.col(c).isNull()).alias(f"{c}_null") for c in _SKETCHED]
+    return posts.groupBy(F.col(part).cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n_posts"), *sketches, *nulls)
+
+
+def merged_overview(sketches: DataFrame) -> DataFrame:
+    """The columns of ``posts_overview`` from rows of ``overview_sketches``, which may come from
+    several tables (united), with sketches of different sizes. Rows of no part give zeros."""
+    def values(c: str) -> Column:
+        estimate = F.hll_sketch_estimate(F.hll_union_agg(F.col(f"{c}_sketch"), F.lit(True)))
+        return F.coalesce(estimate, F.lit(0)) + F.coalesce(F.max(f"{c}_null").cast("int"), F.lit(0)).cast("long")
+
+    return sketches.agg(
+        F.coalesce(F.sum("n_posts"), F.lit(0)).alias("total_posts"),
+        values("item").alias("total_items"),
+        values("grp").alias("total_groups"),
+        values("period").alias("total_periods"),
+    )
+
+
 def listings_overview(listings: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """One row: total_listings, unique_room_types (NULL is a value), avg_stars (rounded to
     2; NULL when there are no listings), max_guests."""

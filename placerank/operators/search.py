@@ -6,14 +6,14 @@ no text concatenation), one aggregate per (item, grp) gives the post count and t
 hits; min/max count (for popularity) and the maximum kept density come from ONE one-row
 aggregate over that grouped table, broadcast back, so AQE reuses the exchange and the text
 is scanned once. Popularity comes from the same aggregate (same keys), so no join is
-needed; the reference's item-only join is a window over the grouped table.
+needed; the reference's item-only join is the grouped table joined with itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import attach_scalars, clean_keywords, keyword_hits, min_max_scaled
@@ -101,27 +101,25 @@ def keyword_ranking(posts: DataFrame, keywords: Sequence[str], n: int = 10,
         F.min("review_count").alias("_min_n"),
         F.max("review_count").alias("_max_n"),
         F.max(F.when(F.col("_density") >= F.lit(threshold), F.col("_density"))).alias("_max_density"),
-    ).withColumn(
-        "_popularity", F.round(min_max_scaled(F.col("review_count"), F.col("_min_n"), F.col("_max_n"), 100.0), 2)
     )
+
+    def popularity(count: str) -> Column:
+        return F.round(min_max_scaled(F.col(count), F.col("_min_n"), F.col("_max_n"), 100.0), 2)
+
     keep = F.col("_density") >= F.lit(threshold)
 
     if tuple(join_keys) == ("item", "grp"):
-        ranked = scored.where(keep)
+        ranked = scored.where(keep).withColumn("_popularity", popularity("review_count"))
     elif tuple(join_keys) == ("item",):
-        # Each kept pair with every popularity of its item. The item's popularities, one a
-        # group (no item has more than there are groups), are gathered by a window over the
-        # grouped table, so that the posts are read once. A NULL item joins nothing.
-        all_of_item = F.collect_list(F.struct("_popularity")).over(Window.partitionBy("item"))
-        nothing = F.array(F.struct(F.lit(None).cast("double").alias("_popularity")))
-        joined = F.when(F.col("item").isNull(), nothing).otherwise(F.col("_all"))
-        ranked = (
-            scored.withColumn("_all", all_of_item)
-            .where(keep)
-            .withColumn("_one", F.explode(joined))
-            .withColumn("_popularity", F.col("_one._popularity"))
-            .drop("_all", "_one")
+        # Each kept pair with every popularity of its item: the grouped table joined with itself,
+        # so that no task holds an item as a list and AQE can split a hot one. A NULL item joins
+        # nothing. The other side keeps the hits (never negative) and its key is a struct, from
+        # which no filter on items follows: both sides are then one exchange, one read of the texts.
+        others = grouped.where(F.col("keyword_freq") >= F.lit(0.0)).select(
+            F.struct("item").alias("_other"), F.col("review_count").alias("_count")
         )
+        own = scored.where(keep).withColumn("_own", F.when(F.col("item").isNotNull(), F.struct("item")))
+        ranked = own.join(others, F.col("_own") == F.col("_other"), "left").withColumn("_popularity", popularity("_count"))
     else:
         raise ValueError("join_keys must be ('item', 'grp') or ('item',)")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..session import shared_path
-from ..sources import bindings, read_listings, read_posts, write_csv
+from ..sources import bindings, read_listings, read_posts, write_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +99,13 @@ def _listings_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.clean_listings(read_listings(spark, path, fmt="csv", options=CSV_KEPT, multiline="split"))
 
 
+def _overview_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of each period written as a table, and the overview of all periods from it."""
+    path = shared_path(spark, "overview-sketches")
+    write_table(op.overview_sketches(bindings.posts_raw(spark, sf_dir)), path)
+    return op.merged_overview(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "posts_from_csv": _posts_from_csv,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "period_trend": lambda s, d: op.period_trend(bindings.posts(s, d)),
     "distinct_items_per_group": lambda s, d: op.distinct_items_per_group(bindings.posts(s, d)),
     "posts_overview": lambda s, d: op.posts_overview(bindings.posts(s, d)),
+    "posts_overview_sketches": _overview_by_sketches,
     "group_options": lambda s, d: op.group_options(bindings.posts(s, d)),
     "cleaning_comparison": lambda s, d: op.compare_profiles(bindings.posts_raw(s, d), bindings.posts(s, d)),
     # popularity
@@ -182,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "cluster_samples": lambda s, d: op.cluster_samples(_fixed_clusters(s, d), SAMPLES_N),
     # listings
     "clean_listings": _listings,
+    "listings_rejected": lambda s, d: op.rejection_counts(bindings.listings_raw(s, d)),
     "listings_overview": lambda s, d: op.listings_overview(_listings(s, d)),
     "room_types": lambda s, d: op.room_types(_listings(s, d)),
     "listing_feature_columns": lambda s, d: op.listing_feature_columns(_listings(s, d)),

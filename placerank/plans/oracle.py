@@ -143,6 +143,13 @@ LISTINGS = (
     "AND (CASE WHEN gd <> '' THEN TRY_CAST(gd AS INTEGER) END) > 0)"
 )
 
+# The reason of each row, over the trimmed cells ``lt`` of LISTINGS.
+REASON_COUNTS = (
+    "reasons AS (SELECT CASE WHEN NOT coalesce(regexp_matches(st, '^\\d+(\\.\\d+)?$'), FALSE) OR TRY_CAST(st AS FLOAT) IS NULL "
+    "THEN 'bad_stars' WHEN coalesce(gd, '') = '' OR TRY_CAST(gd AS INTEGER) IS NULL THEN 'bad_guests' "
+    "WHEN TRY_CAST(gd AS INTEGER) <= 0 THEN 'no_guests' ELSE 'kept' END AS reason FROM lt)"
+)
+
 
 def _room_ranking_cte(n: int) -> str:
     return (
@@ -331,6 +338,8 @@ def oracle_queries() -> dict[str, str]:
         "ORDER BY unique_items DESC, grp ASC NULLS FIRST",
         "posts_overview": f"{W} SELECT count(*) AS total_posts, {values_with_null('item')} AS total_items, "
         f"{values_with_null('grp')} AS total_groups, {values_with_null('period')} AS total_periods FROM posts",
+        "posts_overview_sketches": f"{W} SELECT count(*) AS total_posts, {values_with_null('item')} AS total_items, "
+        f"{values_with_null('grp')} AS total_groups, {values_with_null('period')} AS total_periods FROM posts_raw",
         "group_options": f"{W} SELECT grp FROM (SELECT 'All Districts' AS grp, 0 AS o "
         "UNION ALL SELECT DISTINCT grp, 1 AS o FROM posts) ORDER BY o, grp ASC NULLS FIRST",
         "cleaning_comparison": f"{W}, {_profile('posts_raw', 'pr')}, {_profile('posts', 'pcl')} "
@@ -406,6 +415,9 @@ def oracle_queries() -> dict[str, str]:
         "popularity_score, sample_rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_label "
         f"ORDER BY {ORDER_POP}) AS INTEGER) AS sample_rank FROM fl) WHERE sample_rank <= {q.SAMPLES_N}",
         "clean_listings": f"{W}, {LISTINGS} SELECT * FROM listings",
+        "listings_rejected": f"{W}, {LISTINGS}, {REASON_COUNTS} "
+        "SELECT r.reason, count(t.reason) AS listings FROM (VALUES ('kept'), ('bad_stars'), ('bad_guests'), ('no_guests')) r(reason) "
+        "LEFT JOIN reasons t ON t.reason = r.reason GROUP BY r.reason",
         "listings_overview": f"{W}, {LISTINGS} SELECT count(*) AS total_listings, "
         f"{values_with_null('room_type')} AS unique_room_types, "
         + sround("avg(CAST(stars AS DOUBLE))", 2)
