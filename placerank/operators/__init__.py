@@ -40,9 +40,11 @@ from .scoring import (
     avg_popularity_by_group,
     browse_popular,
     item_counts,
+    popularity_of_counts,
     popularity_score,
     rank_within,
     scored_counts,
+    summed_counts,
     top_popular,
 )
 from .search import (
@@ -53,6 +55,7 @@ from .search import (
     top_recommendation,
 )
 from .text import (
+    heavy_top_words,
     tfidf_buckets,
     tfidf_sparse_vectors,
     tfidf_terms,
@@ -80,6 +83,7 @@ __all__ = [
     "group_counts",
     "group_options",
     "group_shares",
+    "heavy_top_words",
     "hybrid_recommendations",
     "hybrid_scored",
     "item_counts",
@@ -94,6 +98,7 @@ __all__ = [
     "observed_clean_listings",
     "overview_sketches",
     "period_trend",
+    "popularity_of_counts",
     "popularity_score",
     "posts_overview",
     "profile",
@@ -105,6 +110,7 @@ __all__ = [
     "room_type_ranking",
     "room_types",
     "score_breakdown",
+    "summed_counts",
     "score_by_group",
     "scored_counts",
     "tfidf_buckets",

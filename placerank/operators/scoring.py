@@ -57,7 +57,19 @@ def rank_within(df: DataFrame, part: str, score: str, rank_col: str) -> DataFram
 
 def popularity_score(posts: DataFrame) -> DataFrame:
     """(item, grp, review_count, popularity_score, group_rank), best first."""
-    scored = scored_counts(item_counts(posts))
+    return popularity_of_counts(item_counts(posts))
+
+
+def summed_counts(counts: DataFrame, keys: tuple[str, ...] = ("item", "grp")) -> DataFrame:
+    """One count per key from rows of ``item_counts`` that were taken part by part (a day's posts
+    each) and stored. Over a table bucketed on the keys the sum needs no exchange."""
+    require_columns(counts, *keys, "review_count")
+    return counts.groupBy(*keys).agg(F.sum("review_count").alias("review_count"))
+
+
+def popularity_of_counts(counts: DataFrame) -> DataFrame:
+    """``popularity_score`` of counted pairs (item, grp, review_count), one row a pair."""
+    scored = scored_counts(counts)
     ranked = rank_within(scored, "grp", "popularity_score", "group_rank")
     return ranked.select(
         "item", "grp", "review_count", "popularity_score", "group_rank"

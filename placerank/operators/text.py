@@ -50,6 +50,64 @@ def top_words(posts: DataFrame, n: int = 20) -> DataFrame:
     return counts.orderBy(F.col("frequency").desc(), F.col("word")).limit(n)
 
 
+# Fixed values of Spark's frequency sketch: it keeps three quarters of its map's slots filled, and
+# a count is off by at most this factor times all words over the slots.
+_SKETCH_FILL, _SKETCH_ERROR = 0.75, 3.5
+SKETCH_SLOTS = 1 << 14
+MOST_SKETCHED = 256  # characters of a word that enters the sketch, so that its size is bounded
+
+
+def heavy_top_words(posts: DataFrame, n: int = 20, slots: int = SKETCH_SLOTS) -> DataFrame:
+    """The rows of ``top_words``, exact, without shuffling every distinct word.
+
+    A mergeable frequency sketch of ``slots`` slots (a power of two) a task names candidates in a
+    first pass; a second pass counts the candidates alone, so that a task shuffles at most that many
+    rows. A word that is no candidate occurs at most ``bound`` times: twice the sketch's error, or
+    the least candidate's estimate where all places for candidates are taken. If the n-th count is
+    above the bound, the result is complete. If it is not, the third branch counts every word, which
+    is the exact way for flat distributions; otherwise adaptive execution finds its gate empty and
+    drops the branch before it reads the texts. Words of more than ``MOST_SKETCHED`` characters are
+    counted plainly beside the candidates, in the same pass.
+
+    Defined cases: null and empty texts have no words; ties go to the smaller word; an empty table
+    gives no rows; other columns are not read. ``n`` is at most a quarter of the slots."""
+    require_columns(posts, "text")
+    if slots & (slots - 1) or not 0 < n <= slots // 4:
+        raise ValueError("slots must be a power of two, and n at most a quarter of it")
+    tracked, most = int(slots * _SKETCH_FILL), slots // 2
+
+    def words(rows: DataFrame) -> DataFrame:
+        out = rows.select(F.explode(blank_split_words("text")).alias("word"))
+        return out.where((F.length("word") > F.lit(FREQUENCY_MIN_LENGTH)) & not_in_words("word", FREQUENCY_STOP_WORDS))
+
+    short = words(posts).where(F.length("word") <= F.lit(MOST_SKETCHED))
+    sketched = short.agg(
+        F.expr(f"approx_top_k(word, {most}, {tracked})").alias("_found"), F.count(F.lit(1)).alias("_total")
+    )
+    error = F.floor(F.lit(2 * _SKETCH_ERROR / slots) * F.col("_total"))
+    least = F.when(F.size("_found") >= F.lit(most), F.array_min(F.transform("_found", lambda x: x["count"])))
+    # One row, at most ``most`` short words: read by both branches, so it is written once.
+    first = materialize(sketched.select(F.transform("_found", lambda x: x["item"]).alias("_words"),
+                                        F.greatest(error, F.coalesce(least, F.lit(0))).alias("_bound")))
+    candidates = first.select(F.explode("_words").alias("_word"))
+    met = words(posts).join(F.broadcast(candidates), F.col("word") == F.col("_word"), "left")
+    met = met.where(F.col("_word").isNotNull() | (F.length("word") > F.lit(MOST_SKETCHED)))
+    counted = met.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
+    # At most n rows, read for the proof and for the result.
+    top = materialize(counted.orderBy(F.col("frequency").desc(), F.col("word")).limit(n))
+
+    proof = top.agg(F.count(F.lit(1)).alias("_rows"), F.min("frequency").alias("_least")).crossJoin(
+        F.broadcast(first.select("_bound"))
+    )
+    proven = (F.col("_bound") < F.lit(1)) | ((F.col("_rows") == F.lit(n)) & (F.col("_least") > F.col("_bound")))
+    proof = proof.select(proven.alias("_proven"))
+    every = posts.select("text").crossJoin(F.broadcast(proof.where(~F.col("_proven")).select(F.lit(1).alias("_all"))))
+    every = words(every).groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
+    every = every.orderBy(F.col("frequency").desc(), F.col("word")).limit(n)
+    best = top.crossJoin(F.broadcast(proof.where("_proven"))).drop("_proven")
+    return best.unionByName(every).orderBy(F.col("frequency").desc(), F.col("word"))
+
+
 def word_frequency_map(words: DataFrame, n: int = 100) -> DataFrame:
     """The ``n`` most frequent entries of a (word, frequency) table, e.g. ``top_words``, as
     one row holding a ``map<string, bigint>`` sorted by word: (word_freq). The top-n is

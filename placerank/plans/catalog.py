@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..session import shared_path
-from ..sources import bindings, read_listings, read_posts, write_csv, write_table
+from ..sources import (
+    bindings,
+    catalogue_bounds,
+    read_listings,
+    read_posts,
+    write_bucketed,
+    write_catalogue,
+    write_csv,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +115,24 @@ def _overview_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.merged_overview(spark.read.parquet(path))
 
 
+COUNT_BUCKETS = 32
+
+
+def _popularity_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per pair stored in a bucketed table, and the popularity from that table."""
+    path = shared_path(spark, "pair_counts")
+    counts = op.item_counts(bindings.posts_raw(spark, sf_dir))
+    table = f"pair_counts_{path.rsplit('-', 1)[1]}"
+    stored = write_bucketed(counts, table, path, ("item", "grp"), COUNT_BUCKETS)
+    return op.popularity_of_counts(op.summed_counts(stored))
+
+
+def _catalogue(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_path(spark, "catalogue")
+    write_catalogue(_listings(spark, sf_dir), path)
+    return path
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "posts_from_csv": _posts_from_csv,
@@ -120,6 +147,9 @@ QUERIES: dict[str, Query] = {
     "posts_overview_sketches": _overview_by_sketches,
     "group_options": lambda s, d: op.group_options(bindings.posts(s, d)),
     "cleaning_comparison": lambda s, d: op.compare_profiles(bindings.posts_raw(s, d), bindings.posts(s, d)),
+    # tables laid out for their readers
+    "popularity_score_stored": _popularity_stored,
+    "catalogue_bounds": lambda s, d: catalogue_bounds(s, _catalogue(s, d)),
     # popularity
     "popularity_score": lambda s, d: op.popularity_score(bindings.posts(s, d)),
     "popularity_score_sales": lambda s, d: op.popularity_score(bindings.sales(s, d)),
@@ -147,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "cluster_summary_raw": lambda s, d: op.cluster_summary(_fixed_clusters(s, d, bindings.posts_raw)),
     # words and TF-IDF
     "top_words": lambda s, d: op.top_words(bindings.posts(s, d), TOP_WORDS_N),
+    "top_words_heavy": lambda s, d: op.heavy_top_words(bindings.posts(s, d), TOP_WORDS_N),
     "word_frequency_map": lambda s, d: op.word_frequency_map(
         op.top_words(bindings.posts(s, d), WORD_MAP_N), WORD_MAP_N
     ).select(F.to_json("word_freq").alias("word_freq_json")),

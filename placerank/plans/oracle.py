@@ -349,6 +349,7 @@ def oracle_queries() -> dict[str, str]:
         f"UNION ALL SELECT 2, '{_m[2]}', pr.unique_items, pcl.unique_items FROM pr, pcl "
         f"UNION ALL SELECT 3, '{_m[3]}', pr.unique_groups, pcl.unique_groups FROM pr, pcl) ORDER BY o",
         "popularity_score": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP}",
+        "popularity_score_stored": f"{W}, {POP.format(src='posts_raw')} SELECT * FROM popr ORDER BY {ORDER_POP}",
         "popularity_score_sales": f"{W}, {POP.format(src='sales')} SELECT * FROM popr ORDER BY {ORDER_POP}",
         "top_popular": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP} LIMIT {q.TOP_POPULAR_N}",
         "top_popular_50": f"{W}, {POP.format(src='posts')} SELECT * FROM popr ORDER BY {ORDER_POP} "
@@ -371,6 +372,7 @@ def oracle_queries() -> dict[str, str]:
         "avg_popularity_by_group": f"{W}, {POP.format(src='posts')} SELECT grp, "
         + sround("avg(popularity_score)", 4)
         + " AS avg_popularity FROM popr GROUP BY grp ORDER BY avg_popularity DESC NULLS LAST, grp ASC NULLS FIRST",
+        "top_words_heavy": f"{W}, {_top_words_cte(q.TOP_WORDS_N)} SELECT * FROM tw ORDER BY frequency DESC, word",
         "top_words": f"{W}, {_top_words_cte(q.TOP_WORDS_N)} SELECT * FROM tw ORDER BY frequency DESC, word",
         "word_frequency_map": f"{W}, {_top_words_cte(q.WORD_MAP_N)} "
         "SELECT CAST(to_json(map_from_entries(list({'k': word, 'v': frequency} ORDER BY word))) AS VARCHAR) "
@@ -418,6 +420,8 @@ def oracle_queries() -> dict[str, str]:
         "listings_rejected": f"{W}, {LISTINGS}, {REASON_COUNTS} "
         "SELECT r.reason, count(t.reason) AS listings FROM (VALUES ('kept'), ('bad_stars'), ('bad_guests'), ('no_guests')) r(reason) "
         "LEFT JOIN reasons t ON t.reason = r.reason GROUP BY r.reason",
+        "catalogue_bounds": f"{W}, {LISTINGS} SELECT count(*) AS total_listings, min(stars) AS min_stars, max(stars) AS max_stars, "
+        "min(guests) AS min_guests, max(guests) AS max_guests FROM listings",
         "listings_overview": f"{W}, {LISTINGS} SELECT count(*) AS total_listings, "
         f"{values_with_null('room_type')} AS unique_room_types, "
         + sround("avg(CAST(stars AS DOUBLE))", 2)

@@ -1,4 +1,5 @@
 from . import bindings
+from .layout import catalogue_bounds, write_bucketed, write_catalogue
 from .readers import (
     LISTING_COLUMNS,
     REVIEW_COLUMNS,
@@ -14,12 +15,15 @@ __all__ = [
     "LISTING_COLUMNS",
     "REVIEW_COLUMNS",
     "bindings",
+    "catalogue_bounds",
     "csv_records",
     "normalise_header",
     "normalise_headers",
     "read_csv_in_splits",
     "read_listings",
     "read_posts",
+    "write_bucketed",
+    "write_catalogue",
     "write_csv",
     "write_table",
 ]
