@@ -44,6 +44,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, used: tuple[str, ...]) -> DataFrame:
+    """``df`` with every column but the ``used`` ones under a name by its place, so that no name of a
+    caller meets an operator's own. Places stay: ``out.toDF(*df.columns)`` gives the names back."""
+    return df.toDF(*[c if c in used else f"other{i}" for i, c in enumerate(df.columns)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,8 +13,9 @@ documents only inside their range.
 Defined cases: a null text has size 0 and takes nothing; null is a source of its own, the last
 one; a null, zero or negative quality weight counts as the smallest weight; repeated rows are
 documents of their own (ties in the key are broken by doc_id and size, and rows that agree in
-all of these are alike); an empty table gives no rows; other columns are kept, unless they
-have the name of a result.
+all of these are alike); an empty table gives no rows. ``mix`` keeps other columns, unless they
+have the name of a result or one of the names in its list of own columns; ``apply_mix`` keeps
+all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, set_aside, written
 
 SMALLEST_WEIGHT = 1e-6
 
@@ -125,6 +126,7 @@ def apply_mix(docs: DataFrame, mixed: DataFrame, text: str = "text") -> DataFram
     """The mixed rows: each document as often as ``mixed`` takes it whole, and once more with the
     first words (joined by one blank) where it takes a part. The columns of ``docs``; n_chars
     follows a cut text. Rows that agree in doc_id and text share out their group's takes."""
+    named, docs = docs.columns, set_aside(docs, ("doc_id", "n_chars", text))
     takes = (
         mixed.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
         .agg(F.sort_array(F.collect_list(F.struct("taken", "size")), asc=False).alias("__takes"))
@@ -144,4 +146,4 @@ def apply_mix(docs: DataFrame, mixed: DataFrame, text: str = "text") -> DataFram
     if "n_chars" in docs.columns:
         length = F.length(text).cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("__words") > 0, length).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns]).toDF(*named)

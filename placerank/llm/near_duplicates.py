@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HashedWords, map_batches, mix64, raw_texts, small_batches, written
+from .common import HashedWords, map_batches, mix64, raw_texts, set_aside, small_batches, written
 from .components import connected_components
 
 WORDS = 5
@@ -349,3 +349,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return members.join(ids, F.col("sig") == F.col("_sig"), "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_id", "doc_id")).alias("component_id")
     )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns, whatever their names: the
+    one with the smallest doc_id (nulls last), then the smallest text hash. Rows are told apart by a
+    number of their own, written with them, so that rows without a doc_id, repeated rows and several
+    texts under one doc_id are compared like any others. A row without words is in no group and
+    stays."""
+    named = docs.columns
+    aside = set_aside(docs, ("doc_id", "text"))
+    numbered = written(aside.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered.select(F.col("row").alias("doc_id"), "text"))
+    groups = written(found.select(F.col("doc_id").alias("of_row"), F.col("component_id").alias("group")), "groups-of-rows")
+    # Groups of one row need no look at their ids.
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("rows"), F.first("of_row").alias("of_row"))
+    sizes = written(sizes, "group-sizes")
+    several = groups.join(sizes.where("rows > 1").select("group"), "group")
+    ids = numbered.select("row", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    order = F.struct(F.col("id").isNull().alias("nameless"), "id", "hash", "row")
+    first = several.join(ids, F.col("of_row") == F.col("row")).groupBy("group").agg(F.min(order)["row"].alias("kept"))
+    kept = sizes.where("rows = 1").select(F.col("of_row").alias("kept")).unionByName(first.select("kept"))
+    return numbered.join(kept, F.col("row") == F.col("kept"), "left_semi").drop("row").toDF(*named)

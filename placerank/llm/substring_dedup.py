@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashedWords, map_batches, mix64, ragged, raw_texts, small_batches, words_of, written
+from .common import HashedWords, map_batches, mix64, ragged, raw_texts, set_aside, small_batches, words_of, written
 from .fm_index import FMIndex
 
 WINDOW, ANCHOR = 20, 8
@@ -342,7 +342,8 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages; texts that lose nothing stay as they are, n_chars
-    follows a changed text."""
+    follows a changed text. Other columns may have any names."""
+    named, docs = docs.columns, set_aside(docs, ("doc_id", "text", "n_chars"))
     columns = docs.columns
     rows = with_spans(docs)
 
@@ -361,4 +362,4 @@ def clean(docs: DataFrame) -> DataFrame:
                 )
             yield pa.RecordBatch.from_arrays([made.get(c, batch.column(c)) for c in columns], names=columns)
 
-    return rows.mapInArrow(cut, docs.schema)
+    return rows.mapInArrow(cut, docs.schema).toDF(*named)

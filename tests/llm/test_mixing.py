@@ -1,10 +1,13 @@
 """Mixing sources to target weights."""
 
+import math
 import re
 
 import pytest
 
-from placerank.llm.mixing import apply_mix, mix, source_targets
+from pyspark.sql import functions as F
+
+from placerank.llm.mixing import apply_mix, mix, source_targets, uniform
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -72,3 +75,26 @@ def test_mixed_rows_have_the_taken_words(spark, odd):
 
 def test_empty_table(spark, nothing):
     assert mix(nothing).count() == 0 and apply_mix(nothing, mix(nothing)).count() == 0
+
+
+def test_documents_are_chosen_by_their_keys(spark):
+    """Brute force of the whole choice: keys sorted within a source, whole epochs, then prefix sums."""
+    rows = [(i, "w " * (1 + i * 7 % 23), ("hot", "a", "b", None)[min(i % 8, 3)]) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    weight = {i: (2.0, 0.5, 1.0)[i % 3] for i in range(800) if i % 5}
+    quality = spark.createDataFrame(list(weight.items()), "doc_id bigint, weight double")
+    keys = docs.select("doc_id", uniform(20, F.col("doc_id"), F.xxhash64("text")).alias("u")).collect()
+    key = {r["doc_id"]: -math.log(r["u"]) / weight.get(r["doc_id"], 1.0) for r in keys}
+    sizes = {}
+    for i, t, s in rows:
+        sizes.setdefault(s, {})[i] = len(t.split())
+    want = {}
+    for s, target in _targets({s: sum(x.values()) for s, x in sizes.items()}).items():
+        total = sum(sizes[s].values())
+        epochs = int(target // total)
+        rest = math.floor(target) - epochs * total
+        for i in sorted(sizes[s], key=key.get):
+            part = min(sizes[s][i], rest)
+            want[i] = epochs * sizes[s][i] + part
+            rest -= part
+    assert {r["doc_id"]: r["taken"] for r in mix(docs, quality=quality).collect()} == want

@@ -8,7 +8,9 @@ import corpus_pipeline as cp
 from __spark_entry__ import queries
 from placerank.llm.catalog import QUERIES
 from placerank.llm.common import documents
-from placerank.llm.mixing import mix, word_count
+from placerank.llm.mixing import apply_mix, mix, word_count
+from placerank.llm.near_duplicates import keep_first
+from placerank.llm.substring_dedup import clean
 
 from .conftest import SF
 
@@ -113,3 +115,43 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing, name):
         assert name == "packing" or out.columns == docs.columns
         n = out.count()
         assert n == 0 if docs is nothing else n > 0
+
+
+def test_run_is_all_stages(spark, stages):
+    """Places in sequences aside, which any numbering may fill."""
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = sorted(tuple(r) for r in cp.run(spark, SF).select(columns).collect())
+    assert got == sorted(tuple(r) for r in stages["packing"][1].select(columns).collect())
+
+
+BASE = " ".join(f"w{i}" for i in range(60))
+NEAR = BASE.replace("w30", "changed")
+OTHER = " ".join(f"v{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(None, BASE), (None, BASE), (None, NEAR), (None, OTHER)], [(None, 1), (None, OTHER)]),  # 1: BASE or NEAR
+    ([(None, BASE), (7, NEAR), (9, BASE)], [(7, NEAR)]),
+    ([(5, OTHER), (5, BASE), (2, NEAR)], [(2, NEAR), (5, OTHER)]),
+    ([(5, BASE), (5, BASE), (5, BASE)], [(5, BASE)]),
+    ([(1, None), (1, None), (2, ""), (None, " ")], [(1, None), (1, None), (2, ""), (None, " ")]),
+])
+def test_groups_of_rows_without_or_with_repeated_ids(spark, rows, want):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r["doc_id"], r["text"]) for r in keep_first(docs).collect()]
+    want = [(i, min(BASE, NEAR, key=lambda t: t not in {x for _, x in got}) if t == 1 else t) for i, t in want]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+CLASHING = ["__id", "__part", "__spans", "__copy", "__words", "__take", "__hash", "row", "group", "other0", "kept", "_sum", "size"]
+
+
+@pytest.mark.parametrize("apply", [keep_first, clean, lambda d: apply_mix(d, mix(d)), lambda d: cp.near_duplicate_join(None, d, SF)])
+def test_columns_of_any_name_come_through(spark, apply):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, f"{i} {t}", "s", *[f"{c}-{i}" for c in CLASHING]) for i, t in enumerate([BASE, OTHER, passage, "x " + passage])]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id bigint", "text string", "source string", *(f"`{c}` string" for c in CLASHING)]))
+    out = apply(docs)
+    assert out.columns == docs.columns
+    found = out.collect()
+    assert found and all(r[c] == f"{c}-{r['doc_id']}" for r in found for c in CLASHING)
