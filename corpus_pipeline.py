@@ -2,7 +2,8 @@
 
 1. toxicity: documents that the machine rejects go; it learns from the labelled rows that are
    not held out, as in op10.
-2. near_duplicates: of each group of linked documents the one with the smallest doc_id stays.
+2. near_duplicates: of each group of linked documents the one with the smallest doc_id stays, also
+   where rows have no doc_id, or several texts have the same one.
 3. substring_dedup: words of repeated passages go; a document keeps its other words.
 4. mixing: sources are repeated and thinned to their targets; a document appears as often as it
    is taken whole, and once more cut to its first words where a part of it is taken.
@@ -10,19 +11,18 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of documents. Null texts, empty tables and repeated rows are handled as the operators'
-modules say; a null doc_id stays until packing, where it is a document like others.
+modules say; a row without a doc_id is a document like others. Columns may have any names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from placerank.llm.catalog import quality_weights, toxicity_model
 from placerank.llm.common import documents, written
 from placerank.llm.language import remainder
 from placerank.llm.mixing import apply_mix, mix
-from placerank.llm.near_duplicates import near_duplicates
+from placerank.llm.near_duplicates import keep_first
 from placerank.llm.packing import pack_documents
 from placerank.llm.substring_dedup import clean
 from placerank.llm.tokenize import tokenizer_path
@@ -35,14 +35,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest doc_id, and of rows that
-    agree in doc_id and text one. Documents without words are in no group."""
-    found = near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("__id")).drop("__id")
-    copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
-    first = rows.withColumn("__copy", copy).where("__copy = 1").drop("__copy")
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near duplicates: the smallest doc_id, rows without one last.
+    Documents without words are in no group."""
+    return keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
