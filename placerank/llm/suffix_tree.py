@@ -50,6 +50,8 @@ STATES = 800.0  # times the cube root of the training symbols: most sequences of
 PRIOR = 2.0
 SHIFT = 31  # bits of a word number
 MOST_REMEMBERED = 300_000
+MOST_ROWS = 1 << 16  # of a batch of counts
+MOST_SCORED = 1 << 20  # bytes of texts that are scored at a time
 EDGE = 256  # before and after a word's bytes
 PAIRS = (EDGE + 1) ** 2
 
@@ -315,10 +317,17 @@ def sequence_counts(numbered: DataFrame, tree: SuffixTree, least: int) -> DataFr
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged():
-            codes, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-            return codes, np.bincount(back, weights=np.concatenate([n for _, n in held]), minlength=len(codes)).astype(np.int64)
+            codes = np.concatenate([c for c, _ in held])
+            order = np.argsort(codes, kind="stable")  # runs that are sorted already are merged
+            codes, n = codes[order], np.concatenate([n for _, n in held])[order]
+            first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
+            return codes[first], np.add.reduceat(n, first)
 
-        for batch in small_batches(batches, "ids"):
+        def out(codes, n):  # some rows at a time: the JVM holds a batch outside its heap
+            for i in range(0, len(codes), MOST_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(codes[i : i + MOST_ROWS]), pa.array(n[i : i + MOST_ROWS])], names=["code", "n"])
+
+        for batch in small_batches(batches, "ids", most_bytes=1 << 20):
             # Every row opens and closes with an end: where two meet, one is left.
             rows = [np.frombuffer(x, "<i4") for x in batch.column("ids").to_pylist()]
             ids = np.concatenate([rows[0], *(r[1:] for r in rows[1:])]).astype(np.int64)
@@ -327,11 +336,10 @@ def sequence_counts(numbered: DataFrame, tree: SuffixTree, least: int) -> DataFr
             if sum(len(c) for c, _ in held) > 2_000_000:
                 held = [merged()]
                 if len(held[0][0]) > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], names=["code", "n"])
+                    yield from out(*held[0])
                     held = []
         if held:
-            codes, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
+            yield from out(*merged())
 
     rows = map_batches(numbered, count, "code bigint, n bigint")
     return rows.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -366,6 +374,52 @@ def learn(training: DataFrame, vocabulary: DataFrame, n_docs: int, depth: int =
     return tree, tokens, distinct
 
 
+PARTS = ("uid bigint, doc_id bigint, held_out boolean, word binary, times bigint, n_tokens bigint, n_known bigint, "
+         "base double, score double, spelt double")
+
+
+def scored(batches, model: SuffixTree, n_docs: int, space: int, uid: int):
+    """Rows as in ``PARTS``: one for each distinct rare word of a text, with its spelling's score,
+    and one for the text, with the scores of all else. Texts are numbered from ``uid``. A batch's
+    words take many times its bytes, so that batches are small."""
+    base = np.log10((model.counts + 1) / space)
+    base[0] = 0.0
+    for batch in small_batches(batches, most_bytes=MOST_SCORED):
+        bags = [lower_words_of(t) for t in raw_texts(batch.column("text"))]
+        uids = np.arange(uid, uid + len(bags))
+        uid += len(bags)
+        ids, ends = model.numbered(bags)
+        begins = np.r_[0, ends[:-1]]  # place 0 is the end before the first text
+        known = np.add.reduceat(((ids[1:] > 0) & ((ids[1:] < model.end) | (n_docs > 0))).astype(np.int64), begins)
+        low = np.add.reduceat(base[ids[1:]], begins)
+        total = np.add.reduceat(model.score(ids), begins)
+        rare = [Counter(w for w in bag if w not in model.number) for bag in bags]
+        sizes = np.array([len(bag) + 1 for bag in bags])
+        del bags
+        words = [w for bag in rare for w in bag]
+        yield _parts(
+            uid=pa.array(np.repeat(uids, [len(bag) for bag in rare])), word=pa.array(words, pa.binary()),
+            times=pa.array([n for bag in rare for n in bag.values()], pa.int64()), spelt=pa.array(model.spelled(words)),
+        )
+        # No word has a line end: a key of its own that meets no word.
+        yield _parts(
+            uid=pa.array(uids), doc_id=batch.column("doc_id"), held_out=batch.column("held_out"),
+            word=pa.array([b"\n%d" % u for u in uids.tolist()], pa.binary()), n_tokens=pa.array(sizes),
+            n_known=pa.array(known), base=pa.array(low), score=pa.array(total),
+        )
+
+
+def _parts(**columns: pa.Array) -> pa.RecordBatch:
+    """Rows as in ``PARTS``: ids that are not given are null, numbers 0."""
+    n = len(columns["uid"])
+    kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+    out = {}
+    for name, kind in (x.split() for x in PARTS.split(", ")):
+        empty = None if name in ("doc_id", "held_out") else 0
+        out[name] = columns[name] if name in columns else pa.repeat(pa.scalar(empty, kinds[kind]), n)
+    return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+
 def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share: float | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document;
     the model learns from rows with a doc_id that are not held out."""
@@ -378,37 +432,11 @@ def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, share
     tree, tokens, distinct = learn(training, vocabulary, n_docs, depth, share)
     space = tokens + distinct + 1
     shared = spark.sparkContext.broadcast(tree)
-    names = ["uid", "doc_id", "held_out", "word", "times", "n_tokens", "n_known", "base", "score", "spelt"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), *[pa.float64()] * 3]
 
     def score(batches):
-        model = shared.value
-        base = np.log10((model.counts + 1) / space)
-        base[0] = 0.0
-        uid = TaskContext.get().partitionId() << 33
-        for batch in small_batches(batches):
-            bags = [lower_words_of(t) for t in raw_texts(batch.column("text"))]
-            ids, ends = model.numbered(bags)
-            begins = np.r_[0, ends[:-1]]  # place 0 is the end before the first text
-            known = np.add.reduceat(((ids[1:] > 0) & ((ids[1:] < model.end) | (n_docs > 0))).astype(np.int64), begins)
-            low = np.add.reduceat(base[ids[1:]], begins)
-            total = np.add.reduceat(model.score(ids), begins)
-            out: list[tuple] = []
-            rare = [Counter(w for w in bag if w not in model.number) for bag in bags]
-            spelt = iter(model.spelled([w for bag in rare for w in bag]).tolist())
-            for i, (doc, held) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), strict=True)):
-                out += [(uid, None, None, w, n, 0, 0, 0.0, 0.0, next(spelt)) for w, n in rare[i].items()]
-                # No word has a line end: a key of its own that meets no word.
-                out.append((uid, doc, held, b"\n%d" % uid, 0, len(bags[i]) + 1, int(known[i]), float(low[i]), float(total[i]), 0.0))
-                uid += 1
-            columns = zip(*out, strict=True) if out else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    parts = map_batches(
-        rows, score,
-        "uid bigint, doc_id bigint, held_out boolean, word binary, times bigint, n_tokens bigint, n_known bigint, "
-        "base double, score double, spelt double",
-    )
+        return scored(batches, shared.value, n_docs, space, TaskContext.get().partitionId() << 33)
+
+    parts = map_batches(rows, score, PARTS)
     counts = vocabulary.select(F.col("word").alias("_word"), "n")
     joined = parts.join(counts, F.col("word") == F.col("_word"), "left")
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))

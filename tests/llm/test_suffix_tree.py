@@ -2,13 +2,17 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pyspark.sql.functions as F
 import pytest
 
+from placerank.llm import suffix_tree
 from placerank.llm.language import remainder
 from placerank.llm.suffix_tree import LongTable, PRIOR, SuffixTree, learn, least_count, score_documents, word_counts
 
@@ -196,3 +200,27 @@ def test_nothing_to_learn_from_and_odd_rows(spark, odd, nothing):
     assert max(r["score"] for r in none) == math.log10(0.5)  # the end alone; spelt words have less
     got = score_documents(odd, remainder(F.col("doc_id"), 7) == 2).collect()
     assert len(got) == odd.count() and all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in got)
+
+
+def test_scoring_holds_little_of_a_large_batch(spark, docs, monkeypatch):
+    """Megabytes of rare words in one batch: what a worker holds of them is bounded."""
+    taken, plain = [], suffix_tree.map_batches
+    monkeypatch.setattr(suffix_tree, "map_batches", lambda df, fn, schema: (taken.append((fn, schema)), plain(df, fn, schema))[1])
+    score_documents(docs, F.lit(False), depth=1)
+    score = next(fn for fn, schema in taken if "spelt" in schema)
+    monkeypatch.setattr(suffix_tree, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    r = random.Random(4)
+    texts = [" ".join("%010x" % r.getrandbits(40) for _ in range(300)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array(range(1000), pa.int64()), "text": texts, "held_out": pa.array([False] * 1000)}
+    )
+    tracemalloc.start()
+    uids = set()
+    rows = 0
+    for out in score(iter([batch])):
+        rows += out.num_rows
+        uids.update(out.column("uid").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 + sum(len(set(t.split())) for t in texts) and uids == set(range(3 << 33, (3 << 33) + 1000))
+    assert peak < 80 << 20, peak
