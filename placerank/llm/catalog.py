@@ -22,7 +22,7 @@ from .suffix_tree import score_documents
 from .token_files import digests, read_token_ids, with_starts, write_token_ids
 from .tokenize import tokenizer_path
 from .topk import top_k
-from .toxicity import classify, labelled_sample, train
+from .toxicity import classify, sampled, trained
 from .whitening import whiten
 
 # Weights of a document by its quality label; documents without a label weigh 1.
@@ -79,8 +79,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
     """The machine trained on the labelled documents of ``docs`` that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    sample = labelled_sample(docs, labels, remainder(F.col("doc_id"), 5) == 0)
-    return train([t for t, _ in sample], [y for _, y in sample])
+    return trained(sampled(docs, labels, remainder(F.col("doc_id"), 5) == 0))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,7 +83,7 @@ def small_batches(batches: Batches, column: str = "text", most_bytes: int = 4 <<
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
-    _return_freed()
+    return_freed()
 
 
 _MEMORY: dict[tuple, dict] = {}
@@ -96,12 +96,12 @@ def worker_memory(owner: tuple) -> dict:
     if owner not in _MEMORY:
         _MEMORY.clear()
         gc.collect()
-        _return_freed()
+        return_freed()
         _MEMORY[owner] = {}
     return _MEMORY[owner]
 
 
-def _return_freed() -> None:
+def return_freed() -> None:
     """Give freed memory back to the system, where its C library can."""
     pa.default_memory_pool().release_unused()
     try:

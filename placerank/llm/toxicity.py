@@ -15,7 +15,7 @@ machine is one weight per (hashed) subsequence, and scoring a word needs no land
 sentence is as toxic as its worst word, a document as its worst sentence; a logistic curve
 fitted on the training documents turns that margin into the score.
 
-Training uses a bounded sample: up to ``SAMPLE_ROWS`` labelled documents of each class, those
+Training, in one task, uses a bounded sample: up to ``SAMPLE_ROWS`` labelled documents of each class, those
 with the smallest hash of doc_id, ``SAMPLE_CHARS`` characters of each; the model is a vector
 of ``FEATURES`` numbers. Scoring reads every text whole.
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, small_batches, worker_memory
+from .common import map_batches, return_freed, small_batches, worker_memory
 
 SAMPLE_ROWS = 1500  # labelled documents a class, at most
 SAMPLE_CHARS = 20_000
@@ -291,18 +291,48 @@ def train(texts: list[bytes], toxic: list[int]) -> Model:
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS,
-                    chars: int = SAMPLE_CHARS) -> list[tuple[bytes, int]]:
-    """Up to ``rows`` labelled texts of each class that are not held out, by hash of doc_id."""
+def sampled(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS,
+            chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(doc_id, t, toxic): up to ``rows`` labelled texts of each class that are not held out, by hash
+    of doc_id. Only their numbers reach the driver."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
     per_doc = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     label: dict[int, int] = {}
     for value in (0, 1):
         picked = per_doc.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         label |= {r["doc_id"]: value for r in picked.collect()}
-    texts = docs.where(F.col("doc_id").isin(sorted(label))).select("doc_id", F.substring("text", 1, chars).alias("t"))
-    found = sorted((r["doc_id"], r["t"] or "") for r in texts.collect())
-    return [(t.encode(), label[i]) for i, t in found]
+    toxic = F.col("doc_id").isin(sorted(i for i, value in label.items() if value))
+    return docs.where(F.col("doc_id").isin(sorted(label))).select(
+        "doc_id", F.coalesce(F.substring("text", 1, chars), F.lit("")).alias("t"), toxic.cast("int").alias("toxic")
+    )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS,
+                    chars: int = SAMPLE_CHARS) -> list[tuple[bytes, int]]:
+    """The texts and labels of ``sampled``."""
+    found = sorted(tuple(r) for r in sampled(docs, labels, held_out, rows, chars).collect())
+    return [(t.encode(), toxic) for _, t, toxic in found]
+
+
+def trained(sample: DataFrame) -> Model:
+    """The machine of ``train`` on the rows of ``sampled``, fitted by a task, so that neither the
+    texts nor what the fit holds are in the driver's memory; it gets the model."""
+
+    def fit(batches):
+        found = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        model = train([t.encode() for _, t, _ in found], [toxic for _, _, toxic in found])
+        numbers = [model.bias, model.slope, model.offset, model.least]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.vector.tobytes()], pa.binary()), pa.array([[float(x) for x in numbers]], pa.list_(pa.float64()))],
+            names=["vector", "numbers"],
+        )
+        del found, model
+        return_freed()
+
+    rows = map_batches(sample.repartition(1), fit, "vector binary, numbers array<double>").collect()
+    if not rows:  # no partition, where Spark sees that the sample is empty
+        return train([], [])
+    return Model(np.frombuffer(rows[0]["vector"], dtype=np.float32), *rows[0]["numbers"])
 
 
 def document_scores(machine: Model, tag: int, texts: list[str | None]) -> np.ndarray:

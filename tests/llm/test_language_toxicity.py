@@ -1,11 +1,13 @@
 """Language identification and toxicity."""
 
+import os
 import random
 import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from placerank.llm import catalog, toxicity
 from placerank.llm.language import BLOCK, CrossParser, identify, language_samples, remainder, suffix_automaton, symbols_of
 from placerank.llm.toxicity import Model, classify, keep_clean, labelled_sample, scores, train, units_of
 
@@ -147,6 +149,29 @@ def test_no_labels_one_class_and_odd_rows(spark, odd, nothing):
     assert isinstance(model, Model)
 
 
+def test_the_machine_is_trained_by_a_task(spark, odd, nothing, tmp_path, monkeypatch):
+    """Not in the driver, and as there."""
+    docs = spark.createDataFrame([(i, t) for i, t, _ in _documents()], "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in _documents()], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    sample = labelled_sample(docs, labels, remainder(F.col("doc_id"), 5) == 0)
+    want = train([t for t, _ in sample], [y for _, y in sample])
+
+    driver = os.getpid()
+
+    def elsewhere(texts, toxic):
+        assert not texts or os.getpid() != driver, "trained in the driver"
+        return train(texts, toxic)
+
+    monkeypatch.setattr(toxicity, "train", elsewhere)
+    monkeypatch.setattr(catalog, "train", elsewhere, raising=False)
+    got = catalog.toxicity_model(docs, spark, str(tmp_path))
+    assert np.allclose(got.vector, want.vector, atol=1e-5) and len(sample) > 100
+    assert np.allclose([got.bias, got.slope, got.offset, got.least], [want.bias, want.slope, want.offset, want.least])
+    none = catalog.toxicity_model(nothing, spark, str(tmp_path))
+    assert none.slope == 0 and not none.vector.any()
+
+
 def test_a_long_row_leaves_room_for_the_others(spark):
     rows = [(0, "x" * 5000, "en"), *((i, f"word{'abcdef'[i]} " * 4, "en") for i in range(1, 6))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
