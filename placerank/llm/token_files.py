@@ -42,7 +42,7 @@ def tokenised(docs: DataFrame, path: str, kind: str, end_id: int) -> DataFrame:
     def encode(batches):
         enc = encoder(path, kind)
         part, pos = TaskContext.get().partitionId(), 0
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most_bytes=8 << 20):
             ids = enc.encode(batch.column("text").to_pylist(), end_id)
             offsets = np.zeros(len(ids) + 1, dtype=np.int32)
             np.cumsum([len(x) >> 2 for x in ids], out=offsets[1:])

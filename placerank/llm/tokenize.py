@@ -3,7 +3,9 @@
 A text is cut only where its pre-tokenizer cuts in any case, so that the pieces' ids in a row
 are the whole text's ids. The ids of each distinct piece are encoded once by the tokenizers
 library and remembered by the worker (bounded), so the cost follows the vocabulary of the
-rows that a worker sees, not their length.
+rows that a worker sees, not their length. For a byte-level vocabulary Arrow cuts the texts of a
+batch, finds its distinct pieces and lays out their ids; only texts with runs of white space are
+cut one by one.
 
 A text that holds the string of an added token is encoded whole by the library, which gives that
 token's id.
@@ -16,7 +18,11 @@ import re
 import unicodedata
 from array import array
 
-from .common import worker_memory
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import ragged, worker_memory
 
 LONG = 200  # characters of a piece that is remembered, at most
 
@@ -35,13 +41,15 @@ def tokenizer_path(name: str) -> str:
 
 # Stands for a line end at which a text was cut.
 _LINE = "\x00"
+# Stands before signs that were cut from the letter before them.
+_SIGNS = "\x01"
 
 
 def byte_level_pieces(text: str) -> list[str]:
     """A text cut at blanks and line ends, for a byte-level pre-tokenizer: each piece but the
     first belongs with the blank before it, or with a line end if it starts with ``_LINE``."""
     odd = any(c in text for c in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
-    if _LINE in text:  # taken whole, as the first piece
+    if _LINE in text or _SIGNS in text:  # taken whole, as the first piece
         return [text]
     if odd or text.endswith(" "):
         return _SAFE_BLANK.split(text)
@@ -50,6 +58,32 @@ def byte_level_pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
+# Signs behind a letter, up to the end of a piece: a pre-token of their own.
+_LETTER_SIGNS = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}])([!-&(-/:-@\[-^{-~]+)( |\z)"
+# Texts that Arrow does not cut: with white space beside a line end or before a blank, with other
+# white space than a blank at the start, with a blank or line end at the end, or with a mark.
+_WHITE = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ODD_TEXT = rf"[ {_WHITE}][ \n]|\n[{_WHITE}]|^[{_WHITE}]|[ \n]\z|[{_LINE}{_SIGNS}]"
+
+
+def cut_alone(texts: pa.Array) -> list[bool]:
+    """Which texts ``distinct_pieces`` does not take."""
+    return pc.match_substring_regex(texts, _ODD_TEXT).to_pylist()
+
+
+def distinct_pieces(texts: pa.Array) -> tuple[list[str], pa.Array, np.ndarray]:
+    """The distinct pieces of texts, the place of each piece of the texts among them, and each text's
+    first piece (n + 1). A text is cut as by ``byte_level_pieces``, and its start counts as a line
+    end: its first piece has ``_LINE`` as well, so its ids begin with a line end's. Signs behind a
+    word are a piece that starts with ``_SIGNS``."""
+    lines = pc.binary_join_element_wise(_LINE, pc.replace_substring(texts, "\n", " " + _LINE), "")
+    cut = pc.split_pattern(pc.replace_substring_regex(lines, _LETTER_SIGNS, rf"\1 {_SIGNS}\2\3"), " ")
+    found = cut.flatten().dictionary_encode()
+    # Pieces hold no blank: a joined string is cut into Python strings faster than they are made one by one.
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary), " ")
+    return joined[0].as_py().split(" "), found.indices, ragged(pc.list_value_length(cut).to_numpy())
+
+
 def word_end_pieces(text: str) -> list[bytes]:
     """Pieces of a vocabulary with word ends, where white space is dropped and letters are
     lower-cased: the words, A-Z lower-cased."""
@@ -89,6 +123,8 @@ class _Pieces(dict):
         self.line = self.alone("\n") if blank else b""
 
     def __missing__(self, piece) -> bytes:
+        if piece[:1] == _SIGNS:
+            return self._signs(piece[1:])
         if len(piece) > LONG:
             return self._encode(piece if isinstance(piece, str) else piece.decode())
         if len(self) >= self.most:
@@ -107,21 +143,28 @@ class _Pieces(dict):
             return self._tokens("", text) if self._settled(text) else self.alone(text)
         if self.blank and text[:1] == _LINE:
             plain = text[1:]
-            if not plain.isalpha():
-                return self.alone("\n" + plain)
-            return self.line + self._tokens("", plain)
+            if plain.isalpha():
+                return self.line + self._tokens("", plain)
+            found = _LETTERS_SIGNS.fullmatch(plain)
+            if found and found[1].isalpha():
+                return self.line + self._tokens("", found[1]) + self._signs(found[2])
+            return self.alone("\n" + plain)
         # Letters and then signs: two pre-tokens for certain, and the word is often known.
         found = _LETTERS_SIGNS.fullmatch(text)
         if found and found[1].isalpha() and (self.blank or self._settled(found[1])):
             letters, signs = found.groups()
-            ids = self.signs.get(signs)
-            if ids is None:
-                ids = self._tokens("", signs)
-                if len(self.signs) < 10_000 and len(signs) <= LONG:
-                    self.signs[signs] = ids
-            return self[letters if self.blank else letters.encode()] + ids
+            return self[letters if self.blank else letters.encode()] + self._signs(signs)
         return self.alone(" " + text if self.blank else text)
 
+    def _signs(self, signs: str) -> bytes:
+        """Ids of one pre-token of signs."""
+        ids = self.signs.get(signs)
+        if ids is None:
+            ids = self._tokens("", signs)
+            if len(self.signs) < 10_000 and len(signs) <= LONG:
+                self.signs[signs] = ids
+        return ids
+
     @staticmethod
     def _settled(word: str) -> bool:
         """Whether the tokenizer's normal form of a word is its plain lower-case form."""
@@ -160,18 +203,37 @@ class PieceEncoder:
         """Each text's ids and then ``end_id``, as little-endian unsigned 32-bit integers."""
         get, alone, special, out = self.pieces.__getitem__, self.pieces.alone, self.pieces.special, []
         end = array("I", [end_id]).tobytes()
-        for text in texts:
+        single, together = [True] * len(texts), []
+        if self.blank and texts:
+            column = pa.array([text or "" for text in texts], pa.string())
+            single = cut_alone(column)
+        for i, text in enumerate(texts):
             if not text:
                 out.append(end)
             elif any(s in text for s in special):
                 out.append(self.pieces.whole(text) + end)
-            else:
+            elif single[i]:
                 pieces = self.cut(text)
                 # Nothing stands before the first piece of a byte-level text.
                 first = alone(pieces[0]) if self.blank else b""
                 out.append(b"".join([first, *map(get, pieces[1:] if self.blank else pieces), end]))
+            else:
+                together.append(i)
+                out.append(b"")
+        if together:
+            for i, ids in zip(together, self._together(column.take(together)), strict=True):
+                out[i] = ids + end
         return out
 
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        """Ids of byte-level texts that Arrow cuts: one look-up for each distinct piece."""
+        pieces, places, firsts = distinct_pieces(texts)
+        ids = pa.array(list(map(self.pieces.__getitem__, pieces)), pa.large_binary()).take(places)
+        _, offsets, data = ids.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[firsts].tolist()
+        data, line = memoryview(data), len(self.pieces.line)
+        return [bytes(data[a + line : b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
 
 def encoder(path: str, kind: str) -> PieceEncoder:
     """This worker's encoder for a tokenizer file."""

@@ -4,11 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from placerank.llm.packing import nnls, pack_documents, patterns, plan, slots
 from placerank.llm.token_files import digests, read_token_ids, with_starts, write_token_ids
-from placerank.llm.tokenize import PieceEncoder, tokenizer_path
+from placerank.llm.tokenize import PieceEncoder, cut_alone, distinct_pieces, tokenizer_path
 
 BYTES, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
 
@@ -33,6 +34,28 @@ def test_pieces_give_the_ids_of_the_whole_text(path, kind):
             assert got == want.tobytes(), text
 
 
+def test_texts_are_cut_together_and_words_kept_without_their_signs():
+    texts = ["End of it,\nand so on: it's", " so, é!! on", "", "on", "it,x so-so..."]
+    pieces, places, firsts = distinct_pieces(pa.array(texts))
+    assert len(pieces) == len(set(pieces))
+    back = "".join(" " + pieces[i] for i in places.to_pylist()).replace(" \x01", "").replace(" \x00", "\n")
+    assert back == "\n" + "\n".join(texts)
+    assert firsts.tolist() == [0, 9, 15, 16, 17, 20]
+    enc = PieceEncoder(BYTES, "byte_level")
+    many = ["a " + " ".join(w + s for w in ("word", "été") for s in (",", ".", "!!", "...", "")) for _ in range(3)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(many, 2)] == [x.tolist() for x in _ids(BYTES, many, 2)]
+    assert {p for p in enc.pieces if p[0] not in "\x00\x01"} == {"word", "été"}
+
+
+def test_texts_that_are_cut_alone():
+    odd = ["a  b", "a \nb", "a\n\nb", "a\tb\t\n", "\ta", "\na", "a ", "a\n", "a\x00b", "a\x01b", "a\u3000 b", "a\r\nb", "a\n\x85b"]
+    plain = ["", "a b", " a", "a\nb c", "a\tb", "a\u3000b", "é, b.\nÀ"]
+    assert cut_alone(pa.array(odd + plain)) == [True] * len(odd) + [False] * len(plain)
+    enc = PieceEncoder(BYTES, "byte_level")
+    for part in (odd + plain, plain, odd, [None, ""], []):
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(part, 2)] == [x.tolist() for x in _ids(BYTES, part, 2)]
+
+
 def test_token_files_hold_the_tokens_in_order(spark, odd, tmp_path):
     path = str(tmp_path / "tokens")
     write_token_ids(odd, path, BYTES, partitions=4)
