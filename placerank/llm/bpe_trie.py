@@ -4,7 +4,8 @@ A text is cut into words as the tokenizer's pre-tokenizer cuts it. The distinct
 worker has not met form a trie over their bytes, which is walked depth-first. A node stands for
 a prefix and carries one state: the last token of that prefix's encoding. It follows from the
 states above it: the last token is the one token t that the prefix ends with and that fits behind
-the last token of the prefix without t. So a prefix that many words share is encoded once, and a
+the last token of the prefix without t. The tokens that a prefix ends with are those of its longest
+end that some token starts with, so they are found byte by byte and remembered. So a prefix that many words share is encoded once, and a
 word's ids are read off the chain of last tokens from its node to the root. The trie is held as its
 sorted words and the path of the walk, so that it needs no memory beside the words.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Collection, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, small_batches, worker_memory
-from .tokenize import _BYTE_LETTERS, _LETTERS_SIGNS, _LINE, byte_level_pieces
+from .tokenize import _BYTE_LETTERS, _LETTERS_SIGNS, _LINE, _SIGNS, byte_level_pieces, cut_alone, distinct_pieces, laid_out
 
 # Byte-level letter -> byte: most bytes stand for the Latin-1 letter of their own number.
 BYTE_OF = {_BYTE_LETTERS.get(b, chr(b)): b for b in range(256)}
 MOST_BYTES = 96 << 20  # of remembered pieces
-MOST_PAIRS = 1 << 19  # remembered answers of ``fits``
+MOST_PAIRS = 1 << 19  # remembered answers of ``fits``, and of ``go``
 NEVER = 1 << 62
+ID_BYTES = 4
 
 
 class Vocabulary:
@@ -62,6 +65,8 @@ class Vocabulary:
             self.bytes_of[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         for token, i in self.added.items():
             self.bytes_of[i] = token.encode()
+        self.table = pa.array(self.bytes_of, pa.large_binary())
+        self.sizes = [len(b) for b in self.bytes_of]
         self.left, self.right, self.made = [-1] * size, [-1] * size, [-1] * size
         self.rank: dict[tuple[int, int], int] = {}
         for rank, merge in enumerate(model["merges"]):
@@ -75,9 +80,15 @@ class Vocabulary:
         self.token_of = {self.bytes_of[i]: i for i in known if self.made[i] >= 0 or len(self.bytes_of[i]) == 1}
         if any(bytes([b]) not in self.token_of for b in range(256)):
             raise ValueError("a byte without a token")
-        self.longest = max(map(len, self.token_of))
         self._sound: dict[int, bool] = {}
         self.pairs: dict[int, bool] = {}
+        # Numbered starts of tokens, as far as met: the start, and the tokens that it ends with and
+        # their sizes, longest first.
+        self.starts = {t[:n] for t in self.token_of for n in range(1, len(t) + 1)}
+        self.number: dict[bytes, int] = {b"": 0}
+        self.start_of: list[bytes] = [b""]
+        self.ends: list[list[tuple[int, int]]] = [[]]
+        self.steps: dict[int, int] = {}
 
     def _apart(self, a: int, b: int, whole: bool) -> bool:
         """Whether no merge crosses the boundary of a and b; with ``whole`` the merge of a and b
@@ -113,45 +124,59 @@ class Vocabulary:
         known = self.pairs[a << 32 | b] = self.sound(b) and self._apart(a, b, True)
         return known
 
-    def descend(self, word: bytes, depth: int, last: list[int]) -> None:
-        """Go on from the node of ``word``'s first ``depth`` bytes down to the word's own node:
-        ``last[i]`` becomes the last token of its first i bytes."""
-        token_of, known, longest = self.token_of.get, self.pairs.get, self.longest
-        for end in range(depth + 1, len(word) + 1):
-            start = end - longest if end > longest else 0
-            while True:
-                t = token_of(word[start:end])
-                if t is not None:
-                    if not start:
-                        if self.sound(t):
-                            break
-                    else:
-                        fit = known(last[start] << 32 | t)
-                        if fit or (fit is None and self.fits(last[start], t)):
-                            break
-                start += 1
-            last.append(t)
-
-    def encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def go(self, start: int, byte: int) -> int:
+        """The longest start of a token that a text ends with, by number, after one more byte;
+        remembered in ``steps``."""
+        if len(self.steps) >= MOST_PAIRS:
+            self.steps.clear()
+        end = self.start_of[start] + bytes([byte])
+        while end not in self.starts:
+            end = end[1:]
+        if end not in self.number:
+            self.number[end] = len(self.start_of)
+            self.start_of.append(end)
+            tokens = ((self.token_of.get(end[i:]), len(end) - i) for i in range(len(end)))
+            self.ends.append([(t, n) for t, n in tokens if t is not None])
+        to = self.steps[start << 8 | byte] = self.number[end]
+        return to
+
+    def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Ids (little-endian 32-bit) of distinct words, by one depth-first walk of their trie.
         Sorted words are the trie's paths in that order: each leaves the path of the one before it
-        at the node of their common prefix, and the states down to there are kept."""
+        at the node of their common prefix, and the states down to there are kept. Of the path,
+        ``last[i]`` is the last token of the first i bytes, ``starts[i]`` the number of the longest
+        start of a token that they end with."""
         out: dict[bytes, bytes] = {}
-        size = [len(b) for b in self.bytes_of]
-        before, last = b"", [-1]
+        size, number, ends = self.sizes, int.from_bytes, self.ends
+        step, known = self.steps.get, self.pairs.get
+        before, last, starts = b"", [-1], [0]
         for word in sorted(words):
             n = min(len(before), len(word))
-            apart = int.from_bytes(before[:n]) ^ int.from_bytes(word[:n])
-            depth = n - (apart.bit_length() + 7) // 8
-            del last[depth + 1 :]
-            self.descend(word, depth, last)
+            end = n - ((number(before[:n]) ^ number(word[:n])).bit_length() + 7 >> 3)
+            del last[end + 1 :], starts[end + 1 :]
+            start = starts[end]
+            for byte in word[end:]:
+                end += 1
+                to = step(start << 8 | byte)
+                start = self.go(start, byte) if to is None else to
+                for t, n in ends[start]:
+                    if n == end:
+                        if self.sound(t):
+                            break
+                    else:
+                        fit = known(last[end - n] << 32 | t)
+                        if fit or (fit is None and self.fits(last[end - n], t)):
+                            break
+                last.append(t)
+                starts.append(start)
             # The chain of last tokens from the word's node to the root.
-            ids, i = [], len(word)
-            while i:
-                t = last[i]
+            ids = []
+            while end:
+                t = last[end]
                 ids.append(t)
-                i -= size[t]
-            out[word] = array("i", ids[::-1]).tobytes()
+                end -= size[t]
+            ids.reverse()
+            out[word] = array("i", ids).tobytes()
             before = word
         return out
 
@@ -163,6 +188,12 @@ class Vocabulary:
     def decode(self, ids) -> str:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
+    def decode_runs(self, ids: pa.Array, offsets: np.ndarray) -> list[str]:
+        """Texts of runs of tokens' ids, from each offset to the next one."""
+        _, ends, data = self.table.take(ids).buffers()
+        bounds, data = np.frombuffer(ends, np.int64)[offsets].tolist(), memoryview(data)
+        return [str(data[a:b], "utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
 
 class TrieEncoder:
     """Ids of whole texts. Pieces are what lies between blanks and line ends where the
@@ -186,23 +217,27 @@ class TrieEncoder:
 
     def words(self, piece: str, lead: str) -> list[bytes]:
         """The pre-tokenizer's words of a piece."""
-        if piece[:1] == _LINE and lead:
-            lead, piece = "\n", piece[1:]
-        if lead != "\n":
-            if piece.isalpha():
-                return [(lead + piece).encode()]
-            if (found := _LETTERS_SIGNS.fullmatch(piece)) and found[1].isalpha():
-                return [(lead + found[1]).encode(), found[2].encode()]
-        return [bytes([BYTE_OF[c] for c in w]) for w, _ in self.cut_words(lead + piece)]
-
-    def learn(self, heads: set[str], rest: set[str]) -> None:
-        """Encode pieces that are not remembered, all their words in one trie."""
+        line = []
+        if lead and piece[:1] == _SIGNS:
+            return [piece[1:].encode()]
+        if lead and piece[:1] == _LINE:
+            lead, piece, line = "", piece[1:], [b"\n"]
+        if piece.isalpha():
+            return [*line, (lead + piece).encode()]
+        if (found := _LETTERS_SIGNS.fullmatch(piece)) and found[1].isalpha():
+            return [*line, (lead + found[1]).encode(), *([found[2].encode()] if found[2] else [])]
+        return [bytes([BYTE_OF[c] for c in w]) for w, _ in self.cut_words(("\n" if line else lead) + piece)]
+
+    def learn(self, heads: Collection[str], rest: Collection[str]) -> None:
+        """Encode distinct pieces that are not remembered, all their words in one trie."""
         if self.held > self.most // 2:
             self.old_heads, self.old_rest = self.heads, self.rest
             self.heads, self.rest, self.held = {}, {}, 0
         new = []
         for known, older, found, lead in ((self.heads, self.old_heads, heads, ""), (self.rest, self.old_rest, rest, " ")):
-            for piece in found - known.keys():
+            for piece in found:
+                if piece in known:
+                    continue
                 v = older.get(piece)
                 if v is None:
                     new.append((known, piece, self.words(piece, lead)))
@@ -211,19 +246,27 @@ class TrieEncoder:
                     self.held += 2 * len(piece) + len(v) + 200
         ids = self.vocabulary.encode_words({w for _, _, words in new for w in words})
         for known, piece, words in new:
-            known[piece] = v = b"".join([ids[w] for w in words])
+            known[piece] = v = ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words])
             self.held += 2 * len(piece) + len(v) + 200
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
+        """Each text's ids as little-endian 32-bit integers. Texts without added tokens and runs of
+        white space are cut together."""
+        if not texts:
+            return []
+        column = pa.array([text or "" for text in texts], pa.string())
         parts: list[list] = []  # of a text: added-token ids, and cut texts between them
+        together: list[int] = []
         heads: set[str] = set()
         rest: set[str] = set()
-        for text in texts:
+        for i, (text, single) in enumerate(zip(texts, cut_alone(column), strict=True)):
             mine: list = []
             between = [text or ""] if self.special is None else self.special.split(text or "")
-            for i, piece in enumerate(between):
-                if i % 2:
+            if not single and len(between) == 1:
+                together.append(i)
+                between = []
+            for j, piece in enumerate(between):
+                if j % 2:
                     mine.append(array("i", [self.vocabulary.added[piece]]).tobytes())
                 elif piece:
                     cut = byte_level_pieces(piece)
@@ -231,7 +274,8 @@ class TrieEncoder:
                     rest.update(cut[1:])
                     mine.append(cut)
             parts.append(mine)
-        self.learn(heads, rest)
+        pieces, places, firsts = distinct_pieces(column.take(together)) if together else ([], None, None)
+        self.learn(heads, rest.union(pieces) if rest else pieces)
         out, head, tail = [], self.heads, self.rest.__getitem__
         for mine in parts:
             found = []
@@ -242,6 +286,9 @@ class TrieEncoder:
                     found.append(head[cut[0]])
                     found.extend(map(tail, cut[1:]))
             out.append(b"".join(found))
+        if together:
+            for i, ids in zip(together, laid_out(list(map(tail, pieces)), places, firsts, ID_BYTES), strict=True):
+                out[i] = ids
         return out
 
 
@@ -267,13 +314,12 @@ def recode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def recode(batches):
         enc = _encoder(path)
-        decode = enc.vocabulary.decode
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most_bytes=8 << 20):
             data = enc.encode(batch.column("text").to_pylist())
             offsets = np.zeros(len(data) + 1, dtype=np.int32)
             np.cumsum([len(x) >> 2 for x in data], out=offsets[1:])
             values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(data))])
-            decoded = [decode(np.frombuffer(x, "<i4").tolist()) for x in data]
+            decoded = enc.vocabulary.decode_runs(values, offsets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(decoded, pa.string())],
                 names=["doc_id", "ids", "decoded"],

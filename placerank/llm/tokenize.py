@@ -84,6 +84,14 @@ def distinct_pieces(texts: pa.Array) -> tuple[list[str], pa.Array, np.ndarray]:
     return joined[0].as_py().split(" "), found.indices, ragged(pc.list_value_length(cut).to_numpy())
 
 
+def laid_out(ids: list[bytes], places: pa.Array, firsts: np.ndarray, line: int) -> list[bytes]:
+    """Each text's ids from those of its distinct pieces, without the ``line`` bytes that stand for
+    the line end before it."""
+    _, offsets, data = pa.array(ids, pa.large_binary()).take(places).buffers()
+    bounds, data = np.frombuffer(offsets, np.int64)[firsts].tolist(), memoryview(data)
+    return [bytes(data[a + line : b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def word_end_pieces(text: str) -> list[bytes]:
     """Pieces of a vocabulary with word ends, where white space is dropped and letters are
     lower-cased: the words, A-Z lower-cased."""
@@ -228,11 +236,7 @@ class PieceEncoder:
     def _together(self, texts: pa.Array) -> list[bytes]:
         """Ids of byte-level texts that Arrow cuts: one look-up for each distinct piece."""
         pieces, places, firsts = distinct_pieces(texts)
-        ids = pa.array(list(map(self.pieces.__getitem__, pieces)), pa.large_binary()).take(places)
-        _, offsets, data = ids.buffers()
-        bounds = np.frombuffer(offsets, np.int64)[firsts].tolist()
-        data, line = memoryview(data), len(self.pieces.line)
-        return [bytes(data[a + line : b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return laid_out(list(map(self.pieces.__getitem__, pieces)), places, firsts, len(self.pieces.line))
 
 
 def encoder(path: str, kind: str) -> PieceEncoder:

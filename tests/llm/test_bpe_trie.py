@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from placerank.llm.bpe_trie import TrieEncoder, Vocabulary, decode_documents, encode_documents, recoded_digests
@@ -48,6 +49,27 @@ def test_a_word_is_encoded_the_same_whatever_shares_its_prefix():
     assert together == {w: vocabulary.encode_words({w})[w] for w in words}
 
 
+def test_words_are_kept_without_their_signs_and_runs_decode_together(library):
+    enc = TrieEncoder(BYTES)
+    texts = ["a " + " ".join(w + s for w in ("word", "été") for s in (",", ".", "!!", "...", "")) + end for end in ("", "  ", "\nword", "<|endoftext|>")]
+    got = [np.frombuffer(x, "<i4") for x in enc.encode([*texts, None])]
+    want = [e.ids for e in library.encode_batch([*texts, ""], add_special_tokens=False)]
+    assert [g.tolist() for g in got] == want
+    assert enc.vocabulary.decode_runs(pa.array(np.concatenate(got)), np.cumsum([0, *map(len, got)])) == [*texts, ""]
+    alone = TrieEncoder(BYTES)
+    alone.encode([texts[0], texts[2]])
+    assert {p for p in alone.rest if p[0] not in "\x00\x01"} == {"word", "été"}
+
+
+def test_the_walk_s_memory_is_bounded(library, monkeypatch):
+    monkeypatch.setattr("placerank.llm.bpe_trie.MOST_PAIRS", 50)
+    r, vocabulary = random.Random(8), Vocabulary(BYTES)
+    words = {"".join(r.choice("abcdeilnorstéß") for _ in range(r.randint(1, 20))) for _ in range(500)}
+    got = vocabulary.encode_words({w.encode() for w in words})
+    assert all(np.frombuffer(got[w.encode()], "<i4").tolist() == library.encode(w, add_special_tokens=False).ids for w in words)
+    assert max(len(vocabulary.pairs), len(vocabulary.steps)) <= 50
+
+
 def test_documents(spark, odd, nothing, library):
     def digest(i, text):
         ids = library.encode(text or "", add_special_tokens=False).ids
