@@ -5,9 +5,10 @@ worker has not met form a trie over their bytes, which is walked depth-first. A
 a prefix and carries one state: the last token of that prefix's encoding. It follows from the
 states above it: the last token is the one token t that the prefix ends with and that fits behind
 the last token of the prefix without t. The tokens that a prefix ends with are those of its longest
-end that some token starts with, so they are found byte by byte and remembered. So a prefix that many words share is encoded once, and a
-word's ids are read off the chain of last tokens from its node to the root. The trie is held as its
-sorted words and the path of the walk, so that it needs no memory beside the words.
+end that some token starts with, so they are found byte by byte and remembered. So a prefix that
+many words share is encoded once, and a word's ids are read off the chain of last tokens from its
+node to the root. The trie is held as its sorted words and the path of the walk, so that it needs
+no memory beside the words.
 
 Two tokens fit if merging their joined bytes leaves the boundary between them alone. Merges come
 in the order of their ranks, from the left among equals, so only the pieces that lie at the
@@ -250,8 +251,8 @@ class TrieEncoder:
             self.held += 2 * len(piece) + len(v) + 200
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers. Texts without added tokens and runs of
-        white space are cut together."""
+        """Each text's ids as little-endian 32-bit integers. Texts without added tokens and longer
+        runs of white space are cut together."""
         if not texts:
             return []
         column = pa.array([text or "" for text in texts], pa.string())

@@ -4,8 +4,8 @@ A text is cut only where its pre-tokenizer cuts in any case, so that the pieces'
 are the whole text's ids. The ids of each distinct piece are encoded once by the tokenizers
 library and remembered by the worker (bounded), so the cost follows the vocabulary of the
 rows that a worker sees, not their length. For a byte-level vocabulary Arrow cuts the texts of a
-batch, finds its distinct pieces and lays out their ids; only texts with runs of white space are
-cut one by one.
+batch, finds its distinct pieces and lays out their ids; only texts with longer runs of white
+space are cut one by one.
 
 A text that holds the string of an added token is encoded whole by the library, which gives that
 token's id.
@@ -60,10 +60,11 @@ def byte_level_pieces(text: str) -> list[str]:
 
 # Signs behind a letter, up to the end of a piece: a pre-token of their own.
 _LETTER_SIGNS = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}])([!-&(-/:-@\[-^{-~]+)( |\z)"
-# Texts that Arrow does not cut: with white space beside a line end or before a blank, with other
-# white space than a blank at the start, with a blank or line end at the end, or with a mark.
-_WHITE = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-_ODD_TEXT = rf"[ {_WHITE}][ \n]|\n[{_WHITE}]|^[{_WHITE}]|[ \n]\z|[{_LINE}{_SIGNS}]"
+# Texts that Arrow does not cut: with three blanks or line ends in a row (of two, the pattern takes
+# the first one alone and the second one with what follows; the start of a text counts as a line
+# end), with two at the end, with other white space beside them or at the start, or with a mark.
+_OTHER_WHITE = r"[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD_TEXT = rf"[ \n][ \n][ \n]|^[ \n][ \n]|[ \n][ \n]\z|{_OTHER_WHITE}[ \n]|[ \n]{_OTHER_WHITE}|^{_OTHER_WHITE}|[{_LINE}{_SIGNS}]"
 
 
 def cut_alone(texts: pa.Array) -> list[bool]:
@@ -73,7 +74,7 @@ def cut_alone(texts: pa.Array) -> list[bool]:
 
 def distinct_pieces(texts: pa.Array) -> tuple[list[str], pa.Array, np.ndarray]:
     """The distinct pieces of texts, the place of each piece of the texts among them, and each text's
-    first piece (n + 1). A text is cut as by ``byte_level_pieces``, and its start counts as a line
+    first piece (n + 1). A text is cut at every blank and line end, and its start counts as a line
     end: its first piece has ``_LINE`` as well, so its ids begin with a line end's. Signs behind a
     word are a piece that starts with ``_SIGNS``."""
     lines = pc.binary_join_element_wise(_LINE, pc.replace_substring(texts, "\n", " " + _LINE), "")

@@ -48,8 +48,8 @@ def test_texts_are_cut_together_and_words_kept_without_their_signs():
 
 
 def test_texts_that_are_cut_alone():
-    odd = ["a  b", "a \nb", "a\n\nb", "a\tb\t\n", "\ta", "\na", "a ", "a\n", "a\x00b", "a\x01b", "a\u3000 b", "a\r\nb", "a\n\x85b"]
-    plain = ["", "a b", " a", "a\nb c", "a\tb", "a\u3000b", "é, b.\nÀ"]
+    odd = ["a   b", "a \n\nb", "a\n\n\nb", "a\tb\t\n", "\ta", "\n a", "a  ", "a \n", "a\n\n", "a\x00b", "a\x01b", "a\u3000 b", "a\r\nb", "a\n\x85b", "  "]
+    plain = ["", " ", "\n", "a b", " a", "\na", "a ", "a\n", "a\nb c", "a  b", "a.  B\n\nc,\n d, \n.", "a\tb", "a\u3000b", "é, b.\nÀ"]
     assert cut_alone(pa.array(odd + plain)) == [True] * len(odd) + [False] * len(plain)
     enc = PieceEncoder(BYTES, "byte_level")
     for part in (odd + plain, plain, odd, [None, ""], []):
